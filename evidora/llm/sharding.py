@@ -3,7 +3,8 @@
 Rows are shuffled by a seeded hash inside each source and ranked; a row's fractional rank (rank - phase) / n, with a
 phase in [0, 1) hashed from the source, spreads each source evenly over (0, 1]. Sorting all rows by it interleaves the
 sources in proportion, so every cut of the order has the mixture of the whole. Cutting at equal counts gives shards
-whose sizes differ by one row at most and whose share of a source differs by one or two rows at most.
+whose sizes differ by one row at most. A source's rows in two shards differ by two or three where the sources are few;
+the random phases of s sources shift each cut by about the square root of s / 12 rows, shared out over all sources.
 
 Both ranks are taken without gathering a source or the order in one task: rows are dealt into buckets of a uniform
 value (the hash, then the fractional rank), buckets are counted with map-side sums, and a row's rank is its bucket's

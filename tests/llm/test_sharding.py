@@ -18,7 +18,7 @@ def test_every_row_once_and_even(spark, rows, sf_dir):
 
 def test_mixture(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 50)  # many buckets
-    data = [(i, f"t{i}", "hot" if i % 3 == 0 else f"s{i % 7}" if i % 5 else f"one{i}") for i in range(3000)]
+    data = [(i, f"t{i}", "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(3000)]
     frame = spark.createDataFrame(data, "doc_id long, text string, source string")
     got = sharding.shard(frame).collect()
     assert len(got) == 3000 and len({(r.shard, r.slot) for r in got}) == 3000
@@ -31,6 +31,14 @@ def test_mixture(spark, monkeypatch):
     assert {(r.doc_id, r.shard, r.slot) for r in got} == {(r.doc_id, r.shard, r.slot) for r in again}
 
 
+def test_many_sources_of_one_row(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 50)
+    data = [(i, "t", "hot" if i % 3 == 0 else f"one{i}") for i in range(3000)]
+    got = sharding.shard(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()
+    n = Counter(r.shard for r in got if r.doc_id % 3 == 0)
+    assert max(abs(x - 125) for x in n.values()) <= 4 * (2000 / 12) ** 0.5  # 4 standard deviations
+
+
 def test_odd_inputs(odd, docs, empty):
     assert sharding.shard(empty).count() == 0
     got = sharding.shard(odd).collect()
