@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidora.llm import quality, sharding
+from evidora.llm import quality, secret_scan, sharding
 from evidora.llm.common import table
 
 
@@ -14,11 +14,18 @@ def op6_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+                        F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op6_stratified_sharding, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op6_stratified_sharding, op7_secret_scan, op9_quality_rules)}
 
 SQL: dict[str, str] = {}
