@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidora.llm import quality, secret_scan, sharding
+from evidora.llm import bpe, packing, quality, secret_scan, sharding
 from evidora.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), bpe.read_file(vocabulary("word_bpe_49k.json")).decode())
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 def op6_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = sharding.shard(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -26,6 +41,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op6_stratified_sharding, op7_secret_scan, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op9_quality_rules)}
 
 SQL: dict[str, str] = {}
