@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidora.llm import bpe, packing, quality, secret_scan, sharding, simhash
+from evidora.llm import bpe, packing, quality, secret_scan, sharding, simhash, suffix_dedup
 from evidora.llm.common import table
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash.group(table(spark, sf_dir, "documents"))
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,6 +50,6 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op9_quality_rules)}
 
 SQL: dict[str, str] = {}
