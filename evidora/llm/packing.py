@@ -21,6 +21,7 @@ gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,23 +41,47 @@ GROUP_PIECES, GROUPS = 16384, 64
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, by the tokenizers library with a cache of parts."""
+    """Ids of whole texts as little-endian unsigned 32-bit bytes, by the tokenizers library with a cache of parts.
 
-    def __init__(self, definition: str, most: int = 400_000):
+    The cache has two generations of at most ``most`` parts each: a full one becomes the old one, and a part found there
+    comes back. A part that ends in a lone mark after a letter is put together from the two, and a part is looked up in
+    lower case where the library's own normalisation would do no more than that.
+    """
+
+    def __init__(self, definition: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
-        self._library, self._cache, self._most = Tokenizer.from_str(definition), {"": b""}, most
+        self._library, self._new, self._old, self._most = Tokenizer.from_str(definition), {"": b""}, {}, most
+
+    def _plain(self, part: str, low: str) -> bool:
+        normal = unicodedata.is_normalized
+        return "<|" not in part and "\u03a3" not in part and normal("NFC", part) and normal("NFC", low)
+
+    def _part(self, part: str) -> bytes:
+        ids = self._new.get(part)
+        if ids is not None:
+            return ids
+        ids = self._old.get(part)
+        if ids is None:
+            if len(part) > 1 and part[-1] in ".,;:!?" and part[-2].isalpha():
+                ids = self._part(part[:-1]) + self._part(part[-1])
+            elif (low := part.lower()) != part and self._plain(part, low):
+                ids = self._part(low)
+            else:
+                ids = np.asarray(self._library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(part) <= 64:
+            if len(self._new) >= self._most:
+                self._old, self._new = self._new, {}
+            self._new[part] = ids
+        return ids
 
     def __call__(self, text: str) -> bytes:
-        cache, out = self._cache, []
+        out, get = [], self._new.get
         for part in text.replace("\n", " ").split(" "):
-            ids = cache.get(part)
+            ids = get(part)
             if ids is None:
-                ids = np.asarray(self._library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-                if len(part) <= 64:
-                    if len(cache) >= self._most:
-                        cache.clear()
-                    cache[part] = ids
+                ids = self._part(part)
+                get = self._new.get
             out.append(ids)
         return b"".join(out)
 

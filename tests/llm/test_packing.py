@@ -72,7 +72,7 @@ def test_query(spark, rows, sf_dir):
 
 
 def test_texts_that_a_cache_of_parts_could_spoil(spark):
-    texts = ["don't stop\tnow", "<|endoftext|>x <|startoftext|> y", "é ́a ΑΣ ΣΑΣ. İstanbul ǅ", " \n\r\x0b\x1c a", "word" * 3000, "İ" * 40, "ΟΔΟΣ\nΟΔΟΣ ΟΔΟΣ", "  two  spaces "]
+    texts = ["don't stop\tnow", "<|endoftext|>x <|startoftext|> y", "é ́a ΑΣ ΣΑΣ. İstanbul ǅ", " \n\r\x0b\x1c a", "word" * 3000, "İ" * 40, "ΟΔΟΣ\nΟΔΟΣ ΟΔΟΣ", "  two  spaces ", "J\u030c \u01f0 J\u030cx.", "<|ENDOFTEXT|> <|EndOfText|>.", "Word, WORD. word: don't. DON'T! x'S. 's, É. É, Straße; STRASSE"]
     rows = list(enumerate(texts))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     check(packing.pack(frame, open(PATH).read()).collect(), rows)
