@@ -68,26 +68,30 @@ def _induce_by_bucket(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray,
 
 
 def _induce_by_entry(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The same for large alphabets."""
-    symbol, small, n = text.tolist(), smaller.tolist(), len(text)
-    order, tail = [-1] * n, (ends - 1).tolist()
+    """The same for large alphabets. ``left[i]`` is the symbol before i if it is to be induced from i, else -1."""
+    n = len(text)
+    order = np.full(n, -1, np.int64)
+    _place(order, text[seeds[::-1]], seeds[::-1], ends - 1, -1)
+    order = order.tolist()
+    before = np.concatenate([[-1], text[:-1], [-1]])
+    small = np.concatenate([[False], smaller[:-1], [False]])
+    left = np.where(small, -1, before).tolist()  # left[-1] is -1: an empty entry induces nothing
     head = np.append(0, ends[:-1]).tolist()
-    for i in seeds[::-1].tolist():
-        c = symbol[i]
-        order[tail[c]] = i
-        tail[c] -= 1
     for i in order:  # entries appear ahead of the scan
-        if i > 0 and not small[i - 1]:
-            c = symbol[i - 1]
-            order[head[c]] = i - 1
-            head[c] += 1
+        c = left[i]
+        if c >= 0:
+            at = head[c]
+            order[at] = i - 1
+            head[c] = at + 1
+    left = np.where(small, before, -1).tolist()
     tail = (ends - 1).tolist()
     for k in range(n - 1, -1, -1):
         i = order[k]
-        if i > 0 and small[i - 1]:
-            c = symbol[i - 1]
-            order[tail[c]] = i - 1
-            tail[c] -= 1
+        c = left[i]
+        if c >= 0:
+            at = tail[c]
+            order[at] = i - 1
+            tail[c] = at - 1
     return np.asarray(order, np.int64)
 
 

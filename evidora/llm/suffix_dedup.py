@@ -14,7 +14,8 @@ windows with one anchor in one place; its context is the bytes they cover. Equal
    windows together, not make them equal.
 5. The verdicts go back to the runs, are gathered by document, and the covered bytes are cut out.
 
-A shard's size is bounded: shards are made as many as the representatives need, and an anchor with more than
+A shard's size is bounded (small shards also keep the arrays in the processor's caches): shards are made as many as the
+representatives need, a task works through several, and an anchor with more than
 ``ANCHOR_CONTEXTS`` different contexts (a common line in very many documents) is dealt window by window instead: its
 windows are counted by a 128-bit hash with map-side sums. Documents without a representative are left out of step 4 by
 a bit set of fixed size. Nothing about all documents goes to the driver but counts.
@@ -29,7 +30,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidora.llm.common import cut, fresh
@@ -38,7 +39,7 @@ from evidora.llm.suffix_array import repeats
 #: Production parameters.
 LENGTH = 200
 GRAM = 64
-SHARD_BYTES = 4_000_000
+SHARD_BYTES, TASK_BYTES = 400_000, 8_000_000
 ANCHOR_CONTEXTS = 8192
 FILTER_WORDS = 1 << 17  # of 32 bits each: 512 kB
 _NO_ID = -(1 << 63)
@@ -142,24 +143,32 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
     return keyed.mapInArrow(run, "id long, mark int, anchor long, context long, first long, windows int")
 
 
-def _with_representatives(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``keyed`` whose key may be in ``wanted``: all that are, and few others while the bit set is not full."""
-    slot = F.pmod(F.xxhash64("id", "mark"), F.lit(32 * FILTER_WORDS))
-    words = wanted.select("id", "mark").distinct().groupBy(F.floor(slot / 32).cast("int").alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 32).cast("int"))).alias("bits"))
+def _slot() -> Column:
+    return F.pmod(F.xxhash64("id", "mark"), F.lit(32 * FILTER_WORDS))
+
+
+def _bit_set(wanted: DataFrame):
+    """A broadcast bit set of fixed size over the keys (id, mark) of ``wanted``; a test of an array of slots against it."""
+    words = wanted.select("id", "mark").distinct().groupBy(F.floor(_slot() / 32).cast("int").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (_slot() % 32).cast("int"))).alias("bits"))
     table = np.zeros(FILTER_WORDS, np.int64)
     for r in words.collect():  # FILTER_WORDS rows at most
         table[r.word] = r.bits
-    shared = keyed.sparkSession.sparkContext.broadcast(table)
+    shared = wanted.sparkSession.sparkContext.broadcast(table)
+    return lambda slots: (shared.value[slots // 32] >> (slots % 32) & 1).astype(bool)
+
+
+def _with_representatives(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key may be in ``wanted``: all that are, and few others while the bit set is not full."""
+    there = _bit_set(wanted)
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            at = batch.column(3).to_numpy()
-            yield batch.filter(pa.array((shared.value[at // 32] >> (at % 32) & 1).astype(bool))).select([0, 1, 2])
+            yield batch.filter(pa.array(there(batch.column(3).to_numpy()))).select([0, 1, 2])
 
-    return keyed.withColumn("slot", slot).mapInArrow(run, "id long, mark int, data binary")
+    return keyed.withColumn("slot", _slot()).mapInArrow(run, "id long, mark int, data binary")
 
 
 def _contexts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -175,9 +184,10 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"at": a, "n": b - a} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
 
 
-def _by_shard(contexts: DataFrame, shards: int, length: int) -> DataFrame:
-    """anchor, context and spans: the repeated windows found by each shard's suffix array."""
-    dealt = contexts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(shards, "shard").sortWithinPartitions("shard")
+def _by_shard(contexts: DataFrame, total: int, length: int) -> DataFrame:
+    """anchor, context and spans: the repeated windows found by each shard's suffix array. ``total``: bytes of contexts."""
+    shards, tasks = (max(1, -(-total // x)) for x in (SHARD_BYTES, TASK_BYTES))
+    dealt = contexts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(tasks, "shard").sortWithinPartitions("shard")
 
     def run(batches):
         import pyarrow as pa
@@ -240,7 +250,7 @@ def repeated(keyed: DataFrame, length: int) -> DataFrame:
     once = distinct.filter("n = 1").select("anchor", "context")
     found = []
     if total:
-        found.append(_by_shard(_contexts(keyed, wanted.filter(fits), length), max(1, -(-total // SHARD_BYTES)), length))
+        found.append(_by_shard(_contexts(keyed, wanted.filter(fits), length), total, length))
     if crowded:
         found.append(_by_window(_contexts(keyed, wanted.filter(~fits), length), length))
     for f in found:
@@ -267,25 +277,43 @@ def _kept(data: bytes, ranges: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
+def _digested(doc: int, data: bytes, ranges: list[tuple[int, int]]) -> tuple:
+    return None if doc == _NO_ID else doc, len(data), sum(b - a for a, b in ranges), len(ranges), hashlib.sha256(_kept(data, ranges)).hexdigest()
+
+
 def digest(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row."""
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row.
+
+    Only the texts of documents that may lose something are joined to their spans; the others are digested where they
+    are read.
+    """
     keyed = _keyed(docs, text)
-    joined = keyed.join(repeated(keyed, length), ["id", "mark"], "left").select("id", "data", "spans")
+    lost = cut(repeated(keyed, length))
+    there = _bit_set(lost)
+    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
-    def run(batches):
+    def first(batches):
         import pyarrow as pa
 
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc, data, spans in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                ranges = _covered(spans or [], length)
-                row = (None if doc == _NO_ID else doc, len(data), sum(b - a for a, b in ranges), len(ranges), hashlib.sha256(_kept(data, ranges)).hexdigest())
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+            hit = there(batch.column("slot").to_numpy())
+            rows = [None if h else _digested(doc, data, []) for h, doc, data in zip(hit.tolist(), batch.column("id").to_pylist(), batch.column("data").to_pylist(), strict=True)]
+            done = [pa.array([r and r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            body = pa.array(np.where(hit, batch.column("data").to_numpy(zero_copy_only=False), None), pa.binary())
+            yield pa.RecordBatch.from_arrays([*done, batch.column("id"), batch.column("mark"), body], [x.split()[0] for x in fields.split(", ")] + ["id", "mark", "data"])
+
+    def second(batches):
+        import pyarrow as pa
+
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        for batch in batches:
+            rows = [_digested(doc, data, _covered(spans or [], length)) for doc, data, spans in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], [x.split()[0] for x in fields.split(", ")])
+
+    read = keyed.withColumn("slot", _slot()).mapInArrow(first, f"{fields}, id long, mark int, data binary")
+    open_ = read.filter("kept_sha256 IS NULL").select("id", "mark", "data").join(lost, ["id", "mark"], "left").select("id", "data", "spans")
+    return read.filter("kept_sha256 IS NOT NULL").select(*(x.split()[0] for x in fields.split(", "))).unionByName(open_.mapInArrow(second, fields))
 
 
 def remove(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
