@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidora.llm import bpe, packing, quality, secret_scan, sharding, simhash, suffix_dedup, vector_dedup
+from evidora.llm import bpe, packing, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup
 from evidora.llm.common import table
 
 
@@ -25,6 +25,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.read_file(vocabulary("word_bpe_49k.json")).decode())
 
@@ -54,6 +58,6 @@ def op10_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.group(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op9_quality_rules, op10_embedding_pq)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op9_quality_rules, op10_embedding_pq)}
 
 SQL: dict[str, str] = {}
