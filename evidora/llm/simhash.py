@@ -56,24 +56,26 @@ def majority(hashes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> DataFrame:
-    """doc_id and its fingerprint as a long; one pass, no shuffle."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", distinct: bool = False) -> DataFrame:
+    """doc_id, ``body`` (a hash of the text) and the fingerprint as a long, of ``distinct`` shingles or of all; one pass, no shuffle."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             done, group, size = [], [], 0
-            for body in batch.column(1).to_pylist():
-                group.append(np.asarray(shingle_hashes(body, shingle), np.uint64))
+            for body in batch.column(2).to_pylist():
+                hashes = np.asarray(shingle_hashes(body, shingle), np.uint64)
+                group.append(np.unique(hashes) if distinct else hashes)
                 size += len(group[-1])
                 if size > 1 << 18:
                     done.append(majority(group))
                     group, size = [], 0
             done.append(majority(group))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(done).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(done).view(np.int64))], ["doc_id", "body", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, "doc_id long, fp long")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(whole, F.length(whole)), whole).mapInArrow(run, "doc_id long, body long, fp long")
 
 
 def _join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -92,8 +94,12 @@ def _join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             labels[:] = lower
 
 
-def trie_join(groups: np.ndarray, values: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
-    """For rows sorted by (group, value), each row's smallest row linked within its group through ``distance`` bits or fewer."""
+def trie_join(groups: np.ndarray, values: np.ndarray, distance: int = DISTANCE, nearest: np.ndarray | None = None) -> np.ndarray:
+    """For rows sorted by (group, value), each row's smallest row linked within its group through ``distance`` bits or fewer.
+
+    ``nearest``, one entry a row, is lowered to (bits << 40 | row) of the nearest earlier row within ``distance``; no
+    pair is left out then.
+    """
     n = len(values)
     labels = np.arange(n)
     if n < 2:
@@ -107,7 +113,7 @@ def trie_join(groups: np.ndarray, values: np.ndarray, distance: int = DISTANCE)
     while stack:
         depth, ulo, uhi, vlo, vhi, err = stack.pop()
         change = np.concatenate([[0], np.cumsum(labels[1:] != labels[:-1])])
-        joined = (labels[ulo] == labels[vlo]) & (change[uhi - 1] == change[ulo]) & (change[vhi - 1] == change[vlo])
+        joined = (labels[ulo] == labels[vlo]) & (change[uhi - 1] == change[ulo]) & (change[vhi - 1] == change[vlo]) & (nearest is None)
         work = (uhi - ulo) * (vhi - vlo)
         leaf = ~joined & ((work <= _LEAF) | (depth == 64))
         if leaf.any():
@@ -118,9 +124,11 @@ def trie_join(groups: np.ndarray, values: np.ndarray, distance: int = DISTANCE)
                     k = np.arange(len(pair)) - np.repeat(np.cumsum(work[part]) - work[part], work[part])
                     wide = (vhi - vlo)[pair]
                     a, b = ulo[pair] + k // wide, vlo[pair] + k % wide
-                    near = np.bitwise_count(values[a] ^ values[b]) <= distance
-                    near &= a < b
+                    bits = np.bitwise_count(values[a] ^ values[b])
+                    near = (bits <= distance) & (a < b)
                     _join_labels(labels, a[near], b[near])
+                    if nearest is not None:
+                        np.minimum.at(nearest, b[near], bits[near].astype(np.int64) << 40 | a[near])
         rest = np.flatnonzero(~joined & ~leaf)
         if not len(rest):
             continue
@@ -176,8 +184,11 @@ def _bucketed(distinct: DataFrame, distance: int) -> DataFrame:
     return done
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Edges (a, b) over the distinct ``fp`` that connect exactly those that a chain of near fingerprints connects."""
+def links(distinct: DataFrame, distance: int = DISTANCE, nearest: bool = False) -> DataFrame:
+    """Edges (a, b) over the distinct ``fp`` that connect exactly those that a chain of near fingerprints connects.
+
+    With ``nearest``, each fingerprint's nearest earlier one in a bucket is an edge besides the first of its component.
+    """
     dealt = _bucketed(distinct, distance).repartition("mask", "part").sortWithinPartitions("mask", "part", "fp")
 
     def run(batches):
@@ -188,9 +199,14 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
             group, value = np.cumsum(new), fp.view(np.uint64)
             order = np.lexsort((value, group))
             group, value = group[order], value[order]
-            label = trie_join(group, value, distance)
-            at = np.flatnonzero(label != np.arange(len(label)))
-            return pa.RecordBatch.from_arrays([pa.array(value[at].view(np.int64)), pa.array(value[label[at]].view(np.int64))], ["a", "b"])
+            close = np.full(len(value), 1 << 60) if nearest else None
+            label = trie_join(group, value, distance, close)
+            a = np.flatnonzero(label != np.arange(len(label)))
+            b = label[a]
+            if nearest:
+                near = np.flatnonzero(close < 1 << 60)
+                a, b = np.concatenate([a, near]), np.concatenate([b, close[near] & (1 << 40) - 1])
+            return pa.RecordBatch.from_arrays([pa.array(value[a].view(np.int64)), pa.array(value[b].view(np.int64))], ["a", "b"])
 
         held = [np.empty(0, np.int64)] * 3
         for batch in batches:
@@ -207,19 +223,61 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return dealt.select("mask", "part", "fp").mapInArrow(run, "a long, b long")
 
 
+def _named(distinct: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """``key`` and component_id for the rows of ``distinct`` (key, first), joined by ``edges`` over keys."""
+    roots = cut(components(edges))
+    rooted = distinct.join(roots, F.col(key) == F.col("node"), "left").select(key, "first", F.coalesce("root", key).alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return cut(rooted.join(least, "root").select(key, "component_id"))
+
+
 def group(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, text: str = "text") -> DataFrame:
     """doc_id, fp (long) and component_id (the smallest doc_id reachable) for every row."""
-    marked = cut(fingerprints(docs, shingle, text))
+    marked = cut(fingerprints(docs, shingle, text).drop("body"))
     distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = cut(components(links(distinct, distance)))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = cut(rooted.join(least, "root").select("fp", "component_id"))
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(_named(distinct, links(distinct, distance), "fp"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep(docs: DataFrame, shingle: int, distance: int, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its group's smallest, with their own columns."""
+def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFrame:
+    """body and set (the distinct hashes of its shingles) of the texts in ``wanted`` (doc_id, body)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [np.unique(np.asarray(shingle_hashes(x, shingle), np.uint64)).view(np.int64) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["body", "set"])
+
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole, F.length(whole)).alias("body"), whole.alias("whole"))
+    return rows.join(wanted, ["doc_id", "body"], "left_semi").dropDuplicates(["body"]).select("body", "whole").mapInArrow(run, "body long, set array<long>")
+
+
+def verified(docs: DataFrame, shingle: int, similarity: float, distance: int, text: str = "text") -> DataFrame:
+    """doc_id and component_id for every row; texts are linked if the Jaccard similarity of their shingles is proven.
+
+    Candidates come from fingerprints of the distinct words, whose bits move far less with an edit than those of long
+    shingles: a text with the first of its fingerprint, a fingerprint with its bucket's first and its nearest. Every
+    candidate is compared by its exact sets of ``shingle``-word hashes; two texts without words are equal.
+    """
+    marked = cut(fingerprints(docs, 1, text, distinct=True))
+    texts = cut(marked.groupBy("body").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp")))
+    marks = cut(texts.groupBy("fp").agg(F.min(F.struct("first", "body")).alias("m")).select("fp", "m.first", "m.body"))
+    heads = marks.select("fp", F.col("body").alias("head"))
+    same = texts.join(heads, "fp").filter("body <> head").select(F.col("body").alias("a"), F.col("head").alias("b"))
+    near = links(marks.select("fp"), distance, nearest=True).distinct()
+    across = near.join(heads.toDF("a", "x"), "a").join(heads.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = cut(same.union(across).distinct())
+    bodies = pairs.select(F.col("a").alias("body")).union(pairs.select(F.col("b").alias("body"))).distinct()
+    sets = cut(_sets(docs, texts.join(bodies, "body").select(F.col("first").alias("doc_id"), "body"), shingle, text))
+    both = pairs.join(sets.toDF("a", "s"), "a").join(sets.toDF("b", "t"), "b")
+    common, total = F.size(F.array_intersect("s", "t")), F.size("s") + F.size("t")
+    edges = both.filter((total == 0) | (common >= similarity * (total - common))).select("a", "b")
+    return marked.join(_named(texts.select("body", "first"), edges, "body"), "body").select("doc_id", "component_id")
+
+
+def keep(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the component_id of its group in ``grouped``, with their own columns."""
     other = fresh(docs, "_kept")
-    stays = group(docs, shingle, distance, text).filter("doc_id = component_id").select(F.col("doc_id").alias(other)).distinct()
+    stays = grouped.filter("doc_id = component_id").select(F.col("doc_id").alias(other)).distinct()
     return docs.join(stays, F.col("doc_id") == F.col(other), "left_semi")

@@ -319,17 +319,27 @@ def digest(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
 def remove(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """``docs`` without the repeated bytes; rows and other columns stay, a null text stays null.
 
-    A cut may leave part of a character; the bytes of such parts go too, so that the text stays valid.
+    A cut may leave part of a character; the bytes of such parts go too, so that the text stays valid. Only documents
+    that may lose something are joined to their spans.
     """
+    lost = cut(repeated(_keyed(docs, text), length))
+    there = _bit_set(lost)
     names = [fresh(docs, "_id"), fresh(docs, "_mark"), fresh(docs, "_spans")]
-    spans = repeated(_keyed(docs, text), length).toDF(*names)
-    keys = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)) == F.col(names[0])) & (F.hash(F.coalesce(F.col(text), F.lit("")).cast("binary")) == F.col(names[1]))
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), F.hash(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+    @F.pandas_udf("boolean")
+    def may_lose(slots):
+        import pandas as pd
+
+        return pd.Series(there(slots.to_numpy()))
 
     @F.pandas_udf("string")
     def cut_out(bodies, found):
         import pandas as pd
 
-        return pd.Series([b if s is None or b is None else _kept(b.encode(), _covered(s, length)).decode(errors="ignore") for b, s in zip(bodies, found, strict=True)])
+        return pd.Series([b if s is None or b is None else _kept(b.encode(), _covered(s, length)).decode(errors="ignore") for b, s in zip(bodies, found, strict=True)], dtype=object)
 
-    joined = docs.join(spans, keys, "left")
-    return joined.withColumn(text, F.when(F.col(names[2]).isNull(), F.col(text)).otherwise(cut_out(F.col(text), F.col(names[2])))).select(*docs.columns)
+    hit = may_lose(F.pmod(F.xxhash64(*own), F.lit(32 * FILTER_WORDS)))
+    joined = docs.filter(hit).join(lost.toDF(*names), (own[0] == F.col(names[0])) & (own[1] == F.col(names[1])), "left")
+    fixed = joined.withColumn(text, cut_out(F.col(text), F.col(names[2]))).select(*docs.columns)
+    return docs.filter(~hit).unionByName(fixed)

@@ -85,10 +85,49 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(1, 101)}, **{1000 + i: 1000 for i in range(1, 50)}, 2001: 2000}
 
 
+def test_nearest_edges_span_the_same_components(spark):
+    rng = random.Random(3)
+    values = near_sets(rng, 5, 60, 4)
+    frame = spark.createDataFrame([(v - 2**64 if v >> 63 else v,) for v in values], "fp long")
+    plain, near = ({r.node: r.root for r in components.components(simhash.links(frame, 7, n)).collect()} for n in (False, True))
+    assert plain == near
+
+
+def jaccard(a, b):
+    def grams(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    x, y = grams(a), grams(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_verified_groups(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    texts = [None, "", " ", "one", "one"]
+    for _ in range(25):
+        base = [word() for _ in range(200)]
+        texts.append(" ".join(base))
+        for k in (1, 2, 3, 30):
+            copy = list(base)
+            for i in rng.sample(range(200), k):
+                copy[i] = word()
+            texts.append(" ".join(copy))
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.verified(frame, 5, 0.8, 7).collect()}
+    want = brute_components(list(range(len(texts))), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
+    wrong = [i for i in got if got[i] != want[i]]
+    assert len(got) == len(texts) and len(wrong) <= 0.02 * len(texts), wrong
+    assert all(want[got[i]] == want[i] for i in got)  # never a link that is not there
+
+
 def test_odd_inputs(odd, docs, rows, empty):
-    assert simhash.group(empty).count() == 0 and simhash.keep(empty, 4, 4).count() == 0
-    assert simhash.group(odd).count() == 2 * len(rows)
-    kept = simhash.keep(odd, 4, 4)
+    assert simhash.group(empty).count() == 0 and simhash.verified(empty, 5, 0.8, 7).count() == 0
+    assert simhash.group(odd).count() == 2 * len(rows) == simhash.verified(odd, 5, 0.8, 7).count()
+    grouped = simhash.group(docs)
+    kept = simhash.keep(odd, grouped)
     assert kept.columns == odd.columns
-    ids = {r.doc_id for r in simhash.group(docs).collect() if r.doc_id == r.component_id}
+    ids = {r.doc_id for r in grouped.collect() if r.doc_id == r.component_id}
     assert sorted(r.doc_id for r in kept.collect()) == sorted(list(ids) * 2)
