@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidora.llm import bpe, packing, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup
+from evidora.llm import bpe, license_scan, packing, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup
 from evidora.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"), secret_scan.written(F.col("spans")).alias("spans"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -58,6 +62,6 @@ def op10_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.group(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op9_quality_rules, op10_embedding_pq)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op8_license_scan, op9_quality_rules, op10_embedding_pq)}
 
 SQL: dict[str, str] = {}
