@@ -26,7 +26,7 @@ from evidora.llm.components import components
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Fingerprints in a bucket beyond which it is split again, and how often that may happen.
 BUCKET, DEPTH = 8192, 3
-_LEAF, _SLICE, _FLUSH = 1024, 1 << 22, 1 << 16
+_LEAF, _SLICE, _FLUSH = 1024, 1 << 19, 1 << 15
 
 
 def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> list[int]:
@@ -165,15 +165,14 @@ def _signed(x: int) -> int:
 
 def _bucketed(distinct: DataFrame, distance: int) -> DataFrame:
     """fp, mask and part (the masked bits): every pair within ``distance`` meets in one (mask, part) at least."""
-    spark = distinct.sparkSession
     rows, masks = distinct.select("fp", F.lit(0).cast("long").alias("mask")), [0]
     done = None
     for depth in range(DEPTH):
-        # a table of (distance + 1) ** (depth + 1) rows at most: the blocks of each mask of this depth
-        finer = [(_signed(m), _signed(b)) for m in masks for b in _blocks(m, distance + 1)]
-        masks = [b & (1 << 64) - 1 for _, b in finer]
-        steps = F.broadcast(spark.createDataFrame(finer, "mask long, finer long"))
-        split = rows.join(steps, "mask").select("fp", F.col("finer").alias("mask"), F.col("fp").bitwiseAND(F.col("finer")).alias("part"))
+        # a constant of (distance + 1) ** (depth + 1) masks at most: the blocks of each mask of this depth
+        finer = {m: _blocks(m, distance + 1) for m in masks}
+        masks = [b for blocks in finer.values() for b in blocks]
+        table = F.create_map(*[x for m, blocks in finer.items() for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(b)) for b in blocks]))])
+        split = rows.select("fp", F.explode(F.element_at(table, F.col("mask"))).alias("mask")).withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
         crowded = cut(split.groupBy("mask", "part").agg(F.count("*").alias("_n")).filter(F.col("_n") > BUCKET).drop("_n"))
         last = depth == DEPTH - 1 or crowded.isEmpty()
         calm = split if last else split.join(crowded, ["mask", "part"], "left_anti")
