@@ -21,6 +21,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 HOST_LIMIT = 0.8
+BROADCAST_HOSTS = 10_000
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
@@ -96,12 +97,15 @@ def judge(docs: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT)
 def keep(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns.
 
-    Texts are never shuffled unless the host table is too large to broadcast: the words are counted once for the hosts'
-    rates, of which only (host, base_failed) is written, and once more where the rows are filtered.
+    The words are counted once for the hosts' rates, of which only (host, base_failed) is written, and once more where
+    the rows are filtered. Rejected hosts are broadcast while they are ``BROADCAST_HOSTS`` or fewer; only beyond that
+    are texts shuffled to meet them.
     """
     failed = measures(docs, keys=(host,)).select(host, base_failed().alias("base_failed"))
     other = fresh(docs, "_host")
-    hosts = host_verdicts(cut(failed), host).filter("host_failed").select(F.col(host).alias(other))
+    hosts = cut(host_verdicts(cut(failed), host).filter("host_failed").select(F.col(host).alias(other)))
+    if hosts.count() <= BROADCAST_HOSTS:
+        hosts = F.broadcast(hosts)
     counts = let(words_of(F.col("text")), lambda w: F.struct(F.size(w).alias("n_words"), repeated_words(w).alias("n_repeat_words")))
     verdict = let(counts, lambda c: (c["n_words"] >= MIN_WORDS) & (100 * c["n_repeat_words"] <= MAX_REPEAT_PERCENT * c["n_words"]))
     return docs.filter(verdict).join(hosts, F.col(host).eqNullSafe(F.col(other)), "left_anti")
