@@ -35,7 +35,7 @@ def _plain(value: object) -> object:
     return value if isinstance(value, (str, int, float, bool, type(None))) else str(value)
 
 
-def line(level: str, msg: str, **fields) -> str:
+def line(level: str, msg: str, /, **fields) -> str:
     """One record. The fields can't take the place of ts, level, msg and run_id; outside a run there is no run_id."""
     fixed = {"ts": datetime.datetime.now(datetime.UTC).isoformat(timespec="milliseconds"), "level": level, "msg": msg}
     if _RUN.get() is not None:

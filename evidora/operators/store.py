@@ -46,7 +46,7 @@ def seed(spark: SparkSession, files: list[str], path: str, ingested_at) -> int:
     """Loads JSON arrays of documents and inserts them; a second call inserts none."""
     schema = "source string, source_id string, url string, author_handle string, title string, body string, created_at timestamp, engagement string, raw string"
     rows = spark.read.schema(schema).option("multiLine", True).json(files)
-    return append(rows, path, ["source", "source_id"], "2025-01-01 00:00:00")
+    return append(rows, path, ["source", "source_id"], ingested_at)
 
 
 def upserted(old: DataFrame, new: DataFrame, key: list[str], version: str) -> DataFrame:
