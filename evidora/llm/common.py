@@ -39,6 +39,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sampled(df: DataFrame, count: int, *keys: str) -> DataFrame:
+    """About ``count`` rows of ``df``, all if there are no more, chosen by a hash of ``keys``: a filter, so no task gathers them."""
+    total = df.count()
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit(0), *keys), 11) / float(1 << 53)
+    return df if total <= count else df.filter(unit < count / total)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -6,8 +6,8 @@ key characters, ``MIN_RUN`` or longer and outside the base spans, that a first-o
 explains better than one of ordinary identifiers, by ``MIN_RATIO`` nats a character pair or more.
 
 The models are character-pair counts with add-``SMOOTHING`` smoothing, trained on labelled samples: random are seeded
-pseudo-random base64, base62-like and hexadecimal strings; ordinary are identifiers cut from the words of at most
-``SAMPLE_DOCS`` documents (those of the smallest hash of doc_id), joined as snake case and camel case, and runs of one
+pseudo-random base64, base62-like and hexadecimal strings; ordinary are identifiers cut from the words of about
+``SAMPLE_DOCS`` documents (picked by hash; all if there are fewer), joined as snake case and camel case, and runs of one
 character. Sample and models are bounded; scoring covers every run of every text.
 
 Everything is a column expression. Defined cases: a null text counts as empty; an empty table gives an empty result
@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import let
+from evidora.llm.common import let, sampled
 
 #: The patterns of the base spans. A match is found first and dropped afterwards where it is too short.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -92,7 +92,7 @@ def samples(docs: DataFrame, text: str = "text") -> DataFrame:
     made = spark.range(RANDOM_STRINGS).select(F.explode(F.array(
         encoded, F.substring(digest, 1, 40), F.regexp_replace(encoded, "[+/=]", ""), F.upper(F.substring(F.regexp_replace(encoded, "[+/=]", ""), 1, 40)),
     )).alias("sample"), F.lit(True).alias("random"))
-    picked = docs.select(F.col(text).alias("_text"), F.xxhash64("doc_id").alias("_order"), F.col("doc_id").alias("_id")).orderBy("_order", "_id").limit(SAMPLE_DOCS)
+    picked = sampled(docs.select("doc_id", F.col(text).alias("_text")), SAMPLE_DOCS, "doc_id", "_text")
     words = F.filter(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit("[A-Za-z]+"), 0), lambda w: F.length(w).between(2, 19))
     named = picked.select(F.explode(F.array(
         F.array_join(words, "_"), F.array_join(F.transform(words, lambda w: F.initcap(w)), ""), F.array_join(F.transform(words, lambda w: F.lower(w)), "-"),
