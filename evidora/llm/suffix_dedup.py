@@ -19,6 +19,7 @@ representatives need, a task works through several, and an anchor with more than
 ``ANCHOR_CONTEXTS`` different contexts (a common line in very many documents) is dealt window by window instead: its
 windows are counted by a 128-bit hash with map-side sums. Documents without a representative are left out of step 4 by
 a bit set of fixed size. Nothing about all documents goes to the driver but counts.
+Both sides of each join on anchors are written tables, so that the adaptive skew join can split a hot one.
 
 Defined cases: a null text counts as empty; equal rows are copies of each other, so all their windows repeat; a null
 doc_id is an id of its own; texts of any length are read whole; texts shorter than ``length`` bytes stay as they are; an empty table gives an empty result; other columns are not
@@ -238,11 +239,11 @@ def _by_window(contexts: DataFrame, length: int) -> DataFrame:
 
 def repeated(keyed: DataFrame, length: int) -> DataFrame:
     """id, mark and spans (first window, windows) of all repeated windows, a row for each document that has any."""
-    common = _anchors(keyed, length).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    common = cut(_anchors(keyed, length).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
     met = cut(_runs(keyed, length).join(common, "anchor", "left_semi"))
     where = F.min(F.struct("id", "mark", "first", "windows"))
     distinct = cut(met.groupBy("anchor", "context").agg(F.count("*").alias("n"), where.alias("w")).select("anchor", "context", "n", "w.*"))
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+    several = cut(distinct.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1"))
     wanted = cut(distinct.join(several, "anchor"))
     fits = F.col("contexts") <= ANCHOR_CONTEXTS
     total, crowded = wanted.agg(F.sum(F.when(fits, F.col("windows") + length)), F.count_if(~fits)).first()
