@@ -6,8 +6,8 @@ The sum grows with the length of the text, so it is divided by the number of n-g
 Gumbel noise hashed from the doc_id is added, and a share of the documents with the largest keys is kept, which is a
 sample without replacement in proportion to the importance. The share is that of good documents among all labels.
 
-The raw model counts every document; the target model is fitted on at most ``TARGET_DOCS`` labelled documents (those of
-the smallest hash of doc_id). Tasks add up counts in one array of ``BUCKETS`` numbers each. The k-th largest key is
+The raw model counts every document; the target model is fitted on about ``TARGET_DOCS`` labelled documents (picked
+by hash; all if there are fewer). Tasks add up counts in one array of ``BUCKETS`` numbers each. The k-th largest key is
 found by counting keys in ``BINS`` intervals and looking into the one that holds it, again and again; no more than
 ``LAST`` keys ever gather in one place.
 
@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut
+from evidora.llm.common import cut, sampled
 
 #: Production parameters.
 BUCKETS = 1 << 16
@@ -62,7 +62,7 @@ def features(text: str | None) -> np.ndarray:
 def models(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Counts by bucket of the target and of all text."""
     good = labels.filter("quality = 1").select(F.col("doc_id").alias("_good")).distinct()
-    chosen = F.broadcast(good.orderBy(F.xxhash64("_good"), "_good").limit(TARGET_DOCS))  # TARGET_DOCS ids at most
+    chosen = F.broadcast(sampled(good, TARGET_DOCS, "_good"))  # about TARGET_DOCS ids
     rows = docs.select("doc_id", F.col(text).alias("_text")).join(chosen, F.col("doc_id") == F.col("_good"), "left")
 
     def run(batches):

@@ -1,8 +1,8 @@
 """Near-duplicate embeddings by inverted lists and product-quantised residuals, with an exact rerank.
 
 Vectors are brought to unit length; equal ones are collapsed with their number. A coarse k-means gives lists and a
-k-means in each of ``SUBSPACES`` slices of the residuals gives codes; both are fitted on at most ``SAMPLE`` distinct
-vectors (those of the smallest hash), and every vector is indexed. A vector is a query in every list that could hold a
+k-means in each of ``SUBSPACES`` slices of the residuals gives codes; both are fitted on about ``SAMPLE`` distinct
+vectors (picked by hash; all if there are fewer), and every vector is indexed. A vector is a query in every list that could hold a
 partner: for unit vectors a cosine of ``threshold`` is a distance t = sqrt(2 - 2 threshold), and a vector y nearer to
 centroid b than to the query's own a lies at least (d(q,b)^2 - d(q,a)^2) / (2 d(a,b)) away from q. Lists beyond t are
 the only ones left out, so no pair is lost. In a list, table lookups give the distance from the query to each coded
@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut
+from evidora.llm.common import cut, sampled
 from evidora.llm.components import components
 from evidora.llm.simhash import _join_labels
 
@@ -127,7 +127,7 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
     width = -(-width // SUBSPACES) * SUBSPACES
     radius = float(np.sqrt(2 - 2 * threshold)) + 1e-9
     lists = int(max(1, min(LISTS, total / max(1, kinds) / LIST_VECTORS)))
-    sample = vectors.select("vector", F.xxhash64("vector").alias("h"), "id").orderBy("h", "id").limit(SAMPLE).select("vector").toArrow()
+    sample = sampled(vectors.select("vector"), SAMPLE, "vector").toArrow()
     index = spark.sparkContext.broadcast(Index.fit(_units(_matrix(sample.column(0)), width), lists))
 
     def place(batches):
