@@ -131,3 +131,43 @@ def traced(members: DataFrame, points: DataFrame, documents: DataFrame) -> DataF
     """cluster, point and document of every piece of evidence, along the whole chain."""
     each = members.join(points, "point").select("cluster", "point", F.explode("source_document_ids").alias("document"))
     return each.join(documents.select(F.col("id").alias("document"), "source"), "document")
+
+
+def embedded(documents: DataFrame, embed, model: str, at: str, text: str = "body") -> DataFrame:
+    """Rows for the embeddings table: ``embed`` (a list of texts to a list of vectors) runs in Arrow batches.
+
+    It is to be given the documents that have no vector yet (store.missing_embeddings), so a second run adds none.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            vectors = embed([x or "" for x in batch.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([[float(v) for v in x] for x in vectors], pa.list_(pa.float32()))], ["document_id", "vector"])
+
+    made = documents.select(F.col("id").alias("document_id"), text).mapInArrow(run, "document_id string, vector array<float>")
+    return made.select(F.sha2(F.concat_ws("\u001f", "document_id", F.lit(model)), 256).alias("id"), "document_id", F.lit(model).alias("model"), "vector", F.lit(at).cast("timestamp").alias("created_at"))
+
+
+def cost_projection(usage: DataFrame, per_month: int, rate: str) -> DataFrame:
+    """Dollars a month for ``per_month`` documents, from the tokens that documents so far have taken; 0 without any."""
+    return usage.agg(F.round(F.coalesce(F.avg("tokens"), F.lit(0.0)) * per_month * float(rate) / 1e6, 4).alias("projected_usd"))
+
+
+def last_known(rows: DataFrame, group: str, order: str, value: str) -> DataFrame:
+    """Per group the latest value that is there."""
+    return rows.groupBy(group).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias(value))
+
+
+def export(rows: DataFrame, path: str) -> None:
+    """Scalar columns as CSV with a header."""
+    rows.write.mode("overwrite").option("header", True).csv(path)
+
+
+def markdown(rows: DataFrame, limit: int = 500) -> str:
+    """The first ``limit`` rows, ordered by all columns, as a table for reading."""
+    shown = rows.orderBy(*rows.columns).limit(limit).collect()
+    cell = lambda x: "" if x is None else str(x).replace("|", "\\|").replace("\n", " ")
+    lines = ["| " + " | ".join(rows.columns) + " |", "|" + "---|" * len(rows.columns)]
+    return "\n".join(lines + ["| " + " | ".join(map(cell, r)) + " |" for r in shown])

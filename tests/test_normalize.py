@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from evidora.functions import columns as C
 from evidora.operators import normalize, tree
+from tests_fixtures import comment, post, review
 
 ITEM = {"id": 7, "type": "story", "time": 1700000000, "by": "ann", "title": "T", "score": 5, "descendants": 2, "parts": [1]}
 
@@ -31,13 +32,6 @@ def test_items(spark):
     assert json.loads(one(spark, 200, {"id": 9, "type": "story", "time": 1}).engagement) == {"points": 0, "commentCount": 0}
 
 
-def review(**over):
-    base = {"id": {"label": "r1"}, "author": {"name": {"label": "Bo"}, "uri": {"label": "https://x"}, "label": ""}, "updated": {"label": "2025-01-02T03:04:05-07:00"}, "title": {"label": "Hi"},
-            "content": {"label": "text", "attributes": {"type": "text"}}, "im:rating": {"label": "4"}, "im:voteCount": {"label": "3"}, "im:voteSum": {"label": "1"}, "other": [1]}
-    base.update(over)
-    return {k: v for k, v in base.items() if v is not ...}
-
-
 def test_reviews(spark):
     entries = [review(), review(**{"im:rating": {"label": " 5 "}, "im:voteCount": ..., "title": {"label": "  "}}), review(**{"im:rating": {"label": "4.5"}}), review(**{"im:rating": {"label": ""}}), review(**{"im:rating": {"label": "6"}}),
                review(updated={"label": "soon"}), review(content=...), review(title={"label": 5}), "text", review(author={"name": {"label": " "}})]
@@ -59,10 +53,6 @@ def test_feed_envelope(spark):
     assert got == [(0, True, -1, False), (1, True, 0, True), (2, True, 0, True), (2, True, 1, True), (3, False, -1, False), (4, False, -1, False)]
 
 
-def post(**over):
-    return {k: v for k, v in {"id": "a1", "name": "t3_a1", "permalink": "/r/x/a1/", "title": "T", "created_utc": 1700000000.0, "author": "ann", "author_fullname": "t2_9", "score": 3, "num_comments": 6, **over}.items() if v is not ...}
-
-
 def test_listing_and_posts(spark):
     listing = {"kind": "Listing", "data": {"after": "t3_z", "children": [{"kind": "t3", "data": post()}, 5, {"kind": "t3"}, {"kind": "t3", "data": post(title=...)}, {"kind": "t3", "data": post(author="[deleted]", upvote_ratio=0.5, selftext="s")}]}}
     children = normalize.listing_children(spark.createDataFrame([(json.dumps(listing),)], "body string"))
@@ -74,10 +64,6 @@ def test_listing_and_posts(spark):
     assert got[2].author_handle is None and "author_fullname" not in json.loads(got[0].raw)
 
 
-def comment(n, replies="", **over):
-    return {"kind": "t1", "data": {k: v for k, v in {"id": n, "name": f"t1_{n}", "body": n, "created_utc": 1, "replies": replies, **over}.items() if v is not ...}}
-
-
 def test_threads(spark):
     deep = {"kind": "Listing", "data": {"children": [comment("c"), comment("d")]}}
     reply = {"kind": "Listing", "data": {"children": [comment("b", deep), {"kind": "more", "data": {}}]}}
