@@ -44,7 +44,7 @@ SHARD_BYTES, TASK_BYTES = 400_000, 8_000_000
 ANCHOR_CONTEXTS = 8192
 FILTER_WORDS = 1 << 17  # of 32 bits each: 512 kB
 _NO_ID = -(1 << 63)
-_GROUP = 1 << 22
+_GROUP = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -91,17 +91,23 @@ def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np
     return text, anchor[first], first, count, joined, starts
 
 
-def _grouped(batch_texts: list[bytes | None]):
-    """Runs of neighbouring texts of about ``_GROUP`` bytes, with the number of the first."""
-    group, size, first = [], 0, 0
+def _grouped(batch_texts: list[bytes | None], length: int):
+    """Groups of about ``_GROUP`` bytes: numbers of the texts, offsets in them, and their bytes.
+
+    A longer text comes in parts that overlap by all but one byte of a window, so each of its windows is in one part.
+    """
+    numbers, offsets, parts, size = [], [], [], 0
     for k, t in enumerate(batch_texts):
-        group.append(t or b"")
-        size += len(group[-1])
-        if size >= _GROUP:
-            yield first, group
-            group, size, first = [], 0, k + 1
-    if group:
-        yield first, group
+        for at in range(0, max(1, len(t or b"") - length + 1), _GROUP):
+            numbers.append(k)
+            offsets.append(at)
+            parts.append((t or b"")[at : at + _GROUP + length - 1])
+            size += len(parts[-1])
+            if size >= _GROUP:
+                yield np.asarray(numbers), np.asarray(offsets), parts
+                numbers, offsets, parts, size = [], [], [], 0
+    if parts:
+        yield np.asarray(numbers), np.asarray(offsets), parts
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
@@ -117,7 +123,7 @@ def _anchors(keyed: DataFrame, length: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for _, group in _grouped(batch.column(0).to_pylist()):
+            for *_, group in _grouped(batch.column(0).to_pylist(), length):
                 yield pa.RecordBatch.from_arrays([pa.array(runs(group, length)[1].view(np.int64))], ["anchor"])
 
     return keyed.select("data").mapInArrow(run, "anchor long")
@@ -132,13 +138,13 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
 
         for batch in batches:
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for base, group in _grouped(batch.column(2).to_pylist()):
+            for numbers, offsets, group in _grouped(batch.column(2).to_pylist(), length):
                 text, anchor, first, count, joined, starts = runs(group, length)
                 view, of = memoryview(joined), xxhash.xxh3_64_intdigest
                 context = [of(view[a:b]) for a, b in zip(first.tolist(), (first + count + length - 1).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[base + text]), pa.array(marks[base + text]), pa.array(anchor.view(np.int64)),
-                    pa.array(np.asarray(context, np.uint64).view(np.int64)), pa.array((first - starts[text]).astype(np.int64)), pa.array(count.astype(np.int32)),
+                    pa.array(ids[numbers[text]]), pa.array(marks[numbers[text]]), pa.array(anchor.view(np.int64)),
+                    pa.array(np.asarray(context, np.uint64).view(np.int64)), pa.array((first - starts[text] + offsets[text]).astype(np.int64)), pa.array(count.astype(np.int32)),
                 ], ["id", "mark", "anchor", "context", "first", "windows"])
 
     return keyed.mapInArrow(run, "id long, mark int, anchor long, context long, first long, windows int")
