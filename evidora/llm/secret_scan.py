@@ -6,7 +6,7 @@ key characters, ``MIN_RUN`` or longer and outside the base spans, that a first-o
 explains better than one of ordinary identifiers, by ``MIN_RATIO`` nats a character pair or more.
 
 The models are character-pair counts with add-``SMOOTHING`` smoothing, trained on labelled samples: random are seeded
-pseudo-random base64, base62-like and hexadecimal strings; ordinary are identifiers cut from the words of about
+pseudo-random base64, base62-like and hexadecimal strings in either case; ordinary are identifiers cut from the words of about
 ``SAMPLE_DOCS`` documents (picked by hash; all if there are fewer), joined as snake case and camel case, and runs of one
 character. Sample and models are bounded; scoring covers every run of every text.
 
@@ -90,7 +90,7 @@ def samples(docs: DataFrame, text: str = "text") -> DataFrame:
     digest = F.sha2(F.col("id").cast("string"), 512)
     encoded = F.base64(F.unhex(digest))
     made = spark.range(RANDOM_STRINGS).select(F.explode(F.array(
-        encoded, F.substring(digest, 1, 40), F.regexp_replace(encoded, "[+/=]", ""), F.upper(F.substring(F.regexp_replace(encoded, "[+/=]", ""), 1, 40)),
+        encoded, F.substring(digest, 1, 40), F.upper(F.substring(digest, 41, 40)), F.regexp_replace(encoded, "[+/=]", ""), F.upper(F.substring(F.regexp_replace(encoded, "[+/=]", ""), 1, 40)),
     )).alias("sample"), F.lit(True).alias("random"))
     picked = sampled(docs.select("doc_id", F.col(text).alias("_text")), SAMPLE_DOCS, "doc_id", "_text")
     words = F.filter(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit("[A-Za-z]+"), 0), lambda w: F.length(w).between(2, 19))
