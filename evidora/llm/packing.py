@@ -36,8 +36,8 @@ from evidora.llm.common import cut
 #: Production parameters.
 CAPACITY = 4096
 END_ID = 1
-#: Pieces of one length that a ranking task takes, on average, and the least number of groups of a length.
-GROUP_PIECES, GROUPS = 16384, 64
+#: Pieces of one length that a ranking task takes, on average.
+GROUP_PIECES = 4096
 
 
 class Encoder:
@@ -191,10 +191,11 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Iterator[Step]:
 def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset for every piece of every row."""
     pieces = cut(cut_pieces(docs, definition, capacity, end_id, text))
-    # ranks: a group is one task's share of one length
-    grouped = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(max(GROUPS, pieces.count() // GROUP_PIECES))))
-    counts = cut(grouped.groupBy("length", "_group").agg(F.count("*").alias("_n")))
-    histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # ``capacity`` rows at most
+    histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # ``capacity`` rows at most
+    # ranks: a length is dealt to as many groups as its pieces need; the constant below has a number for each length
+    groups = F.split(F.lit(",".join(str(-(-histogram.get(n, 0) // GROUP_PIECES) or 1) for n in range(capacity + 1))), ",").cast("array<int>")
+    grouped = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.get(groups, F.col("length").cast("int"))))
+    counts = grouped.groupBy("length", "_group").agg(F.count("*").alias("_n"))
     steps = list(plan(histogram, capacity))
     spark = docs.sparkSession
     table = {}

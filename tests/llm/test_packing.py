@@ -83,3 +83,9 @@ def test_odd_inputs(odd, docs, empty):
     assert packing.pack(empty, definition).count() == 0
     once, twice = packing.pack(docs, definition).collect(), packing.pack(odd, definition).collect()
     assert len(twice) == 2 * len(once) == len({(r.sequence_id, r.offset) for r in twice})
+
+
+def test_hot_length_in_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 7)
+    rows = [(i, "same text" if i % 3 else f"text {i} " * (i % 40)) for i in range(300)]
+    check(packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), open(PATH).read()).collect(), rows)
