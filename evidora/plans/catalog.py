@@ -65,9 +65,6 @@ def normalize_author_null(spark, sf_dir):
     return _events(spark, sf_dir).select("event_id", C.prefixed_author(raw).alias("author"))
 
 
-_ITEMS = """SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 503 ELSE 200 END AS status, event_id % 13 = 0 AS gone, event_id % 17 = 0 AS odd, event_id % 19 = 0 AS poll, ts, user_id, event_type FROM events"""
-
-
 def _item_rows(spark, sf_dir):
     """Payloads made from events: some fail, some are null, deleted, polls or have a title that is a number."""
     i, e = F.col("event_id"), _events(spark, sf_dir)
@@ -303,9 +300,8 @@ def passed_window_flag(spark, sf_dir):
     return windows.passed_window(e, "page", "s", F.lit(_FROM))
 
 
-@query("""SELECT (row_number() OVER (ORDER BY event_type) - 1) * (SELECT count(*) FROM region) + r AS ordinal, event_type || ':' || r_name AS pair, event_type || ' (' || r_name || ')' AS label
-  FROM (SELECT DISTINCT event_type FROM events), (SELECT r_name, row_number() OVER (ORDER BY r_name) - 1 AS r FROM region) WHERE false
-  UNION ALL SELECT e.i * n.n + r.r, e.event_type || ':' || r.r_name, e.event_type || ' (' || r.r_name || ')' FROM (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS i FROM (SELECT DISTINCT event_type FROM events)) e,
+@query("""SELECT e.i * n.n + r.r AS ordinal, e.event_type || ':' || r.r_name AS pair, e.event_type || ' (' || r.r_name || ')' AS label
+  FROM (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS i FROM (SELECT DISTINCT event_type FROM events)) e,
   (SELECT r_name, row_number() OVER (ORDER BY r_name) - 1 AS r FROM region) r, (SELECT count(*) AS n FROM region) n""")
 def pair_cross_product(spark, sf_dir):
     kinds = _events(spark, sf_dir).select("source").distinct()
@@ -490,9 +486,6 @@ def token_bucket_delays(spark, sf_dir):
 
 # --- analytics (own formulas) --------------------------------------------------------------------------------------
 
-_COS = "round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 4)"
-
-
 @query("""SELECT query, id, rank FROM (SELECT a.vec_id AS query, b.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) DESC, b.vec_id) AS rank
   FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE rank <= 5""")
 def embedding_topk_cosine(spark, sf_dir):
