@@ -27,6 +27,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evidora.llm.common import values
+
 #: Classes of characters. SPACE is a U+0020 that the next token takes in; LONE is other white space before a token;
 #: RUN is white space before white space or the end; QUOTE2 and QUOTE3 are apostrophes before a contraction's letters.
 LETTER, NUMBER, OTHER, SPACE, LONE, RUN, QUOTE2, QUOTE3, END = range(9)
@@ -206,12 +208,12 @@ class Codec:
         return ",".join(map(self._numbers.__getitem__, ids))
 
 
-def _groups(values: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
+def _groups(texts: Iterable[str | None], most: int = 1 << 20) -> Iterator[list[str]]:
     """Runs of texts of about ``most`` characters, so that a batch's arrays stay small."""
     group, size = [], 0
-    for v in values:
-        group.append(v)
-        size += len(v)
+    for text in texts:
+        group.append(text or "")
+        size += len(group[-1])
         if size >= most:
             yield group
             group, size = [], 0
@@ -237,7 +239,7 @@ def round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
         codec = Codec(data.value)
         for batch in batches:
             n, ids_sha, back_sha = [], [], []
-            for group in _groups([x or "" for x in batch.column(1).to_pylist()]):
+            for group in _groups(values(batch.column(1))):
                 for ids, _ in codec.encode(group):
                     n.append(len(ids))
                     ids_sha.append(hashlib.sha256(codec.written(ids).encode()).hexdigest())
@@ -257,7 +259,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
 
         codec = Codec(data.value)
         for batch in batches:
-            rows = [x for group in _groups([x or "" for x in batch.column(1).to_pylist()]) for x in codec.encode(group)]
+            rows = [x for group in _groups(values(batch.column(1))) for x in codec.encode(group)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids for ids, _ in rows], pa.list_(pa.int32())),
                                               pa.array([o.tolist() for _, o in rows], pa.list_(pa.int64()))], ["doc_id", "ids", "offsets"])
 

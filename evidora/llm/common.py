@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,12 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def values(column, step: int = 256) -> Iterator:
+    """The Python values of an Arrow column, ``step`` at a time, so that a batch of long texts is not held twice."""
+    for k in range(0, len(column), step):
+        yield from column.slice(k, step).to_pylist()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut
+from evidora.llm.common import cut, values
 
 #: Production parameters.
 CAPACITY = 4096
@@ -102,7 +102,7 @@ def cut_pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_i
         encode = _encoder(shared.value)
         for batch in batches:
             out: list[list[int]] = [[], [], [], [], []]
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, body in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
                 ids = encode(body or "") + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, sampled
+from evidora.llm.common import cut, sampled, values
 
 #: Production parameters.
 BUCKETS = 1 << 16
@@ -70,7 +70,7 @@ def models(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[np.n
 
         target, raw = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for body, is_target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for body, is_target in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
                 counts = np.bincount(features(body).astype(np.int64), minlength=BUCKETS)
                 raw += counts
                 if is_target:
@@ -100,9 +100,11 @@ def score(docs: DataFrame, ratio: np.ndarray, text: str = "text") -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            found = [features(x) for x in batch.column(1).to_pylist()]
-            weight = [SHARPNESS * float(shared.value[f].mean()) if len(f) else 0.0 for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array(weight, pa.float64())], ["doc_id", "n_features", "importance"])
+            count, weight = [], []
+            for f in map(features, values(batch.column(1))):
+                count.append(len(f))
+                weight.append(SHARPNESS * float(shared.value[f].mean()) if len(f) else 0.0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(weight, pa.float64())], ["doc_id", "n_features", "importance"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, "doc_id long, n_features long, importance double")
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidora.llm.common import cut, fresh
+from evidora.llm.common import values as each_value
 from evidora.llm.components import components
 
 #: Production parameters. SHINGLE and DISTANCE are those of the query; the pipeline stage has its own in corpus_pipeline.
@@ -64,7 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", di
 
         for batch in batches:
             done, group, size = [], [], 0
-            for body in batch.column(2).to_pylist():
+            for body in each_value(batch.column(2)):
                 hashes = np.asarray(shingle_hashes(body, shingle), np.uint64)
                 group.append(np.unique(hashes) if distinct else hashes)
                 size += len(group[-1])
@@ -244,7 +245,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFr
         import pyarrow as pa
 
         for batch in batches:
-            sets = [np.unique(np.asarray(shingle_hashes(x, shingle), np.uint64)).view(np.int64) for x in batch.column(1).to_pylist()]
+            sets = [np.unique(np.asarray(shingle_hashes(x, shingle), np.uint64)).view(np.int64) for x in each_value(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["body", "set"])
 
     whole = F.coalesce(F.col(text), F.lit(""))

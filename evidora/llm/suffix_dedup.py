@@ -29,12 +29,13 @@ looked at.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, fresh
+from evidora.llm.common import cut, fresh, values
 from evidora.llm.suffix_array import repeats
 
 #: Production parameters.
@@ -91,7 +92,7 @@ def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np
     return text, anchor[first], first, count, joined, starts
 
 
-def _grouped(batch_texts: list[bytes | None], length: int):
+def _grouped(batch_texts: Iterable[bytes | None], length: int):
     """Groups of about ``_GROUP`` bytes: numbers of the texts, offsets in them, and their bytes.
 
     A longer text comes in parts that overlap by all but one byte of a window, so each of its windows is in one part.
@@ -123,7 +124,7 @@ def _anchors(keyed: DataFrame, length: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for *_, group in _grouped(batch.column(0).to_pylist(), length):
+            for *_, group in _grouped(values(batch.column(0)), length):
                 yield pa.RecordBatch.from_arrays([pa.array(runs(group, length)[1].view(np.int64))], ["anchor"])
 
     return keyed.select("data").mapInArrow(run, "anchor long")
@@ -138,7 +139,7 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
 
         for batch in batches:
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for numbers, offsets, group in _grouped(batch.column(2).to_pylist(), length):
+            for numbers, offsets, group in _grouped(values(batch.column(2)), length):
                 text, anchor, first, count, joined, starts = runs(group, length)
                 view, of = memoryview(joined), xxhash.xxh3_64_intdigest
                 context = [of(view[a:b]) for a, b in zip(first.tolist(), (first + count + length - 1).tolist(), strict=True)]
@@ -301,13 +302,14 @@ def digest(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
 
     def first(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         for batch in batches:
             hit = there(batch.column("slot").to_numpy())
-            rows = [None if h else _digested(doc, data, []) for h, doc, data in zip(hit.tolist(), batch.column("id").to_pylist(), batch.column("data").to_pylist(), strict=True)]
+            rows = [None if h else _digested(doc, data, []) for h, doc, data in zip(hit.tolist(), values(batch.column("id")), values(batch.column("data")), strict=True)]
             done = [pa.array([r and r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-            body = pa.array(np.where(hit, batch.column("data").to_numpy(zero_copy_only=False), None), pa.binary())
+            body = pc.if_else(pa.array(hit), batch.column("data"), pa.scalar(None, pa.binary()))
             yield pa.RecordBatch.from_arrays([*done, batch.column("id"), batch.column("mark"), body], [x.split()[0] for x in fields.split(", ")] + ["id", "mark", "data"])
 
     def second(batches):
@@ -315,7 +317,7 @@ def digest(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
 
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         for batch in batches:
-            rows = [_digested(doc, data, _covered(spans or [], length)) for doc, data, spans in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)]
+            rows = [_digested(doc, data, _covered(spans or [], length)) for doc, data, spans in zip(*(values(batch.column(k)) for k in range(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], [x.split()[0] for x in fields.split(", ")])
 
     read = keyed.withColumn("slot", _slot()).mapInArrow(first, f"{fields}, id long, mark int, data binary")
