@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import values
+from evidora.llm.common import hold, values
 
 #: Classes of characters. SPACE is a U+0020 that the next token takes in; LONE is other white space before a token;
 #: RUN is white space before white space or the end; QUOTE2 and QUOTE3 are apostrophes before a contraction's letters.
@@ -236,6 +236,7 @@ def round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
     def run(batches):
         import pyarrow as pa
 
+        hold("bpe", _vocabulary.cache_clear)
         codec = Codec(data.value)
         for batch in batches:
             n, ids_sha, back_sha = [], [], []
@@ -257,6 +258,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        hold("bpe", _vocabulary.cache_clear)
         codec = Codec(data.value)
         for batch in batches:
             rows = [x for group in _groups(values(batch.column(1))) for x in codec.encode(group)]
@@ -273,6 +275,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        hold("bpe", _vocabulary.cache_clear)
         codec = Codec(data.value)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.decode(ids or ()) for ids in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "data"])

@@ -41,6 +41,17 @@ def values(column, step: int = 256) -> Iterator:
         yield from column.slice(k, step).to_pylist()
 
 
+_holder: tuple[str, Callable[[], None]] = ("", lambda: None)
+
+
+def hold(owner: str, clear: Callable[[], None] = lambda: None) -> None:
+    """A Python worker keeps the caches of one operator: those of the one before are cleared when another begins."""
+    global _holder
+    if _holder[0] != owner:
+        _holder[1]()
+    _holder = (owner, clear)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

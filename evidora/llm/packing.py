@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, values
+from evidora.llm.common import cut, hold, values
 
 #: Production parameters.
 CAPACITY = 4096
@@ -99,6 +99,7 @@ def cut_pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_i
     def run(batches):
         import pyarrow as pa
 
+        hold("packing", _encoder.cache_clear)
         encode = _encoder(shared.value)
         for batch in batches:
             out: list[list[int]] = [[], [], [], [], []]

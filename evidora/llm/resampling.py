@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, sampled, values
+from evidora.llm.common import cut, hold, sampled, values
 
 #: Production parameters.
 BUCKETS = 1 << 16
@@ -68,6 +68,7 @@ def models(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[np.n
     def run(batches):
         import pyarrow as pa
 
+        hold("resampling", _NUMBERS.clear)
         target, raw = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for body, is_target in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
@@ -99,6 +100,7 @@ def score(docs: DataFrame, ratio: np.ndarray, text: str = "text") -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        hold("resampling", _NUMBERS.clear)
         for batch in batches:
             count, weight = [], []
             for f in map(features, values(batch.column(1))):

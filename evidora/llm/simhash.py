@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, fresh
+from evidora.llm.common import cut, fresh, hold
 from evidora.llm.common import values as each_value
 from evidora.llm.components import components
 
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", di
     def run(batches):
         import pyarrow as pa
 
+        hold("simhash")
         for batch in batches:
             done, group, size = [], [], 0
             for body in each_value(batch.column(2)):
@@ -194,6 +195,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, nearest: bool = False)
     def run(batches):
         import pyarrow as pa
 
+        hold("simhash")
         def flushed(mask, part, fp):
             new = np.concatenate([[True], (np.diff(mask) != 0) | (np.diff(part) != 0)])
             group, value = np.cumsum(new), fp.view(np.uint64)
@@ -244,6 +246,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFr
     def run(batches):
         import pyarrow as pa
 
+        hold("simhash")
         for batch in batches:
             sets = [np.unique(np.asarray(shingle_hashes(x, shingle), np.uint64)).view(np.int64) for x in each_value(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["body", "set"])

@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, fresh, values
+from evidora.llm.common import cut, fresh, hold, values
 from evidora.llm.suffix_array import repeats
 
 #: Production parameters.
@@ -123,6 +123,7 @@ def _anchors(keyed: DataFrame, length: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        hold("suffix")
         for batch in batches:
             for *_, group in _grouped(values(batch.column(0)), length):
                 yield pa.RecordBatch.from_arrays([pa.array(runs(group, length)[1].view(np.int64))], ["anchor"])
@@ -137,6 +138,7 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
+        hold("suffix")
         for batch in batches:
             ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for numbers, offsets, group in _grouped(values(batch.column(2)), length):
@@ -173,6 +175,7 @@ def _with_representatives(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        hold("suffix")
         for batch in batches:
             yield batch.filter(pa.array(there(batch.column(3).to_numpy()))).select([0, 1, 2])
 
@@ -200,6 +203,7 @@ def _by_shard(contexts: DataFrame, total: int, length: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        hold("suffix")
         kind = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
 
         def solved(rows):
@@ -229,6 +233,7 @@ def _by_window(contexts: DataFrame, length: int) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
+        hold("suffix")
         of = xxhash.xxh3_128_digest
         for batch in batches:
             for anchor, context, data in zip(*(batch.column(n).to_pylist() for n in ("anchor", "context", "bytes")), strict=True):
