@@ -24,9 +24,13 @@ def _number_text(number: Column) -> Column:
     return F.when(number == F.floor(number), number.cast("decimal(38,0)").cast("string")).otherwise(number.cast("string"))
 
 
-def hydration_class(status: Column, body: Column) -> Column:
-    """document, filtered, transient-failure or malformed, in the order in which an item is examined."""
-    v = F.try_parse_json(body)
+def parsed(rows: DataFrame, json: str) -> DataFrame:
+    """``rows`` with ``_v``, the variant of a JSON text: a step of its own, so that each text is parsed once."""
+    return rows.withColumn("_v", F.try_parse_json(json))
+
+
+def hydration_class(status: Column, v: Column) -> Column:
+    """document, filtered, transient-failure or malformed, in the order in which an item (a variant) is examined."""
     required = (kind_of(v, "$.id") == "NUMBER") & (kind_of(v, "$.type") == "STRING") & (kind_of(v, "$.time") == "NUMBER")
     optional = [("by", "STRING"), ("deleted", "BOOLEAN"), ("dead", "BOOLEAN"), ("text", "STRING"), ("title", "STRING"), ("url", "STRING"), ("score", "NUMBER"), ("descendants", "NUMBER"), ("kids", "ARRAY")]
     shaped = F.coalesce(required, F.lit(False))
@@ -45,10 +49,11 @@ def hydration_class(status: Column, body: Column) -> Column:
 
 def items(rows: DataFrame, status: str = "status", body: str = "body") -> DataFrame:
     """``rows`` with ``outcome`` and, where it is document, the document's columns (null elsewhere)."""
-    v, story = F.try_parse_json(F.col(body)), string_at(F.try_parse_json(F.col(body)), "$.type") == "story"
+    v = F.col("_v")
+    story = string_at(v, "$.type") == "story"
     number = lambda name: F.coalesce(number_at(v, f"$.{name}"), F.lit(0.0)).cast("long")
     kids = F.coalesce(F.size(F.try_variant_get(v, "$.kids", "array<variant>")), F.lit(0)).cast("long")
-    marked = rows.withColumn("outcome", hydration_class(F.col(status), F.col(body)))
+    marked = parsed(rows, body).withColumn("outcome", hydration_class(F.col(status), v))
     key = _number_text(number_at(v, "$.id"))
     columns = {
         "source": F.lit("hackernews"), "source_id": key, "url": F.concat(F.lit("https://news.ycombinator.com/item?id="), key),
@@ -66,18 +71,18 @@ def feed_entries(pages: DataFrame, body: str = "body") -> DataFrame:
 
     ``usable`` is false, and entry null, for a page that is not JSON or has no feed.
     """
-    v = F.try_parse_json(F.col(body))
+    v = F.col("_v")
     usable = F.coalesce(kind_of(v, "$.feed") == "OBJECT", F.lit(False))
     entry = field(v, "$.feed.entry")
     listed = F.when(kind_of(v, "$.feed.entry") == "ARRAY", F.try_variant_get(v, "$.feed.entry", "array<variant>")).when(entry.isNotNull(), F.array(entry))
     texts = F.transform(F.when(usable, listed), lambda e: F.to_json(e))
     keep = [c for c in pages.columns if c != body]
-    return pages.select(*keep, usable.alias("usable"), F.posexplode_outer(texts).alias("pos", "entry"))
+    return parsed(pages, body).select(*keep, usable.alias("usable"), F.posexplode_outer(texts).alias("pos", "entry"))
 
 
 def reviews(entries: DataFrame, app: str = "app_id", territory: str = "territory", entry: str = "entry") -> DataFrame:
     """Review entries with ``reject`` (null for a document, else not-an-object, shape, rating or date) and the document's columns."""
-    v = F.try_parse_json(F.col(entry))
+    v = F.col("_v")
     label = lambda name: string_at(v, f"$['{name}'].label")
     optional = lambda name: is_optional(v, f"$['{name}']", "OBJECT") & (kind_of(v, f"$['{name}']").isNull() | label(name).isNotNull())
     author = string_at(v, "$.author.name.label")
@@ -99,18 +104,18 @@ def reviews(entries: DataFrame, app: str = "app_id", territory: str = "territory
         "engagement": F.to_json(F.struct(rating.cast("long").alias("rating"), votes("im:voteCount").alias("voteCount"), votes("im:voteSum").alias("voteSum"))),
         "raw": stripped,
     }
-    marked = entries.withColumn("reject", reject)
+    marked = parsed(entries, entry).withColumn("reject", reject)
     keep = [c for c in entries.columns if c not in {*columns, entry}]
     return marked.select(*keep, "reject", *[F.when(F.col("reject").isNull(), c).alias(n) for n, c in columns.items()])
 
 
 def listing_children(pages: DataFrame, body: str = "body") -> DataFrame:
     """``pages`` exploded to ``pos`` and ``data`` (JSON text) of the readable children; ``child_count`` counts all, ``after`` is the next position."""
-    v = F.try_parse_json(F.col(body))
+    v = F.col("_v")
     children = F.try_variant_get(v, "$.data.children", "array<variant>")
     data = F.filter(F.transform(children, lambda c: F.when(kind_of(c, "$.data") == "OBJECT", F.to_json(field(c, "$.data")))), lambda d: d.isNotNull())
     keep = [c for c in pages.columns if c != body]
-    return pages.select(*keep, (kind_of(v, "$.data.children") == "ARRAY").alias("usable"), F.coalesce(F.size(children), F.lit(0)).alias("child_count"),
+    return parsed(pages, body).select(*keep, (kind_of(v, "$.data.children") == "ARRAY").alias("usable"), F.coalesce(F.size(children), F.lit(0)).alias("child_count"),
                         string_at(v, "$.data.after").alias("after"), F.posexplode_outer(data).alias("pos", "data"))
 
 
@@ -125,14 +130,14 @@ IDENTITY = ("author_fullname",)
 
 
 def _mapped(rows: DataFrame, ok: Column, columns: dict[str, Column], drop: str, extra: dict[str, Column]) -> DataFrame:
-    marked = rows.withColumn("mapped", F.coalesce(ok, F.lit(False)))
+    marked = parsed(rows, drop).withColumn("mapped", F.coalesce(ok, F.lit(False)))
     keep = [c for c in rows.columns if c not in {*columns, *extra, drop, "mapped"}]
     return marked.select(*keep, "mapped", *[F.when(F.col("mapped"), c).alias(n) for n, c in {**columns, **extra}.items()])
 
 
 def posts(rows: DataFrame, data: str = "data") -> DataFrame:
     """Post nodes with ``mapped``, the document's columns, ``post_id``, ``permalink`` and ``num_comments``."""
-    v = F.try_parse_json(F.col(data))
+    v = F.col("_v")
     text = lambda name: string_at(v, f"$.{name}")
     number = lambda name: number_at(v, f"$.{name}")
     ok = text("id").isNotNull() & text("name").isNotNull() & text("permalink").isNotNull() & text("title").isNotNull() & number("created_utc").isNotNull()
@@ -144,7 +149,7 @@ def posts(rows: DataFrame, data: str = "data") -> DataFrame:
 
 def comments(rows: DataFrame, data: str = "data", post_permalink: str = "post_permalink") -> DataFrame:
     """Comment nodes with ``mapped`` and the document's columns; a missing permalink is made from the post's."""
-    v = F.try_parse_json(F.col(data))
+    v = F.col("_v")
     text = lambda name: string_at(v, f"$.{name}")
     ok = text("id").isNotNull() & text("name").isNotNull() & text("body").isNotNull() & number_at(v, "$.created_utc").isNotNull()
     link = F.coalesce(text("permalink"), F.concat(F.col(post_permalink), text("id"), F.lit("/")))

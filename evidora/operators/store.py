@@ -24,6 +24,18 @@ def new_rows(offered: DataFrame, existing: DataFrame, order: list[str], key: lis
     return first_arrivals(offered, order, key).join(existing.select(*key), key, "left_anti")
 
 
+def counts(offered: DataFrame, at: str | None = None, key: list[str] = KEY) -> DataFrame:
+    """By source: rows fetched, inserted into an empty store and duplicate; with ``at`` also its first and last value.
+
+    Two sums with map-side parts, by key and by source; no row is ranked, as only numbers are asked for.
+    """
+    ends = [F.min(at).alias("_a"), F.max(at).alias("_b")] if at else []
+    keyed = offered.groupBy(*key).agg(F.count("*").alias("_n"), *ends)
+    spans = [F.min("_a").alias(f"first_{at}"), F.max("_b").alias(f"last_{at}")] if at else []
+    by_source = keyed.groupBy(key[0]).agg(F.sum("_n").alias("fetched"), F.count("*").alias("inserted"), *spans)
+    return by_source.withColumn("duplicates", F.col("fetched") - F.col("inserted"))
+
+
 def append(offered: DataFrame, path: str, order: list[str], ingested_at) -> int:
     """Inserts the new rows of ``offered`` into the documents table at ``path``; returns how many were inserted.
 

@@ -81,7 +81,7 @@ _CLASS = "CASE WHEN event_id % 11 = 0 THEN 'transient-failure' WHEN event_id % 2
 @query(f"SELECT event_type AS source, {_CLASS} AS outcome, count(*) AS n FROM events GROUP BY ALL")
 def hydration_classes(spark, sf_dir):
     rows = _item_rows(spark, sf_dir)
-    return rows.select(F.col("source"), normalize.hydration_class(F.col("status"), F.col("body")).alias("outcome")).groupBy("source", "outcome").agg(F.count("*").alias("n"))
+    return normalize.parsed(rows, "body").select("source", normalize.hydration_class(F.col("status"), F.col("_v")).alias("outcome")).groupBy("source", "outcome").agg(F.count("*").alias("n"))
 
 
 @query(f"""SELECT event_id, CAST(event_id AS VARCHAR) AS source_id, 'https://news.ycombinator.com/item?id=' || event_id AS url, CAST(user_id AS VARCHAR) AS author_handle, '' AS body,
@@ -94,7 +94,7 @@ def normalize_items(spark, sf_dir):
 @query(f"""SELECT source, bad * 2 >= bad + good AND bad > 0 AS truncated, bad, good FROM (SELECT event_type AS source, count(*) FILTER (WHERE {_CLASS} = 'malformed') AS bad,
   count(*) FILTER (WHERE {_CLASS} = 'document') AS good FROM events GROUP BY 1)""")
 def malformed_ratio(spark, sf_dir):
-    rows = _item_rows(spark, sf_dir).select("source", normalize.hydration_class(F.col("status"), F.col("body")).alias("c"))
+    rows = normalize.parsed(_item_rows(spark, sf_dir), "body").select("source", normalize.hydration_class(F.col("status"), F.col("_v")).alias("c"))
     n = rows.groupBy("source").agg(F.count_if(F.col("c") == "malformed").alias("bad"), F.count_if(F.col("c") == "document").alias("good"))
     return n.select("source", normalize.shortfall(F.col("bad"), F.col("bad") + F.col("good")).alias("truncated"), "bad", "good")
 
@@ -152,10 +152,7 @@ def ingest_dedup_first_wins(spark, sf_dir):
 
 @query(f"""SELECT source, count(*) AS fetched, count(DISTINCT event_id) AS inserted, count(*) - count(DISTINCT event_id) AS duplicates FROM ({_PAGES}) GROUP BY 1""")
 def ingest_counts_by_source(spark, sf_dir):
-    offered = _two_pages(spark, sf_dir)
-    kept = store.first_arrivals(offered, ["page"]).groupBy("source").agg(F.count("*").alias("inserted"))
-    fetched = offered.groupBy("source").agg(F.count("*").alias("fetched"))
-    return fetched.join(kept, "source", "left").select("source", "fetched", "inserted", (F.col("fetched") - F.col("inserted")).alias("duplicates"))
+    return store.counts(_two_pages(spark, sf_dir))
 
 
 @query("SELECT event_type AS source, event_id FROM events WHERE event_id >= 500")
@@ -615,8 +612,5 @@ def evidence_reachable_tables(spark, sf_dir):
 
 @query(f"""SELECT source, count(*) AS fetched, count(DISTINCT event_id) AS inserted, count(*) - count(DISTINCT event_id) AS duplicates, min({_SECONDS}) AS first_s, max({_SECONDS}) AS last_s FROM ({_PAGES}) GROUP BY 1""")
 def ingest_summary(spark, sf_dir):
-    """Two overlapping pages, first arrivals kept, counted by source in one pass over the keyed rows."""
-    offered = _two_pages(spark, sf_dir).withColumn("s", F.unix_seconds(F.date_trunc("second", F.col("ts")).cast("timestamp")))
-    keyed = offered.groupBy("source", "source_id").agg(F.count("*").alias("offers"), F.min("s").alias("a"), F.max("s").alias("b"))
-    n = keyed.groupBy("source").agg(F.sum("offers").alias("fetched"), F.count("*").alias("inserted"), F.min("a").alias("first_s"), F.max("b").alias("last_s"))
-    return n.select("source", "fetched", "inserted", (F.col("fetched") - F.col("inserted")).alias("duplicates"), "first_s", "last_s")
+    """Two overlapping pages, first arrivals kept, counted by source."""
+    return store.counts(_two_pages(spark, sf_dir).withColumn("s", F.unix_seconds(F.date_trunc("second", F.col("ts")).cast("timestamp"))), "s")
