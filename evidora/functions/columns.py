@@ -11,6 +11,9 @@ CACHE_WRITE, CACHE_READ = "1.25", "0.1"
 HOST_LIMITS = {"oauth.reddit.com": (100, 60_000)}
 
 
+_NUMBER = "^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
+
+
 def field(value: Column, path: str) -> Column:
     """The JSON value at ``path`` as a variant; null where it is not there."""
     return F.variant_get(value, path, "variant")
@@ -18,18 +21,18 @@ def field(value: Column, path: str) -> Column:
 
 def kind_of(value: Column, path: str) -> Column:
     """STRING, NUMBER, BOOLEAN, OBJECT, ARRAY or VOID (a JSON null); null where the field is not there."""
-    name = F.schema_of_variant(field(value, path))
-    return (F.when(name.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"), "NUMBER")
-            .when(name.startswith("OBJECT"), "OBJECT").when(name.startswith("ARRAY"), "ARRAY").otherwise(name))
+    family = lambda name: (F.when(name.rlike(_NUMBER), "NUMBER").when(name.startswith("OBJECT"), "OBJECT")
+                           .when(name.startswith("ARRAY"), "ARRAY").otherwise(name))
+    return F.transform(F.array(F.schema_of_variant(field(value, path))), family)[0]  # the schema is looked up once
 
 
 def string_at(value: Column, path: str) -> Column:
     """The string at ``path``; null for any other type. No coercion."""
-    return F.when(kind_of(value, path) == "STRING", F.try_variant_get(value, path, "string"))
+    return F.when(F.schema_of_variant(field(value, path)) == "STRING", F.try_variant_get(value, path, "string"))
 
 
 def number_at(value: Column, path: str) -> Column:
-    return F.when(kind_of(value, path) == "NUMBER", F.try_variant_get(value, path, "double"))
+    return F.when(F.schema_of_variant(field(value, path)).rlike(_NUMBER), F.try_variant_get(value, path, "double"))
 
 
 def is_optional(value: Column, path: str, kind: str) -> Column:

@@ -21,12 +21,17 @@ SHORTFALL = 0.5
 
 def _number_text(number: Column) -> Column:
     """A number as JSON writes it: whole numbers without a point."""
-    return F.when(number == F.floor(number), number.cast("decimal(38,0)").cast("string")).otherwise(number.cast("string"))
+    return F.transform(F.array(number), lambda x: F.when(x == F.floor(x), x.cast("decimal(38,0)").cast("string")).otherwise(x.cast("string")))[0]
 
 
 def parsed(rows: DataFrame, json: str) -> DataFrame:
-    """``rows`` with ``_v``, the variant of a JSON text: a step of its own, so that each text is parsed once."""
-    return rows.withColumn("_v", F.try_parse_json(json))
+    """``rows`` with ``_v``, the variant of a JSON text, which is parsed once however often ``_v`` is named."""
+    return once(rows, "_v", F.try_parse_json(json))
+
+
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with ``name``: a generated column, into which the optimiser can't copy its expression or push filters."""
+    return rows.withColumn(name, F.explode(F.array(value)))
 
 
 def hydration_class(status: Column, v: Column) -> Column:
@@ -53,7 +58,7 @@ def items(rows: DataFrame, status: str = "status", body: str = "body") -> DataFr
     story = string_at(v, "$.type") == "story"
     number = lambda name: F.coalesce(number_at(v, f"$.{name}"), F.lit(0.0)).cast("long")
     kids = F.coalesce(F.size(F.try_variant_get(v, "$.kids", "array<variant>")), F.lit(0)).cast("long")
-    marked = parsed(rows, body).withColumn("outcome", hydration_class(F.col(status), v))
+    marked = once(parsed(rows, body), "outcome", hydration_class(F.col(status), v))
     key = _number_text(number_at(v, "$.id"))
     columns = {
         "source": F.lit("hackernews"), "source_id": key, "url": F.concat(F.lit("https://news.ycombinator.com/item?id="), key),
@@ -104,7 +109,7 @@ def reviews(entries: DataFrame, app: str = "app_id", territory: str = "territory
         "engagement": F.to_json(F.struct(rating.cast("long").alias("rating"), votes("im:voteCount").alias("voteCount"), votes("im:voteSum").alias("voteSum"))),
         "raw": stripped,
     }
-    marked = parsed(entries, entry).withColumn("reject", reject)
+    marked = once(parsed(entries, entry), "reject", reject)
     keep = [c for c in entries.columns if c not in {*columns, entry}]
     return marked.select(*keep, "reject", *[F.when(F.col("reject").isNull(), c).alias(n) for n, c in columns.items()])
 
@@ -130,7 +135,7 @@ IDENTITY = ("author_fullname",)
 
 
 def _mapped(rows: DataFrame, ok: Column, columns: dict[str, Column], drop: str, extra: dict[str, Column]) -> DataFrame:
-    marked = parsed(rows, drop).withColumn("mapped", F.coalesce(ok, F.lit(False)))
+    marked = once(parsed(rows, drop), "mapped", F.coalesce(ok, F.lit(False)))
     keep = [c for c in rows.columns if c not in {*columns, *extra, drop, "mapped"}]
     return marked.select(*keep, "mapped", *[F.when(F.col("mapped"), c).alias(n) for n, c in {**columns, **extra}.items()])
 
