@@ -36,7 +36,7 @@ RUN = "A-Za-z0-9+/_=-"
 MIN_RUN = 20
 MIN_RATIO = 0.7
 SMOOTHING = 0.5
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 500
 RANDOM_STRINGS = 2000
 _BLOCK = 256
 
