@@ -27,6 +27,8 @@ from evidora.llm.components import components
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Fingerprints in a bucket beyond which it is split again, and how often that may happen.
 BUCKET, DEPTH = 8192, 3
+#: The part of the shingle hashes that is counted over all texts before any are compared, and the slices it travels in.
+LOW, SLICES = 0.25, 1024
 _LEAF, _SLICE, _FLUSH = 1024, 1 << 19, 1 << 15
 
 
@@ -240,43 +242,152 @@ def group(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, tex
     return marked.join(_named(distinct, links(distinct, distance), "fp"), "fp").select("doc_id", "fp", "component_id")
 
 
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    """body and whole (the text, empty for null) of every row."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.xxhash64(whole, F.length(whole)).alias("body"), whole.alias("whole"))
+
+
+def _set(text: str, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted; the one member 0 for a text without words."""
+    return np.unique(np.asarray(shingle_hashes(text, shingle) or [0], np.uint64))
+
+
+def _spare(size, similarity: float):
+    """How many members of a set of ``size`` another set may lack at most, if the two reach ``similarity``."""
+    return size - np.ceil(similarity * size - 1e-9).astype(np.int64)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFrame:
-    """body and set (the distinct hashes of its shingles) of the texts in ``wanted`` (doc_id, body)."""
+    """body and set (the distinct hashes of its shingles) of the texts in ``wanted`` (body)."""
 
     def run(batches):
         import pyarrow as pa
 
         hold("simhash")
         for batch in batches:
-            sets = [np.unique(np.asarray(shingle_hashes(x, shingle), np.uint64)).view(np.int64) for x in each_value(batch.column(1))]
+            sets = [_set(x, shingle).view(np.int64) for x in each_value(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["body", "set"])
 
-    whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole, F.length(whole)).alias("body"), whole.alias("whole"))
-    return rows.join(wanted, ["doc_id", "body"], "left_semi").dropDuplicates(["body"]).select("body", "whole").mapInArrow(run, "body long, set array<long>")
+    return _texts(docs, text).join(wanted, "body", "left_semi").dropDuplicates(["body"]).mapInArrow(run, "body long, set array<long>")
 
 
-def verified(docs: DataFrame, shingle: int, similarity: float, distance: int, text: str = "text") -> DataFrame:
-    """doc_id and component_id for every row; texts are linked if the Jaccard similarity of their shingles is proven.
+def _partnered(docs: DataFrame, shingle: int, similarity: float, text: str) -> DataFrame:
+    """The bodies of the texts that may have a partner of ``similarity``; none that has one is left out.
+
+    Of the shingles, those in the lower ``LOW`` of the hash range are counted over all texts. A partner has all but
+    _spare(n) of a text's n shingles, so a text with more than that many that no other text has is out. Tokens travel
+    packed, by slices of the hash range, and each text's need by slices of the bodies.
+    """
+
+    def pack(batches):
+        import pyarrow as pa
+
+        hold("simhash")
 
-    Candidates come from fingerprints of the distinct words, whose bits move far less with an edit than those of long
-    shingles: a text with the first of its fingerprint, a fingerprint with its bucket's first and its nearest. Every
-    candidate is compared by its exact sets of ``shingle``-word hashes; two texts without words are equal.
+        def packed(first, keys, values, slices):
+            order = np.argsort(slices, kind="stable")
+            at = slices[order]
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1, [len(at)]])
+            keys, values = keys[order], values[order]
+            spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(at[cuts[:-1]].astype(np.int64) + first), pa.array([keys[x:y].tobytes() for x, y in spans], pa.binary()), pa.array([values[x:y].tobytes() for x, y in spans], pa.binary())], ["slice", "keys", "values"])
+
+        def flushed(low, own, need):
+            bodies, needs = np.asarray(own, np.int64), np.asarray(need, np.int64)
+            yield packed(SLICES, bodies, needs, bodies.view(np.uint64) % SLICES)
+            hashes = np.concatenate(low)
+            if len(hashes):
+                yield packed(0, hashes.view(np.int64), np.repeat(bodies, [len(x) for x in low]), hashes // np.uint64(int(LOW * 2**64) // SLICES + 1))
+
+        low, own, need, size = [], [], [], 0
+        for batch in batches:
+            for body, whole in zip(batch.column(0).to_pylist(), each_value(batch.column(1)), strict=True):
+                found = _set(whole, shingle)
+                part = found[: np.searchsorted(found, np.uint64(int(LOW * 2**64)))].copy()
+                low.append(part)
+                own.append(body)
+                need.append(len(part) - int(_spare(len(found), similarity)))
+                size += len(part)
+                if size > 1 << 20:
+                    yield from flushed(low, own, need)
+                    low, own, need, size = [], [], [], 0
+        if own:
+            yield from flushed(low, own, need)
+
+    def count(table):
+        import pyarrow as pa
+
+        keys, values = (np.frombuffer(b"".join(table.column(k).to_pylist()), np.int64) for k in ("keys", "values"))
+        order = np.lexsort((values, keys))
+        keys, values = keys[order], values[order]
+        once = np.concatenate([[True], (np.diff(keys) != 0) | (np.diff(values) != 0)])  # repeated rows
+        keys, values = keys[once], values[once]
+        if table.column("slice")[0].as_py() >= SLICES:
+            return pa.table({"body": keys, "n": -values})
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(keys) != 0]))
+        sizes = np.diff(np.concatenate([starts, [len(keys)]]))
+        bodies, n = np.unique(values[np.repeat(sizes > 1, sizes)], return_counts=True)
+        return pa.table({"body": bodies, "n": n.astype(np.int64)})
+
+    packed = _texts(docs, text).mapInArrow(pack, "slice long, keys binary, values binary")
+    counted = packed.groupBy("slice").applyInArrow(count, "body long, n long")
+    return counted.groupBy("body").agg(F.sum("n").alias("n")).filter("n >= 0").select("body")
+
+
+def _proven(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b) of bodies whose sets have ``similarity``."""
+    both = pairs.join(sets.toDF("a", "s"), "a").join(sets.toDF("b", "t"), "b")
+    common, total = F.size(F.array_intersect("s", "t")), F.size("s") + F.size("t")
+    return both.filter(common >= similarity * (total - common)).select("a", "b")
+
+
+def _heads(sets: DataFrame, similarity: float) -> DataFrame:
+    """body, size and h: a prefix of each set, rarest first; two sets of ``similarity`` have a member of both prefixes.
+
+    Members that one set alone has come first in its prefix and are left out, for they bring nothing together.
+    """
+    members = sets.select("body", F.explode("set").alias("h"))
+    often = members.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = members.join(often, "h").groupBy("body").agg(F.sort_array(F.collect_list(F.struct("n", "h"))).alias("found"))
+    sized = sets.select("body", F.size("set").alias("size"))
+    length = F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1 - (F.col("size") - F.size("found"))
+    return shared.join(sized, "body").filter(length > 0).select("body", "size", F.explode(F.slice("found", F.lit(1), length.cast("int"))).alias("x")).select("body", "size", "x.h")
+
+
+def verified(docs: DataFrame, shingle: int, similarity: float, distance: int, text: str = "text") -> DataFrame:
+    """doc_id, body, component_id and ``lead`` (the component's smallest body) for every row.
+
+    Texts are linked if, and only if, a chain of texts with a Jaccard similarity of ``similarity`` or more of their
+    shingles connects them. Texts that can't have a partner go first (_partnered). Cheap candidates, which fingerprints
+    of the distinct words give, then link most of the rest: a text with the first of its fingerprint, a fingerprint with
+    its bucket's first and its nearest. What they miss is found by a prefix-filter join that compares every pair of
+    texts from different components with a common member of both prefixes. All pairs are compared by their exact sets
+    of ``shingle``-word hashes; two texts without words are equal. ``distance`` changes the work, not the result.
     """
     marked = cut(fingerprints(docs, 1, text, distinct=True))
-    texts = cut(marked.groupBy("body").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp")))
-    marks = cut(texts.groupBy("fp").agg(F.min(F.struct("first", "body")).alias("m")).select("fp", "m.first", "m.body"))
-    heads = marks.select("fp", F.col("body").alias("head"))
+    partnered = cut(_partnered(docs, shingle, similarity, text))
+    firsts = marked.groupBy("body").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"))
+    texts = cut(firsts.join(partnered, "body", "left_semi"))
+    sets = cut(_sets(docs, partnered, shingle, text))
+    heads = cut(texts.groupBy("fp").agg(F.min("body").alias("head")))
     same = texts.join(heads, "fp").filter("body <> head").select(F.col("body").alias("a"), F.col("head").alias("b"))
-    near = links(marks.select("fp"), distance, nearest=True).distinct()
+    near = links(heads.select("fp"), distance, nearest=True).distinct()
     across = near.join(heads.toDF("a", "x"), "a").join(heads.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    pairs = cut(same.union(across).distinct())
-    bodies = pairs.select(F.col("a").alias("body")).union(pairs.select(F.col("b").alias("body"))).distinct()
-    sets = cut(_sets(docs, texts.join(bodies, "body").select(F.col("first").alias("doc_id"), "body"), shingle, text))
-    both = pairs.join(sets.toDF("a", "s"), "a").join(sets.toDF("b", "t"), "b")
-    common, total = F.size(F.array_intersect("s", "t")), F.size("s") + F.size("t")
-    edges = both.filter((total == 0) | (common >= similarity * (total - common))).select("a", "b")
-    return marked.join(_named(texts.select("body", "first"), edges, "body"), "body").select("doc_id", "component_id")
+    cheap = cut(_proven(cut(same.union(across).distinct()), sets, similarity))
+    rooted = _heads(sets, similarity).join(cut(components(cheap)), F.col("body") == F.col("node"), "left")
+    rooted = cut(rooted.select("h", "body", "size", F.coalesce("root", "body").alias("root")))
+    mixed = rooted.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("h")
+    rooted = cut(rooted.join(mixed, "h", "left_semi"))
+    x, y = rooted.toDF("h", "a", "m", "p"), rooted.toDF("h", "b", "n", "q")
+    sizes = (F.col("m") >= similarity * F.col("n") - 1e-9) & (F.col("n") >= similarity * F.col("m") - 1e-9)
+    missed = cut(x.join(y, "h").filter((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & sizes).select("a", "b").distinct())
+    edges = cheap.union(cut(_proven(missed, sets, similarity)))
+    roots = cut(components(edges))
+    named = firsts.join(roots, F.col("body") == F.col("node"), "left").select("body", "first", F.coalesce("root", "body").alias("root"))
+    named = cut(named)
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"), F.min("body").alias("lead"))
+    return marked.join(cut(named.join(least, "root").select("body", "component_id", "lead")), "body").select("doc_id", "body", "component_id", "lead")
 
 
 def keep(docs: DataFrame, grouped: DataFrame) -> DataFrame:

@@ -131,3 +131,12 @@ def test_odd_inputs(odd, docs, rows, empty):
     assert kept.columns == odd.columns
     ids = {r.doc_id for r in grouped.collect() if r.doc_id == r.component_id}
     assert sorted(r.doc_id for r in kept.collect()) == sorted(list(ids) * 2)
+
+
+def test_copies_behind_the_head_of_their_fingerprint(spark):
+    rng = random.Random(6)
+    base = [f"{rng.getrandbits(40):x}" for _ in range(200)]
+    mixed, swapped = rng.sample(base, 200), [*base[:50], base[51], base[50], *base[52:]]
+    rows = list(enumerate([mixed, base, swapped]))
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.verified(frame, 5, 0.8, 8).collect()} == {0: 0, 1: 1, 2: 1}
