@@ -390,8 +390,17 @@ def verified(docs: DataFrame, shingle: int, similarity: float, distance: int, te
     return marked.join(cut(named.join(least, "root").select("body", "component_id", "lead")), "body").select("doc_id", "body", "component_id", "lead")
 
 
-def keep(docs: DataFrame, grouped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the component_id of its group in ``grouped``, with their own columns."""
+def keep(docs: DataFrame, grouped: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the component_id of its group in ``grouped``, with their own columns.
+
+    Of a group in which no row has a doc_id, one row stays, if ``grouped`` has ``body`` and ``lead``.
+    """
     other = fresh(docs, "_kept")
     stays = grouped.filter("doc_id = component_id").select(F.col("doc_id").alias(other)).distinct()
-    return docs.join(stays, F.col("doc_id") == F.col(other), "left_semi")
+    kept = docs.join(stays, F.col("doc_id") == F.col(other), "left_semi")
+    if "lead" not in grouped.columns:
+        return kept
+    whole = F.coalesce(F.col(text), F.lit(""))
+    lone = grouped.filter("component_id IS NULL AND body = lead").select(F.col("body").alias(other)).distinct()
+    nameless = docs.filter("doc_id IS NULL").withColumn(other, F.xxhash64(whole, F.length(whole)))
+    return kept.unionByName(nameless.join(lone, other, "left_semi").dropDuplicates([other]).drop(other))

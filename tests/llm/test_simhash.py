@@ -140,3 +140,18 @@ def test_copies_behind_the_head_of_their_fingerprint(spark):
     rows = list(enumerate([mixed, base, swapped]))
     frame = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in simhash.verified(frame, 5, 0.8, 8).collect()} == {0: 0, 1: 1, 2: 1}
+
+
+def test_documents_without_an_id(spark):
+    rng = random.Random(8)
+    alone, twice, named, base = ([f"{rng.getrandbits(40):x}" for _ in range(100)] for _ in range(4))
+    near = lambda t: [*t[:-1], "end"]
+    mixed, swapped = rng.sample(base, 100), [*base[:50], base[51], base[50], *base[52:]]
+    rows = [(None, alone), (None, twice), (None, twice), (None, near(twice)), (5, named), (None, near(named)), (None, mixed), (7, base), (8, swapped)]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    kept = simhash.keep(frame, simhash.verified(frame, 5, 0.8, 8))
+    assert kept.columns == frame.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(i for i, _ in got if i is not None) == [5, 7]
+    lone = sorted(t for i, t in got if i is None)
+    assert len(lone) == 3 and {" ".join(alone), " ".join(mixed)} < set(lone)
