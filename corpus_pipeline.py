@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 stage's documents. All but the last return the columns of ``documents``.
 
 1. ``quality``: documents that the rules or their host's verdict reject go.
-2. ``near_duplicates``: of each group of documents linked by a five-word Jaccard similarity of 0.8 or more, candidates
-   found by SimHash within 8 bits over the distinct words, the one of the smallest doc_id stays.
+2. ``near_duplicates``: of each group of documents linked by a five-word Jaccard similarity of 0.8 or more, the one
+   of the smallest doc_id stays; SimHash within 8 bits over the distinct words gives the first candidates only.
 3. ``repeats``: strings of 200 bytes that occur twice or more are cut out of the texts.
 4. ``secrets``: secrets in the texts are replaced by a mark.
 5. ``packing``: the tokenised texts, packed into sequences of 4096 tokens.

@@ -142,6 +142,21 @@ def test_copies_behind_the_head_of_their_fingerprint(spark):
     assert {r.doc_id: r.component_id for r in simhash.verified(frame, 5, 0.8, 8).collect()} == {0: 0, 1: 1, 2: 1}
 
 
+def test_added_and_removed_passages(spark):
+    rng = random.Random(7)
+    word = lambda: f"{rng.getrandbits(40):x}"
+    texts = []
+    for n in (60, 120, 300):
+        for _ in range(8):
+            base, more = [word() for _ in range(n)], [word() for _ in range(n // 5 - 2)]
+            texts += [base, base + more, base[: n - n // 6]]
+    texts = [" ".join(t) for t in texts]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.verified(frame, 5, 0.8, 8).collect()}
+    want = brute_components(list(range(len(texts))), lambda a, b: jaccard(texts[a], texts[b]) >= 0.8)
+    assert got == want and sum(want[i] != i for i in want) == 48
+
+
 def test_documents_without_an_id(spark):
     rng = random.Random(8)
     alone, twice, named, base = ([f"{rng.getrandbits(40):x}" for _ in range(100)] for _ in range(4))
