@@ -594,6 +594,15 @@ def traceability_chain(spark, sf_dir):
     return insight.traced(members, points, parts).select("cluster", "document")
 
 
+@query("SELECT o_custkey AS cluster, l_partkey AS document FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey")
+def traceability_chain_whole(spark, sf_dir):
+    """The chain of every cluster."""
+    members = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("cluster"), F.col("o_orderkey").alias("point"))
+    points = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("point")).agg(F.collect_list("l_partkey").alias("source_document_ids"))
+    parts = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit("x").alias("source"))
+    return insight.traced(members, points, parts).select("cluster", "document")
+
+
 @query("SELECT o_custkey AS cluster, count(DISTINCT l_partkey) AS evidence FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
 def evidence_union(spark, sf_dir):
     points = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("source_document_ids"))
