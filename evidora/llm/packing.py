@@ -11,8 +11,9 @@ the size of the corpus, and is broadcast.
 Executors rank the pieces of each length and look up bin and offset. The rank is taken inside small groups, whose
 offsets are summed up by length, so a length that a third of all pieces has is not gathered in one task.
 
-Tokens of a text are those of its parts between single spaces and line breaks, since no pre-token and no normalisation
-reaches across white space; parts are cached, so the tokenizer library sees each part once a worker.
+Where the definition has the normaliser and the splitter below, tokens of a text are those of its parts between single
+spaces and line breaks, since no pre-token and no normalisation reaches across white space; parts are cached, so the
+tokenizer library sees each part once a worker. Texts of any other definition go to the library whole.
 
 Defined cases: a null text counts as empty and is one piece with the end token alone; repeated rows (equal doc_id and
 text too) are packed as rows of their own; a null doc_id is kept; texts of any length are packed whole; an empty table
@@ -21,6 +22,7 @@ gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -40,35 +42,60 @@ END_ID = 1
 GROUP_PIECES = 4096
 
 
+#: The normaliser and the splitter for which texts may be taken apart.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_MARKS = ".,;:!?"
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, by the tokenizers library with a cache of parts.
 
     The cache has two generations of at most ``most`` parts each: a full one becomes the old one, and a part found there
-    comes back. A part that ends in a lone mark after a letter is put together from the two, and a part is looked up in
-    lower case where the library's own normalisation would do no more than that.
+    comes back. A part that ends in a lone mark is put together from the two where the library itself splits the mark
+    off the character before it, and a part is looked up in lower case where the library's own normalisation would do
+    no more than that. ``apart`` is False for definitions with another normaliser, splitter or post-processor.
     """
 
     def __init__(self, definition: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
+        rules = json.loads(definition)
+        added = all(" " not in t["content"] and "\n" not in t["content"] and t["content"][:2] == "<|" and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in rules["added_tokens"])
+        plain = not (rules["truncation"] or rules["padding"] or rules["post_processor"])
+        self.apart = added and plain and rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == SPLITTER
         self._library, self._new, self._old, self._most = Tokenizer.from_str(definition), {"": b""}, {}, most
+        self._splits: dict[str, bool] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _plain(self, part: str, low: str) -> bool:
         normal = unicodedata.is_normalized
         return "<|" not in part and "\u03a3" not in part and normal("NFC", part) and normal("NFC", low)
 
+    def _split_off(self, before: str) -> bool:
+        """Whether the library begins a new pre-token at a mark that follows the letter ``before``."""
+        known = self._splits.get(before)
+        if known is None:
+            pieces = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(before + "."))
+            known = self._splits[before] = before.isalpha() and [p for p, _ in pieces][-1:] == ["."]
+        return known
+
     def _part(self, part: str) -> bytes:
         ids = self._new.get(part)
         if ids is not None:
             return ids
         ids = self._old.get(part)
         if ids is None:
-            if len(part) > 1 and part[-1] in ".,;:!?" and part[-2].isalpha():
+            if len(part) > 1 and part[-1] in _MARKS and self._split_off(part[-2]):
                 ids = self._part(part[:-1]) + self._part(part[-1])
             elif (low := part.lower()) != part and self._plain(part, low):
                 ids = self._part(low)
             else:
-                ids = np.asarray(self._library.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+                ids = self._whole(part)
         if len(part) <= 64:
             if len(self._new) >= self._most:
                 self._old, self._new = self._new, {}
@@ -76,6 +103,8 @@ class Encoder:
         return ids
 
     def __call__(self, text: str) -> bytes:
+        if not self.apart:
+            return self._whole(text)
         out, get = [], self._new.get
         for part in text.replace("\n", " ").split(" "):
             ids = get(part)

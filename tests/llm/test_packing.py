@@ -78,6 +78,38 @@ def test_texts_that_a_cache_of_parts_could_spoil(spark):
     check(packing.pack(frame, open(PATH).read()).collect(), rows)
 
 
+def fuzzed(rng):
+    """Random strings of letters that change under normalisation, marks, digits, white space and special tokens."""
+    odd = ["\u0130", "\u0130stanbul", "\u0958", "\u0340", "\u1e9e", "\u212a", "\u0345", "\u03a3", "\u1f80", "\u1100", "\u1161", "\u11a8", "\u0f73", "\u2126", "\ufb01", "\u0149", "\u10a0", "\u13a0", "\U00010d50", "\U000136e7", "\u0301", "\u0307", "\u093c", "\u200d"]
+    plain = [*"abzABZ09", "don't", "'S", "'ll", "x", "<|endoftext|>", "<|", "|>", "\t", "\r\n", "\u3000", "\u00a0"]
+    pools = [odd, plain, list(".,;:!?"), [" ", "\n"]]
+    def one(_):
+        return rng.choice(rng.choice(pools)) if rng.random() < 0.9 else chr(rng.choice([rng.randrange(0x20, 0xD800), rng.randrange(0xE000, 0x20000)]))
+    return "".join(map(one, range(rng.randint(1, 9))))
+
+
+def test_marks_after_letters_that_change():
+    encode, library = packing.Encoder(open(PATH).read()), Tokenizer.from_file(PATH)
+    assert encode.apart
+    rng = random.Random(23)
+    every = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]) if c.isalpha()][::3]
+    texts = ["\u0130,", "\u0130stanbul\u0130.", "\u0958!"] + [c + rng.choice(".,;:!?") for c in every] + [fuzzed(rng) for _ in range(60_000)]
+    bad = [t for t, e in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True) if encode(t) != np.asarray(e.ids, "<u4").tobytes()]
+    assert not bad, bad[:20]
+
+
+def test_another_definition_goes_to_the_library_whole():
+    import json
+
+    other = json.loads(open(PATH).read())
+    other["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}
+    other = json.dumps(other)
+    encode, library = packing.Encoder(other), Tokenizer.from_str(other)
+    assert not encode.apart
+    for text in ["a b", " x.", "\u0130, no", "two\n lines."]:
+        assert encode(text) == np.asarray(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_odd_inputs(odd, docs, empty):
     definition = open(PATH).read()
     assert packing.pack(empty, definition).count() == 0
