@@ -7,7 +7,11 @@ rows, the functions of all rows are composed column by column at once, the rows'
 pass gives the state before every character. State and class say where a token begins. No regular expression is used.
 
 The slices between beginnings go through a cache of merged pieces; a miss is merged by a heap of ranked pairs, so a
-piece of any length takes n log n steps. Offsets (the code points where the pieces begin) are kept for decoding.
+piece of any length takes n log n steps. Offsets (the code points where the pieces begin, and the ids before each) are
+kept for decoding: any stretch of a text is decoded by itself, and a long text is decoded slice by slice.
+
+The classes are those of the tiktoken library, whose Unicode tables may be newer than Python's: on the driver the
+library is asked once which code points its pattern classes hold, and the table (a byte for each code point) is broadcast.
 
 Defined cases: a null text counts as empty and has no tokens; repeated rows are encoded alike; texts of any length are
 encoded whole; an empty table gives an empty result; other columns are not looked at.
@@ -18,10 +22,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -63,24 +67,22 @@ _MOVE, _BEGINS = _machine()
 
 
 @lru_cache(1)
-def _kinds() -> np.ndarray:
-    """The class of every code point; RUN stands for white space here."""
+def classes() -> np.ndarray:
+    """The class of every code point, as the library has it; RUN stands for white space here."""
+    import tiktoken
+
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    single = {bytes([i]): i for i in range(256)}
     kind = np.full(0x110000, OTHER, np.uint8)
-    for i in chain(range(0xD800), range(0xE000, 0x110000)):
-        c = unicodedata.category(chr(i))
-        if c[0] == "L":
-            kind[i] = LETTER
-        elif c[0] == "N":
-            kind[i] = NUMBER
-        elif c[0] == "Z":
-            kind[i] = RUN
-    kind[[*range(9, 14), 0x85]] = RUN
+    for pattern, own in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", RUN)):
+        found = bytes(tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=single, special_tokens={}).encode_ordinary(every))
+        kind[np.frombuffer(found.decode().encode("utf-32-le"), np.uint32)] = own
     kind[_SEPARATOR] = END
     return kind
 
 
-def _classes(codes: np.ndarray) -> np.ndarray:
-    kind = _kinds()[codes]
+def _classes(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    kind = table[codes]
     after = np.append(kind[1:], np.uint8(END))
     blank, stands = kind == RUN, (after != RUN) & (after != END)
     kind[blank & stands] = LONE
@@ -97,9 +99,9 @@ def _classes(codes: np.ndarray) -> np.ndarray:
     return kind
 
 
-def boundaries(codes: np.ndarray) -> np.ndarray:
+def boundaries(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The places where a token or a separator begins, by a scan of composed transition functions."""
-    kind, n = _classes(codes), len(codes)
+    kind, n = _classes(codes, table), len(codes)
     rows = -(-n // _CHUNK)
     grid = np.full(rows * _CHUNK, END, np.uint8)
     grid[:n] = kind
@@ -125,11 +127,11 @@ def boundaries(codes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(out.T.ravel()[:n])
 
 
-def pieces(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
-    """For each text its pre-tokens and the code points where they begin."""
+def pieces(texts: list[str], table: np.ndarray) -> Iterator[tuple[list[str], np.ndarray]]:
+    """For each text its pre-tokens and the code points where they begin; ``table``: the classes."""
     joined = "".join(x + "\ud800" for x in texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    places = boundaries(codes)
+    places = boundaries(codes, table)
     ends = np.flatnonzero(codes[places] == _SEPARATOR)  # places that are separators
     first, base = 0, 0
     for text, last in zip(texts, ends.tolist(), strict=True):
@@ -189,21 +191,43 @@ def _vocabulary(data: bytes) -> tuple[Cache, list[bytes], list[str]]:
     return Cache(ranks), parts, [str(i) for i in range(len(parts))]
 
 
+class Encoded(NamedTuple):
+    """The ids of a text, and for each pre-token the code point where it begins and the number of ids before it."""
+
+    ids: list[int]
+    offsets: np.ndarray
+    firsts: np.ndarray
+
+
 class Codec:
-    """Encodes and decodes with the ranks in ``data``, the content of a tiktoken vocabulary file."""
+    """Encodes and decodes with the ranks in ``data``, the content of a tiktoken vocabulary file, and the classes in ``table``."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, table: np.ndarray | None = None):
         self._cache, self._parts, self._numbers = _vocabulary(data)
+        self._table = classes() if table is None else table
 
-    def encode(self, texts: Iterable[str]) -> Iterator[tuple[list[int], np.ndarray]]:
-        """For each text its ids and the offsets of its pre-tokens."""
+    def encode(self, texts: Iterable[str]) -> Iterator[Encoded]:
+        """For each text its ids and offsets."""
         get = self._cache.__getitem__
-        for parts, offsets in pieces(list(texts)):
-            yield list(chain.from_iterable(map(get, parts))), offsets
+        for parts, offsets in pieces(list(texts), self._table):
+            found = list(map(get, parts))
+            firsts = np.cumsum(np.fromiter(chain((0,), map(len, found)), np.int64, len(found) + 1))[:-1]
+            yield Encoded(list(chain.from_iterable(found)), offsets, firsts)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self._parts.__getitem__, ids))
 
+    def between(self, text: Encoded, start: int, end: int) -> bytes:
+        """The decoded bytes of the pre-tokens that begin at the code points from ``start`` to ``end``, exclusive."""
+        first, last = np.searchsorted(text.offsets, (start, end))
+        stop = text.firsts[last] if last < len(text.firsts) else len(text.ids)
+        return self.decode(text.ids[text.firsts[first] : stop]) if first < last else b""
+
+    def slices(self, text: Encoded, step: int = 1 << 16) -> Iterator[bytes]:
+        """The decoded bytes, slice by slice of about ``step`` code points, so that a long text is not held again."""
+        for start in range(0, int(text.offsets[-1]) + 1 if len(text.offsets) else 0, step):
+            yield self.between(text, start, start + step)
+
     def written(self, ids: Iterable[int]) -> str:
         return ",".join(map(self._numbers.__getitem__, ids))
 
@@ -226,25 +250,30 @@ def read_file(path: str) -> bytes:
         return f.read()
 
 
-def round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 for every row; one pass, no shuffle.
+def _shared(frame: DataFrame, vocabulary: str):
+    """The vocabulary file and the classes, read on the driver, as a broadcast variable: of the file's size and 1.1 MB."""
+    return frame.sparkSession.sparkContext.broadcast((read_file(vocabulary), classes()))
 
-    The vocabulary file is read on the driver (its size is fixed by the file) and travels as a broadcast variable.
-    """
-    data = docs.sparkSession.sparkContext.broadcast(read_file(vocabulary))
+
+def round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 for every row; one pass, no shuffle."""
+    shared = _shared(docs, vocabulary)
 
     def run(batches):
         import pyarrow as pa
 
         hold("bpe", _vocabulary.cache_clear)
-        codec = Codec(data.value)
+        codec = Codec(*shared.value)
         for batch in batches:
             n, ids_sha, back_sha = [], [], []
             for group in _groups(values(batch.column(1))):
-                for ids, _ in codec.encode(group):
-                    n.append(len(ids))
-                    ids_sha.append(hashlib.sha256(codec.written(ids).encode()).hexdigest())
-                    back_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                for encoded in codec.encode(group):
+                    n.append(len(encoded.ids))
+                    ids_sha.append(hashlib.sha256(codec.written(encoded.ids).encode()).hexdigest())
+                    back = hashlib.sha256()
+                    for part in codec.slices(encoded):
+                        back.update(part)
+                    back_sha.append(back.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -252,32 +281,39 @@ def round_trip(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFram
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """doc_id, ids (array of int) and offsets (where the pre-tokens begin, in code points) for every row."""
-    data = docs.sparkSession.sparkContext.broadcast(read_file(vocabulary))
+    """doc_id, ids (array of int), offsets (where the pre-tokens begin, in code points) and firsts (ids before each) for every row."""
+    shared = _shared(docs, vocabulary)
 
     def run(batches):
         import pyarrow as pa
 
         hold("bpe", _vocabulary.cache_clear)
-        codec = Codec(data.value)
+        codec = Codec(*shared.value)
         for batch in batches:
             rows = [x for group in _groups(values(batch.column(1))) for x in codec.encode(group)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids for ids, _ in rows], pa.list_(pa.int32())),
-                                              pa.array([o.tolist() for _, o in rows], pa.list_(pa.int64()))], ["doc_id", "ids", "offsets"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.ids for r in rows], pa.list_(pa.int32())), pa.array([r.offsets for r in rows], pa.list_(pa.int64())),
+                                              pa.array([r.firsts for r in rows], pa.list_(pa.int64()))], ["doc_id", "ids", "offsets", "firsts"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>, firsts array<long>")
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, "doc_id long, ids array<int>, offsets array<long>")
 
+def decode(encoded: DataFrame, vocabulary: str, start: int = 0, end: int | None = None) -> DataFrame:
+    """doc_id and the decoded bytes (``data``) of rows of ``encode``.
 
-def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id and the decoded bytes (``data``) of rows with doc_id and ids; null ids decode to no bytes."""
-    data = encoded.sparkSession.sparkContext.broadcast(read_file(vocabulary))
+    Given ``start`` or ``end`` (code points), only the pre-tokens that begin between them are decoded, by the offsets.
+    Null ids or offsets decode to no bytes.
+    """
+    shared = _shared(encoded, vocabulary)
+    stop = 1 << 62 if end is None else end
 
     def run(batches):
         import pyarrow as pa
 
         hold("bpe", _vocabulary.cache_clear)
-        codec = Codec(data.value)
+        codec = Codec(*shared.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.decode(ids or ()) for ids in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "data"])
+            rows = zip(*(values(batch.column(k)) for k in (1, 2, 3)), strict=True)
+            data = [codec.between(Encoded(ids, np.asarray(o, np.int64), np.asarray(f, np.int64)), start, stop) if ids and o and f else b"" for ids, o, f in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["doc_id", "data"])
 
-    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, data binary")
+    return encoded.select(F.col("doc_id").cast("long"), "ids", "offsets", "firsts").mapInArrow(run, "doc_id long, data binary")

@@ -1,7 +1,6 @@
 import base64
 import hashlib
 import random
-import unicodedata
 
 import public_tokenizers as P
 import pytest
@@ -13,7 +12,7 @@ from hypothesis import strategies as st
 from evidora.llm import bpe, queries
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
-PIECES = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'", "''", " ", "  ", "\n", "\t ", " ", "　", "a", "It", "é", "日本", "1", "²", "12", "#", "$$", "…", "́", "😀", "'S", "\r\n", "\x1c", "\x00"]
+PIECES = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'", "''", " ", "  ", "\n", "\t ", " ", "　", "a", "It", "é", "日本", "1", "²", "12", "#", "$$", "…", "́", "😀", "'S", "\r\n", "\x1c", "\x00", "\U000136e7", "\U00010d50", "\u1c89"]
 
 
 @pytest.fixture(scope="module")
@@ -30,18 +29,39 @@ def library():
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.sampled_from(PIECES), st.characters(exclude_categories=["Cs", "Cn"])), max_size=20).map("".join), max_size=5))
 def test_boundaries_are_the_patterns(texts):
-    for text, (parts, offsets) in zip(texts, bpe.pieces(texts), strict=True):
+    for text, (parts, offsets) in zip(texts, bpe.pieces(texts, bpe.classes()), strict=True):
         want = [(m.start(), m[0]) for m in regex.finditer(P.PATTERN, text)]
-        if all(unicodedata.category(c) != "Cn" for c in text):
-            assert list(zip(offsets.tolist(), parts, strict=True)) == want
+        assert list(zip(offsets.tolist(), parts, strict=True)) == want
+
+
+def test_every_code_point_after_a_letter_a_number_and_a_mark(codec, library):
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    for before in ("a", " a", "7", "#", " "):
+        texts = ["".join(before + c + "a1# " for c in every[i : i + 4096]) for i in range(0, len(every), 4096)]
+        for text, got in zip(texts, codec.encode(texts), strict=True):
+            assert got.ids == library.encode_ordinary(text)
 
 
 def test_like_the_library(codec, library):
     rng = random.Random(3)
-    texts = ["", "aaaa" * 500, "#" * 3000, " " * 700, "'s" * 90] + ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 400))) for _ in range(400)]
-    for text, (ids, offsets) in zip(texts, codec.encode(texts), strict=True):
-        assert ids == library.encode_ordinary(text)
-        assert codec.decode(ids) == text.encode()
+    texts = ["", "aaaa" * 500, "#" * 3000, " " * 700, "'s" * 90, " \U000136e7a"] + ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 400))) for _ in range(400)]
+    letters = [chr(c) for c in [*range(0x20, 0xD800), *range(0xE000, 0x20000)]]
+    texts += ["".join(rng.choice(letters if rng.random() < 0.5 else PIECES) for _ in range(rng.randint(1, 9))) for _ in range(60_000)]
+    for text, got in zip(texts, codec.encode(texts), strict=True):
+        assert got.ids == library.encode_ordinary(text)
+        assert codec.decode(got.ids) == text.encode() == b"".join(codec.slices(got, 7))
+
+
+def test_stretches_are_decoded_by_their_offsets(spark, codec):
+    text = "It's 12 naïve 日本語 tests, and  more\n"
+    (got,) = codec.encode([text])
+    for a in range(len(text)):
+        for b in range(a, len(text) + 1):
+            inside = [int(o) for o in got.offsets if a <= o < b]
+            after = [int(o) for o in got.offsets if o >= b] + [len(text)]
+            assert codec.between(got, a, b).decode() == (text[inside[0] : after[0]] if inside else "")
+    encoded = bpe.encode(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string"), PATH)
+    assert {r.doc_id: bytes(r.data).decode() for r in bpe.decode(encoded, PATH, 4, 9).collect()} == {1: " 12 naïve", 2: ""}
 
 
 def test_query(spark, rows, sf_dir, library):
