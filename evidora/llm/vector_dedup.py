@@ -1,16 +1,25 @@
 """Near-duplicate embeddings by inverted lists and product-quantised residuals, with an exact rerank.
 
-Vectors are brought to unit length; equal ones are collapsed with their number. A coarse k-means gives lists and a
-k-means in each of ``SUBSPACES`` slices of the residuals gives codes; both are fitted on about ``SAMPLE`` distinct
-vectors (picked by hash; all if there are fewer), and every vector is indexed. A vector is a query in every list that could hold a
-partner: for unit vectors a cosine of ``threshold`` is a distance t = sqrt(2 - 2 threshold), and a vector y nearer to
-centroid b than to the query's own a lies at least (d(q,b)^2 - d(q,a)^2) / (2 d(a,b)) away from q. Lists beyond t are
-the only ones left out, so no pair is lost. In a list, table lookups give the distance from the query to each coded
-vector; it is dropped where that distance less the vector's own coding error exceeds t, which loses none either. What
-is left is compared by cosine in double precision.
-
-A list is worked in blocks of at most ``BLOCK`` queries and ``BLOCK`` vectors, so a list that a third of all vectors
-share is spread over many tasks. Blocks return counts by query and edges that span their components, never all pairs.
+Vectors are brought to unit length; equal ones are collapsed with their number. Each label has inverted lists of its
+own, as many as its vectors need (``LIST_VECTORS`` a list; ``LISTS`` over all labels, which begins to bind beyond some four
+million vectors). Their centroids, and a k-means in each of ``SUBSPACES`` slices of the residuals for the codes, are
+fitted on about ``SAMPLE`` distinct vectors (picked by hash; all if there are fewer); every vector is indexed.
+
+A vector is in its own list and is a query in the others it probes. For unit vectors a cosine of ``threshold`` is a
+distance t = sqrt(2 - 2 threshold), and a vector that is nearer to centroid b than to the query's own a lies at least
+(d(q,b)^2 - d(q,a)^2) / (2 d(a,b)) away from q; a list is probed where that is a reach of t or less. With a reach of 1
+no pair can be lost. A partner in a random direction of d dimensions moves by about t / sqrt(d) towards any one centroid,
+so the reach is ``SPREAD`` / sqrt(d), 1 at most, and a pair is found if either of the two probes the other's list. tests/llm/test_vector_dedup.py
+measures the recall against brute force: 0.999 or more where vectors have no structure and all partners lie just above
+the threshold.
+
+In a list, table lookups give the distance from the query to each coded vector; it is dropped where that distance less
+the vector's own coding error exceeds t, which loses none. What is left is compared by cosine in double precision. The
+query's links are counted there; the other vector's too if its own probes don't lead to the query.
+
+A vector is shuffled once for each list it probes. A list of more than ``BLOCK`` rows is worked in blocks of at most
+about ``BLOCK`` queries and ``BLOCK`` vectors, so a list that a third of all vectors share is spread over many tasks.
+Blocks return counts by vector and edges that span their components, never all pairs.
 
 Defined cases: vectors with a null label or vec_id, that are null, empty or zero or hold null or non-finite components
 link with nothing and get n_links 0 and a component of their own; vectors of different length never link; equal rows are
@@ -24,18 +33,21 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from evidora.llm.common import cut, sampled
+from evidora.llm.common import cut, hold
 from evidora.llm.components import components
 from evidora.llm.simhash import _join_labels
 
 #: Production parameters.
 THRESHOLD = 0.93
 SUBSPACES, CODES = 8, 256
-SAMPLE = 20_000
-LIST_VECTORS, LISTS = 2048, 512
-BLOCK = 2048
-_ROUNDS = 8
+SAMPLE = 32_768
+LIST_VECTORS, LISTS = 256, 16_384
+SPREAD = 2.0
+BLOCK = 4096
+_ROUNDS = 6
+_NEAR = 1 << 21
 
 
 def _usable(vector: Column) -> Column:
@@ -44,154 +56,225 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.maximum(0, (points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1))
+
+
+def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    step = max(1, _NEAR // len(centres))
+    return np.concatenate([_squared(points[k : k + step], centres).argmin(1) for k in range(0, len(points), step)])
+
+
 def _kmeans(points: np.ndarray, count: int, seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = points[rng.choice(len(points), min(count, len(points)), replace=False)].copy()
     for _ in range(_ROUNDS):
         near = _nearest(points, centres)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, near, points)
-        sizes = np.bincount(near, minlength=len(centres))
-        centres[sizes > 0] = sums[sizes > 0] / sizes[sizes > 0, None]
+        order = np.argsort(near, kind="stable")
+        there, first = np.unique(near[order], return_index=True)
+        sums = np.add.reduceat(points[order], first, axis=0)
+        centres[there] = sums / np.diff(np.append(first, len(points)))[:, None]
     return centres
 
 
-def _squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.maximum(0, (points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1))
-
-
-def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return _squared(points, centres).argmin(1)
-
-
 @dataclass
 class Index:
-    """Coarse centroids and the residuals' codebooks, by slices of equal width."""
+    """The coarse centroids of each kind that has several lists, and the residuals' codebooks, by slices of equal width."""
 
-    centres: np.ndarray
+    centres: dict[str, np.ndarray]
     books: list[np.ndarray]
 
     @classmethod
-    def fit(cls, units: np.ndarray, lists: int) -> Index:
-        centres = _kmeans(units, lists, 1)
-        residuals = units - centres[_nearest(units, centres)]
+    def fit(cls, units: np.ndarray, kinds: np.ndarray, lists: dict[str, int]) -> Index:
+        centres = {k: _kmeans(units[kinds == k], n, 1) for k, n in lists.items() if (kinds == k).any()}
+        residuals = units.copy()
+        for k, c in centres.items():
+            own = kinds == k
+            residuals[own] -= c[_nearest(units[own], c)]
+        if not len(residuals):
+            residuals = np.zeros((1, units.shape[1]))
         return cls(centres, [_kmeans(x, CODES, 2 + k) for k, x in enumerate(np.split(residuals, SUBSPACES, axis=1))])
 
-    def encode(self, units: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes, and the distance of each vector from what its codes stand for."""
-        parts = np.split(units - self.centres[home], SUBSPACES, axis=1)
+    def centre(self, kind: str, of: int) -> np.ndarray | float:
+        return self.centres[kind][of] if kind in self.centres else 0.0
+
+    def encode(self, units: np.ndarray, kind: str, of: int) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of vectors of list ``of``, and the distance of each vector from what its codes stand for."""
+        parts = np.split(units - self.centre(kind, of), SUBSPACES, axis=1)
         codes = np.stack([_nearest(x, b) for x, b in zip(parts, self.books, strict=True)], axis=1).astype(np.uint8)
         error = np.sqrt(sum(((x - b[codes[:, k]]) ** 2).sum(1) for k, (x, b) in enumerate(zip(parts, self.books, strict=True))))
         return codes, error
 
-    def probes(self, units: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        """Each vector's own list, and which lists could hold a vector within ``radius``."""
-        far = _squared(units, self.centres)
-        home = far.argmin(1)
-        apart = np.sqrt(_squared(self.centres, self.centres))[home]
-        gap = far - far[np.arange(len(units)), home][:, None]
-        return home, gap <= 2 * radius * apart + 1e-9
-
-    def tables(self, units: np.ndarray, of: int) -> list[np.ndarray]:
+    def probes(self, units: np.ndarray, kind: str, radius: float, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each vector's own list; and, as rows and lists, which lists each vector probes, its own included."""
+        if kind not in self.centres:
+            rows = np.arange(len(units))
+            return np.zeros(len(units), np.int64), rows, np.zeros(len(units), np.int64)
+        centres, homes, at, probed = self.centres[kind], [], [], []
+        apart = lambda home: np.sqrt(_squared(centres[home], centres))
+        step = max(1, _NEAR // len(centres))
+        for k in range(0, len(units), step):
+            far = _squared(units[k : k + step], centres)
+            home = far.argmin(1)
+            gap = far - far[np.arange(len(far)), home][:, None]
+            rows, lists = np.nonzero(gap <= 2 * radius * reach * apart(home) + 1e-9)
+            homes.append(home)
+            at.append(rows + k)
+            probed.append(lists)
+        return np.concatenate(homes), np.concatenate(at), np.concatenate(probed)
+
+    def tables(self, units: np.ndarray, kind: str, of: int) -> list[np.ndarray]:
         """Squared distances from each vector's residual in list ``of`` to every code, by slice."""
-        return [_squared(x, b) for x, b in zip(np.split(units - self.centres[of], SUBSPACES, axis=1), self.books, strict=True)]
-
-
-def _matrix(column) -> np.ndarray:
-    """Unit vectors as rows, padded with zeros to a whole number of slices and to the longest."""
-    rows = column.to_pylist() if hasattr(column, "to_pylist") else list(column)
-    width = max(map(len, rows), default=0)
-    out = np.zeros((len(rows), width))
-    for k, r in enumerate(rows):
-        out[k, : len(r)] = r
-    return out
+        return [_squared(x, b) for x, b in zip(np.split(units - self.centre(kind, of), SUBSPACES, axis=1), self.books, strict=True)]
 
 
-def _units(raw: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros((len(raw), width))
-    out[:, : raw.shape[1]] = raw
+def _units(column, width: int) -> np.ndarray:
+    """Unit vectors as rows, padded with zeros to ``width``."""
+    lengths = np.diff(column.offsets.to_numpy())
+    out = np.zeros((len(column), width))
+    out[np.arange(width) < lengths[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
     out /= np.abs(out).max(1, keepdims=True)  # against overflow of the squares
     return out / np.sqrt((out**2).sum(1, keepdims=True))
 
 
-def links(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def _index(vectors: DataFrame, width: int, total: int) -> Index:
+    """The index of ``vectors`` (id, kind, n, vector): kinds of so many vectors that they need several lists are fitted."""
+    share = max(LIST_VECTORS, total / LISTS)
+    sizes = vectors.groupBy("kind").agg(F.count("*").alias("of")).filter(F.col("of") > 2 * share)
+    lists = {r.kind: int(-(-r.of // share)) for r in sizes.collect()}  # LISTS / 2 rows at most
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit(0), "vector"), 11) / float(1 << 53)
+    sample = vectors.filter(unit < SAMPLE / total).select("kind", "vector").toArrow().combine_chunks()
+    if not sample.num_rows:
+        return Index.fit(np.zeros((0, width)), np.zeros(0, object), {})
+    return Index.fit(_units(sample.column("vector").chunk(0), width), np.asarray(sample.column("kind").to_pylist(), object), lists)
+
+
+def _solve(index: Index, kind: str, of: int, width: int, threshold: float, radius: float, ids, copies, units, home, probes, role):
+    """Counts by row and labels (each row's smallest linked row) of one block; ``probes``: flat lists and their starts."""
+    q, b = np.flatnonzero(role & 2), np.flatnonzero(role & 1)
+    counts, labels = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    if not len(b) or not len(q):
+        return counts, labels
+    codes, error = index.encode(units[b], kind, of)
+    flat, starts = probes
+    step = int(max(1, _NEAR // len(b)))
+    for k in range(0, len(q), step):
+        part = q[k : k + step]
+        far = sum(t[:, codes[:, j]] for j, t in enumerate(index.tables(units[part], kind, of)))
+        x, y = np.nonzero(far <= (radius + error[None, :]) ** 2)
+        for m in range(0, len(x), _NEAR // width):
+            u, v = part[x[m : m + _NEAR // width]], b[y[m : m + _NEAR // width]]
+            good = (ids[u] != ids[v]) & (np.einsum("ij,ij->i", units[u], units[v]) >= threshold)
+            u, v = u[good], v[good]
+            np.add.at(counts, u, copies[v])
+            wide = int((starts[v + 1] - starts[v]).max(initial=0))
+            back = np.zeros(len(u), bool)  # whether v probes the list of u, and so counts the pair itself
+            for j in range(wide):
+                there = starts[v] + j < starts[v + 1]
+                back[there] |= flat[starts[v[there]] + j] == home[u[there]]
+            np.add.at(counts, v[~back], copies[u[~back]])
+            _join_labels(labels, np.minimum(u, v), np.maximum(u, v))
+    return counts, labels
+
+
+def links(vectors: DataFrame, threshold: float = THRESHOLD, spread: float = SPREAD) -> tuple[DataFrame, DataFrame]:
     """For distinct vectors (id, kind, n, vector): n_links by id, and edges (a, b) that span the components.
 
     ``kind`` says which vectors may be compared, ``n`` how many copies a vector stands for.
     """
     spark = vectors.sparkSession
-    total, kinds, width = vectors.agg(F.count("*"), F.count_distinct("kind"), F.max(F.size("vector"))).first()
-    empty = spark.createDataFrame([], "id long, n_links long"), spark.createDataFrame([], "a long, b long")
+    total, width = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
     if not total:
-        return empty
+        return spark.createDataFrame([], "id long, n_links long"), spark.createDataFrame([], "a long, b long")
+    reach = min(1.0, spread / width**0.5)
     width = -(-width // SUBSPACES) * SUBSPACES
     radius = float(np.sqrt(2 - 2 * threshold)) + 1e-9
-    lists = int(max(1, min(LISTS, total / max(1, kinds) / LIST_VECTORS)))
-    sample = sampled(vectors.select("vector"), SAMPLE, "vector").toArrow()
-    index = spark.sparkContext.broadcast(Index.fit(_units(_matrix(sample.column(0)), width), lists))
+    index = spark.sparkContext.broadcast(_index(vectors, width, total))
 
     def place(batches):
         import pyarrow as pa
 
+        hold("vectors")
         for batch in batches:
             if not batch.num_rows:
                 continue
-            home, near = index.value.probes(_units(_matrix(batch.column("vector")), width), radius)
-            rows, probed = np.nonzero(near)
-            base = np.arange(batch.num_rows)
-            at = pa.array(np.concatenate([base, rows]))
-            query = pa.array(np.concatenate([np.zeros(len(base), bool), np.ones(len(rows), bool)]))
-            taken = batch.take(at)
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate([home, probed]).astype(np.int32)), query], [*taken.schema.names, "list", "query"])
-
-    schema = "id long, kind string, n long, vector array<float>, list int, query boolean"
-    dealt = vectors.select("id", "kind", "n", "vector").mapInArrow(place, schema)
+            units, kinds = _units(batch.column("vector"), width), batch.column("kind").to_numpy(zero_copy_only=False)
+            home, at, probed = np.zeros(len(units), np.int64), [], []
+            for kind in np.unique(kinds):
+                own = np.flatnonzero(kinds == kind)
+                home[own], rows, lists = index.value.probes(units[own], kind, radius, reach)
+                at.append(own[rows])
+                probed.append(lists)
+            at, probed = np.concatenate(at), np.concatenate(probed)
+            order = np.lexsort((probed, at))
+            at, probed = at[order], probed[order]
+            starts = np.searchsorted(at, np.arange(len(units) + 1))
+            every = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(probed.astype(np.int32)))
+            taken, rows = batch.take(pa.array(at)), every.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(probed.astype(np.int32)), pa.array(home[at].astype(np.int32)), rows], [*taken.schema.names, "list", "home", "probes"])
+
+    kind = vectors.schema["vector"].dataType.simpleString()
+    columns = ["id", "kind", "n", "vector", "list", "home", "probes"]
+    dealt = vectors.select("id", "kind", "n", "vector").mapInArrow(place, f"id long, kind string, n long, vector {kind}, list int, home int, probes array<int>")
+    own = F.col("home") == F.col("list")
+    sizes = dealt.groupBy("kind", "list").agg(F.ceil(F.count_if(own) / BLOCK).alias("bases"), F.ceil(F.count("*") / BLOCK).alias("queries"))
+    hot = cut(sizes.filter("queries > 1"))
+    calm = dealt.join(hot, ["kind", "list"], "left_anti").select(*columns, F.lit(0).alias("qblock"), F.lit(0).alias("bblock"), F.when(own, 3).otherwise(2).alias("role"))
     slot = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30))
-    sizes = cut(dealt.groupBy("kind", "list").agg(F.ceil(F.count_if(~F.col("query")) / BLOCK).alias("bases"), F.ceil(F.count_if("query") / BLOCK).alias("queries")))
-    spread = (dealt.join(sizes.filter("bases > 0"), ["kind", "list"])  # lists without a vector of the kind have nothing to find
-              .withColumn("own", F.pmod(slot, F.when(F.col("query"), F.col("queries")).otherwise(F.col("bases"))))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("query"), F.col("bases")).otherwise(F.col("queries")) - 1)))
-              .select("id", "n", "vector", "query", "kind", "list",
-                      F.when(F.col("query"), F.col("own")).otherwise(F.col("other")).alias("qblock"), F.when(F.col("query"), F.col("other")).otherwise(F.col("own")).alias("bblock")))
-
-    def block(frame):
-        import pandas as pd
-
-        model, of = index.value, int(frame["list"].iloc[0])
-        asks = frame["query"].to_numpy()
-        raw = _matrix(frame["vector"])
-        units, ids, copies = _units(raw, width), frame["id"].to_numpy(), frame["n"].to_numpy()
-        q, b = np.flatnonzero(asks), np.flatnonzero(~asks)
-        counts, labels = np.zeros(len(q), np.int64), np.arange(len(ids))
-        if len(b):
-            codes, error = model.encode(units[b], np.full(len(b), of))
-            for part in np.array_split(np.arange(len(q)), max(1, len(q) * len(b) // (1 << 21))):
-                tables = model.tables(units[q[part]], of)
-                far = sum(t[:, codes[:, k]] for k, t in enumerate(tables))
-                x, y = np.nonzero(np.sqrt(far) - error[None, :] <= radius)
-                x, y = q[part[x]], b[y]
-                good = (ids[x] != ids[y]) & ((units[x] * units[y]).sum(1) >= threshold)
-                x, y = x[good], y[good]
-                counts += np.bincount(np.searchsorted(q, x), copies[y], len(q)).astype(np.int64)
-                _join_labels(labels, np.minimum(x, y), np.maximum(x, y))
-        linked = np.flatnonzero(labels != np.arange(len(ids)))
-        some = counts > 0
-        return pd.DataFrame({"id": np.concatenate([ids[q[some]], ids[linked]]), "n_links": np.concatenate([counts[some], np.zeros(len(linked), np.int64)]),
-                             "to": pd.array([None] * int(some.sum()) + ids[labels[linked]].tolist(), dtype="Int64")})
-
-    found = cut(spread.groupBy("kind", "list", "qblock", "bblock").applyInPandas(block, "id long, n_links long, to long"))
+    known = dealt.join(hot, ["kind", "list"])
+    every = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
+    asked = known.filter("bases > 0").select(*columns, F.pmod(slot, "queries").cast("int").alias("qblock"), every("bases").alias("bblock"), F.lit(2).alias("role"))
+    held = known.filter(own).select(*columns, every("queries").alias("qblock"), F.pmod(slot, "bases").cast("int").alias("bblock"), F.lit(1).alias("role"))
+    keys = ["kind", "list", "qblock", "bblock"]
+    blocks = calm.unionByName(asked).unionByName(held).repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches):
+        import pyarrow as pa
+
+        hold("vectors")
+
+        def solved(table):
+            rows = table.combine_chunks().to_batches()[0]
+            ids = rows.column("id").to_numpy()
+            lists = rows.column("probes")
+            probes = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+            counts, labels = _solve(index.value, rows.column("kind")[0].as_py(), rows.column("list")[0].as_py(), width, threshold, radius, ids, rows.column("n").to_numpy(),
+                                    _units(rows.column("vector"), width), rows.column("home").to_numpy(), probes, rows.column("role").to_numpy())
+            linked, some = np.flatnonzero(labels != np.arange(len(ids))), counts > 0
+            to = pa.array(np.concatenate([np.zeros(int(some.sum()), np.int64), ids[labels[linked]]]), mask=np.arange(int(some.sum()) + len(linked)) < some.sum())
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([ids[some], ids[linked]])), pa.array(np.concatenate([counts[some], np.zeros(len(linked), np.int64)])), to], ["id", "n_links", "to"])
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            new = np.zeros(max(0, table.num_rows - 1), bool)
+            for key in keys:
+                column = table.column(key).combine_chunks()
+                column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+                values = column.dictionary_encode().indices.to_numpy() if key == "kind" else column.to_numpy()
+                new |= values[1:] != values[:-1]
+            edges = [0, *(np.flatnonzero(new) + 1).tolist()]
+            for start, stop in zip(edges, edges[1:], strict=False):
+                yield solved(table.slice(start, stop - start))
+            held = table.slice(edges[-1])
+        if held is not None and held.num_rows:
+            yield solved(held)
+
+    found = cut(blocks.select(*columns, "qblock", "bblock", "role").mapInArrow(run, "id long, n_links long, to long"))
     counted = found.filter("to IS NULL").groupBy("id").agg(F.sum("n_links").alias("n_links"))
     return counted, found.filter("to IS NOT NULL").select(F.col("id").alias("a"), F.col("to").alias("b"))
 
 
-def group(rows: DataFrame, threshold: float = THRESHOLD, vector: str = "embedding", label: str = "label") -> DataFrame:
+def group(rows: DataFrame, threshold: float = THRESHOLD, spread: float = SPREAD, vector: str = "embedding", label: str = "label") -> DataFrame:
     """vec_id, n_links, component_id and kept for every row."""
-    slim = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("vector"), F.col(label).cast("string").alias("_label"))
+    single = isinstance(getattr(rows.schema[vector].dataType, "elementType", None), FloatType)
+    exact = F.col(vector) if single else F.col(vector).cast("array<double>")  # single precision is in double precision exactly
+    slim = rows.select(F.col("vec_id").cast("long").alias("vec_id"), exact.alias("vector"), F.col(label).cast("string").alias("_label"))
     usable = _usable(F.col("vector")) & F.col("_label").isNotNull() & F.col("vec_id").isNotNull()
     kind = F.when(usable, F.concat_ws(":", F.size("vector").cast("string"), "_label"))
     keyed = slim.select("vec_id", "vector", kind.alias("kind"))
     distinct = cut(keyed.filter("kind IS NOT NULL").groupBy("kind", "vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")))
-    counted, edges = links(distinct, threshold)
+    counted, edges = links(distinct, threshold, spread)
     roots = components(edges)
     named = distinct.join(counted, "id", "left").join(roots, F.col("id") == F.col("node"), "left").select(
         F.col("kind").alias("_kind"), F.col("vector").alias("_vector"), (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "id").alias("component_id"))

@@ -59,6 +59,35 @@ def test_against_brute_force(spark, monkeypatch, limits):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == want
 
 
+@pytest.mark.parametrize("width", [16, 64])
+def test_recall_without_structure(spark, monkeypatch, width):
+    """Random directions, each with a partner just above the threshold: the hardest case for the probes."""
+    monkeypatch.setattr(vector_dedup, "LIST_VECTORS", 32)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    w = rng.normal(size=x.shape)
+    w -= (w * x).sum(1, keepdims=True) * x
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    c = rng.uniform(0.9301, 0.935, (len(x), 1))
+    both = np.concatenate([x, c * x + np.sqrt(1 - c * c) * w])
+    near = both @ both.T >= 0.93
+    np.fill_diagonal(near, False)
+    want = near.sum(1)
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(both)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in vector_dedup.group(frame).collect()}
+    found = np.asarray([got[i] for i in range(len(both))])
+    assert (found <= want).all() and found.sum() >= 0.999 * want.sum() and want.sum() >= 6000
+    probes = vector_dedup.Index.fit(both, np.asarray(["0"] * len(both), object), {"0": 188}).probes(both, "0", math.sqrt(0.14), vector_dedup.SPREAD / math.sqrt(width))
+    assert len(probes[1]) < 0.3 * 188 * len(both)  # most lists are left out
+
+
+def test_large_doubles(spark):
+    rows = [(1, [1e300, 2e300], 0), (2, [1e300, 2e300], 0), (3, [1e300, 2.0001e300], 0), (4, [-1e300, 0.0], 0), (5, [1e-300, 2e-300], 0)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.group(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
+
+
 def test_query_on_driver_rows(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     rows = [tuple(r) for r in frame.select("vec_id", "embedding", "label").collect()]
