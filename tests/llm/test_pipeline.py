@@ -15,9 +15,7 @@ def test_stages_against_brute_force(spark, docs, rows, sf_dir):
     assert first.columns == docs.columns and texts(first) == {i: t for i, t, *_ in rows if quality_kept(t)}
     second = steps["near_duplicates"](spark, docs, sf_dir)
     groups = jaccard_components({r[0]: r[1] for r in rows}, 5, 0.8)
-    gone = {r[0] for r in rows} - set(texts(second))
-    assert all(groups[i] != i for i in gone)  # only what has a partner goes
-    assert len(gone) >= 0.6 * sum(i != root for i, root in groups.items())  # texts of ten words' vocabulary are hard to find
+    assert {r[0] for r in rows} - set(texts(second)) == {i for i, root in groups.items() if i != root}
     third = steps["repeats"](spark, docs, sf_dir)
     want = without_repeats({r[0]: r[1] for r in rows}, 200)
     assert texts(third) == want
@@ -32,8 +30,7 @@ def test_recall_of_near_duplicates(spark):
     groups = jaccard_components(whole, 5, 0.8)
     kept = set(texts(corpus_pipeline.near_duplicates(spark, docs, "")))
     due = {i for i, root in groups.items() if i != root}
-    assert len(due) > 50 and not (set(whole) - kept) - due
-    assert len(due - kept) >= 0.95 * len(due)
+    assert len(due) > 50 and set(whole) - kept == due
 
 
 def test_run(spark, sf_dir):
