@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by inverted lists and product-quantised residuals, with an exact rerank.
 
 Vectors are brought to unit length; equal ones are collapsed with their number. Each label has inverted lists of its
-own, as many as its vectors need (``LIST_VECTORS`` a list; ``LISTS`` over all labels, which begins to bind beyond some four
+own, as many as its vectors need (``LIST_VECTORS`` a list; ``LISTS`` over all labels, which begins to bind beyond some two
 million vectors). Their centroids, and a k-means in each of ``SUBSPACES`` slices of the residuals for the codes, are
 fitted on about ``SAMPLE`` distinct vectors (picked by hash; all if there are fewer); every vector is indexed.
 
@@ -43,9 +43,10 @@ from evidora.llm.simhash import _join_labels
 THRESHOLD = 0.93
 SUBSPACES, CODES = 8, 256
 SAMPLE = 32_768
-LIST_VECTORS, LISTS = 256, 16_384
+LIST_VECTORS, LISTS = 128, 16_384
 SPREAD = 2.0
 BLOCK = 4096
+BROADCAST_LISTS = 10_000
 _ROUNDS = 6
 _NEAR = 1 << 21
 
@@ -219,14 +220,20 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, spread: float = SPRE
     own = F.col("home") == F.col("list")
     sizes = dealt.groupBy("kind", "list").agg(F.ceil(F.count_if(own) / BLOCK).alias("bases"), F.ceil(F.count("*") / BLOCK).alias("queries"))
     hot = cut(sizes.filter("queries > 1"))
-    calm = dealt.join(hot, ["kind", "list"], "left_anti").select(*columns, F.lit(0).alias("qblock"), F.lit(0).alias("bblock"), F.when(own, 3).otherwise(2).alias("role"))
-    slot = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30))
-    known = dealt.join(hot, ["kind", "list"])
-    every = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
-    asked = known.filter("bases > 0").select(*columns, F.pmod(slot, "queries").cast("int").alias("qblock"), every("bases").alias("bblock"), F.lit(2).alias("role"))
-    held = known.filter(own).select(*columns, every("queries").alias("qblock"), F.pmod(slot, "bases").cast("int").alias("bblock"), F.lit(1).alias("role"))
     keys = ["kind", "list", "qblock", "bblock"]
-    blocks = calm.unionByName(asked).unionByName(held).repartition(*keys).sortWithinPartitions(*keys)
+    role = F.when(own, 3).otherwise(2).alias("role")
+    whole = (F.lit(0).alias("qblock"), F.lit(0).alias("bblock"))
+    if count := hot.count():
+        hot = F.broadcast(hot) if count <= BROADCAST_LISTS else hot
+        slot = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30))
+        known = dealt.join(hot, ["kind", "list"])
+        every = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
+        asked = known.filter("bases > 0").select(*columns, F.pmod(slot, "queries").cast("int").alias("qblock"), every("bases").alias("bblock"), F.lit(2).alias("role"))
+        held = known.filter(own).select(*columns, every("queries").alias("qblock"), F.pmod(slot, "bases").cast("int").alias("bblock"), F.lit(1).alias("role"))
+        blocks = dealt.join(hot, ["kind", "list"], "left_anti").select(*columns, *whole, role).unionByName(asked).unionByName(held)
+    else:
+        blocks = dealt.select(*columns, *whole, role)
+    blocks = blocks.repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches):
         import pyarrow as pa
