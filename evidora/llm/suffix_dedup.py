@@ -6,24 +6,27 @@ windows with one anchor in one place; its context is the bytes they cover. Equal
 
 1. One pass over the texts lists the runs: anchor, place, and a hash of the context. No text leaves the scan.
 2. Anchors that occur once are dropped: their windows can't repeat. This is most of them.
-3. Equal contexts (anchor and context hash, 128 bits) are counted and collapsed to one representative. A context that
-   occurs twice is repeated as a whole.
-4. The representatives of anchors with several contexts are fetched from their documents and dealt to shards by anchor.
-   Each shard builds its suffix array by induced sorting and the permuted common prefixes: a window is repeated where
-   its suffix shares ``length`` bytes with a neighbour in the array. That compares bytes, so hashes can only bring
-   windows together, not make them equal.
+3. Equal contexts (anchor and context hash, 128 bits) are counted and collapsed to their first and last occurrence. That
+   the two are equal is a claim; claims that are neighbours in both documents are joined to stretches.
+4. Both sides of every stretch, and one context each of the anchors that have several, are fetched from their documents and
+   dealt to shards, stretches by their pair of documents and contexts by their anchor. Each shard builds its suffix
+   array by induced sorting and the permuted common prefixes: a window is repeated where its suffix shares ``length``
+   bytes with a neighbour in the array. So every verdict compares bytes of two places; hashes bring windows together, and
+   hand a verdict on to further copies of the same context.
 5. The verdicts go back to the runs, are gathered by document, and the covered bytes are cut out.
 
 A shard's size is bounded (small shards also keep the arrays in the processor's caches): shards are made as many as the
-representatives need, a task works through several, and an anchor with more than
-``ANCHOR_CONTEXTS`` different contexts (a common line in very many documents) is dealt window by window instead: its
-windows are counted by a 128-bit hash with map-side sums. Documents without a representative are left out of step 4 by
-a bit set of fixed size. Nothing about all documents goes to the driver but counts.
-Both sides of each join on anchors are written tables, so that the adaptive skew join can split a hot one.
-
-Defined cases: a null text counts as empty; equal rows are copies of each other, so all their windows repeat; a null
-doc_id is an id of its own; texts of any length are read whole; texts shorter than ``length`` bytes stay as they are; an empty table gives an empty result; other columns are not
-looked at.
+bytes need, a task works through several, a stretch ends at ``STRETCH`` bytes at the latest, and the windows of an anchor
+with more than ``ANCHOR_CONTEXTS`` different contexts (a common line in very many documents) are claims of their own: a
+128-bit hash of each window brings equal ones together, and they are proven as all claims are. Rows are named by 128
+bits hashed from doc_id and text. Documents without anything to fetch are left out of step 4 by a bit set of ``FILTER_BITS``
+bits for each document to fetch, or not at all where that would be more than ``FILTER_MOST`` bits. Nothing about all
+documents goes to the driver but counts and this bit set. Both sides of each join on anchors are written tables, so that
+the adaptive skew join can split a hot one.
+
+Defined cases: a null text counts as empty; equal rows are copies of each other, so all their windows repeat; rows with a
+null or repeated doc_id are told apart by their texts; texts of any length are read whole; texts shorter than ``length``
+bytes stay as they are; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import hashlib
 from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidora.llm.common import cut, fresh, hold, values
@@ -42,10 +45,12 @@ from evidora.llm.suffix_array import repeats
 LENGTH = 200
 GRAM = 64
 SHARD_BYTES, TASK_BYTES = 400_000, 8_000_000
+STRETCH = 1 << 16
 ANCHOR_CONTEXTS = 8192
-FILTER_WORDS = 1 << 17  # of 32 bits each: 512 kB
-_NO_ID = -(1 << 63)
+FILTER_BITS, FILTER_MOST = 16, 1 << 28
+_CHUNK = 1 << 20  # bits of the filter that one task sets
 _GROUP = 1 << 20
+_KEY = ["k1", "k2"]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,10 +116,16 @@ def _grouped(batch_texts: Iterable[bytes | None], length: int):
         yield np.asarray(numbers), np.asarray(offsets), parts
 
 
+def _key(doc: Column, data: Column) -> list[Column]:
+    """128 bits that name a row by its doc_id and its bytes."""
+    own = F.coalesce(doc.cast("long"), F.lit(0)), doc.isNull(), F.octet_length(data), data
+    return [F.xxhash64(F.lit(seed), *own).alias(name) for seed, name in enumerate(_KEY, 1)]
+
+
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
-    """id, mark (32 bits hashed from the text) and data (bytes): id and mark name a row, but for equal rows."""
+    """k1 and k2 (the key of a row; equal rows have one), data (bytes) and doc_id."""
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), F.hash(data).alias("mark"), data.alias("data"))
+    return docs.select(*_key(F.col("doc_id"), data), data.alias("data"), F.col("doc_id").cast("long").alias("doc_id"))
 
 
 def _anchors(keyed: DataFrame, length: int) -> DataFrame:
@@ -132,7 +143,7 @@ def _anchors(keyed: DataFrame, length: int) -> DataFrame:
 
 
 def _runs(keyed: DataFrame, length: int) -> DataFrame:
-    """Every run: id, mark, anchor, context (a hash), first and windows."""
+    """Every run: k1, k2, anchor, context (a hash), first and windows."""
 
     def run(batches):
         import pyarrow as pa
@@ -140,54 +151,61 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
 
         hold("suffix")
         for batch in batches:
-            ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for numbers, offsets, group in _grouped(values(batch.column(2)), length):
                 text, anchor, first, count, joined, starts = runs(group, length)
                 view, of = memoryview(joined), xxhash.xxh3_64_intdigest
                 context = [of(view[a:b]) for a, b in zip(first.tolist(), (first + count + length - 1).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[numbers[text]]), pa.array(marks[numbers[text]]), pa.array(anchor.view(np.int64)),
-                    pa.array(np.asarray(context, np.uint64).view(np.int64)), pa.array((first - starts[text] + offsets[text]).astype(np.int64)), pa.array(count.astype(np.int32)),
-                ], ["id", "mark", "anchor", "context", "first", "windows"])
+                    pa.array(k1[numbers[text]]), pa.array(k2[numbers[text]]), pa.array(anchor.view(np.int64)),
+                    pa.array(np.asarray(context, np.uint64).view(np.int64)), pa.array((first - starts[text] + offsets[text]).astype(np.int32)), pa.array(count.astype(np.int32)),
+                ], [*_KEY, "anchor", "context", "first", "windows"])
 
-    return keyed.mapInArrow(run, "id long, mark int, anchor long, context long, first long, windows int")
+    return keyed.select(*_KEY, "data").mapInArrow(run, "k1 long, k2 long, anchor long, context long, first int, windows int")
 
 
-def _slot() -> Column:
-    return F.pmod(F.xxhash64("id", "mark"), F.lit(32 * FILTER_WORDS))
+def _filter(wanted: DataFrame):
+    """A test of a column of k1 against the keys in ``wanted``: true for all that are there, and for few others.
 
+    It holds a broadcast bit set, sized by a count. None where that would be too large; there the joins do without.
+    """
+    keys = cut(wanted.select("k1").distinct())
+    bits = max(_CHUNK, 1 << (FILTER_BITS * keys.count()).bit_length())
+    if bits > FILTER_MOST:
+        return None
 
-def _bit_set(wanted: DataFrame):
-    """A broadcast bit set of fixed size over the keys (id, mark) of ``wanted``; a test of an array of slots against it."""
-    words = wanted.select("id", "mark").distinct().groupBy(F.floor(_slot() / 32).cast("int").alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (_slot() % 32).cast("int"))).alias("bits"))
-    table = np.zeros(FILTER_WORDS, np.int64)
-    for r in words.collect():  # FILTER_WORDS rows at most
-        table[r.word] = r.bits
-    shared = wanted.sparkSession.sparkContext.broadcast(table)
-    return lambda slots: (shared.value[slots // 32] >> (slots % 32) & 1).astype(bool)
+    def chunk(table):
+        import pyarrow as pa
 
+        slots = table.column("k1").to_numpy() & (bits - 1)
+        own = np.zeros(_CHUNK, bool)
+        own[slots & (_CHUNK - 1)] = True
+        return pa.table({"chunk": pa.array([int(slots[0]) // _CHUNK], pa.int64()), "bits": pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())})
 
-def _with_representatives(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``keyed`` whose key may be in ``wanted``: all that are, and few others while the bit set is not full."""
-    there = _bit_set(wanted)
+    chunks = keys.groupBy(F.floor(F.col("k1").bitwiseAND(F.lit(bits - 1)) / _CHUNK).alias("at")).applyInArrow(chunk, "chunk long, bits binary")
+    table = np.zeros(bits // 8, np.uint8)
+    for at, own in zip(*(c.to_pylist() for c in chunks.toArrow().columns), strict=True):  # FILTER_MOST / 8 bytes at most
+        table[at * _CHUNK // 8 : (at + 1) * _CHUNK // 8] = np.frombuffer(own, np.uint8)
+    shared = wanted.sparkSession.sparkContext.broadcast(table)
 
-    def run(batches):
-        import pyarrow as pa
+    @F.pandas_udf("boolean")
+    def there(k1):
+        import pandas as pd
 
-        hold("suffix")
-        for batch in batches:
-            yield batch.filter(pa.array(there(batch.column(3).to_numpy()))).select([0, 1, 2])
+        slots = k1.to_numpy() & (bits - 1)
+        return pd.Series((shared.value[slots >> 3] >> (slots & 7) & 1).astype(bool))
 
-    return keyed.withColumn("slot", _slot()).mapInArrow(run, "id long, mark int, data binary")
+    return there
 
 
-def _contexts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """anchor, context and bytes of each of ``wanted`` (id, mark, first, windows, anchor, context)."""
-    lists = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "windows", "anchor", "context")).alias("runs"))  # of one document
-    joined = _with_representatives(keyed, wanted).dropDuplicates(["id", "mark"]).join(lists, ["id", "mark"])
-    each = joined.select("data", F.explode("runs").alias("r"))
-    return each.select("r.anchor", "r.context", F.substring("data", (F.col("r.first") + 1).cast("int"), F.col("r.windows") + length - 1).alias("bytes"))
+def _fetched(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``wanted`` (k1, k2, first, windows and other columns) with the bytes that the windows cover instead of the place."""
+    other = [c for c in wanted.columns if c not in (*_KEY, "first", "windows")]
+    lists = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "windows", *other)).alias("places"))  # of one document
+    there = _filter(wanted)
+    texts = keyed.select(*_KEY, "data") if there is None else keyed.select(*_KEY, "data").filter(there("k1"))
+    each = texts.dropDuplicates(_KEY).join(lists, _KEY).select("data", F.explode("places").alias("r"))
+    return each.select(*[f"r.{c}" for c in other], F.substring("data", F.col("r.first") + 1, F.col("r.windows") + length - 1).alias("bytes"))
 
 
 def _spans(hit: np.ndarray) -> list[dict]:
@@ -195,26 +213,55 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"at": a, "n": b - a} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
 
 
-def _by_shard(contexts: DataFrame, total: int, length: int) -> DataFrame:
-    """anchor, context and spans: the repeated windows found by each shard's suffix array. ``total``: bytes of contexts."""
-    shards, tasks = (max(1, -(-total // x)) for x in (SHARD_BYTES, TASK_BYTES))
-    dealt = contexts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(tasks, "shard").sortWithinPartitions("shard")
+def _stretches(claims: DataFrame) -> DataFrame:
+    """The places to fetch for claims (x, y, lo, hi, windows): both sides of each stretch, one with the list of its claims.
+
+    ``lo`` and ``hi`` are structs (k1, k2, first) of two places with the same ``windows`` windows. Columns: k1, k2, first,
+    windows, ``of`` (what is dealt together), claims.
+    """
+    pair = Window.partitionBy("lo.k1", "lo.k2", "hi.k1", "hi.k2").orderBy("lo.first", "hi.first")
+    before = F.lag(F.struct("lo", "hi", "windows")).over(pair)
+    follows = (F.col("lo.first") == F.col("_p.lo.first") + F.col("_p.windows")) & (F.col("hi.first") == F.col("_p.hi.first") + F.col("_p.windows"))
+    inside = F.floor(F.col("lo.first") / STRETCH) == F.floor(F.col("_p.lo.first") / STRETCH)
+    number = F.sum(F.when(follows & inside, 0).otherwise(1)).over(pair)
+    numbered = claims.withColumn("_p", before).withColumn("number", number)
+    joined = numbered.groupBy("lo.k1", "lo.k2", F.col("hi.k1").alias("h1"), F.col("hi.k2").alias("h2"), "number").agg(
+        F.min("lo.first").alias("first"), F.min("hi.first").alias("_first"), F.sum("windows").cast("int").alias("windows"),
+        F.sort_array(F.collect_list(F.struct(F.col("lo.first").alias("first"), "x", "y", "windows"))).alias("claims"))
+    of = F.xxhash64("k1", "k2", "h1", "h2").alias("of")
+    lo = joined.select("k1", "k2", "first", "windows", of, "claims")
+    hi = joined.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("_first").alias("first"), "windows", of, F.lit(None).alias("claims"))
+    return lo.unionByName(hi)
+
+
+def _solved(kind: int, total: int, fetched: DataFrame, length: int) -> DataFrame:
+    """x, y and spans: the repeated windows of claims, found by each shard's suffix array. ``total``: bytes to deal.
+
+    ``fetched`` has of, claims (x, y, windows of those that follow each other in the bytes) and bytes; ``kind`` only tells
+    one deal from another.
+    """
+    shards, tasks = (max(1, -(-total // size)) for size in (SHARD_BYTES, TASK_BYTES))
+    dealt = fetched.withColumn("shard", F.pmod(F.xxhash64(F.lit(kind), "of"), F.lit(shards))).repartition(tasks, "shard").sortWithinPartitions("shard")
 
     def run(batches):
         import pyarrow as pa
 
         hold("suffix")
-        kind = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
+        of = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
 
         def solved(rows):
-            marks = repeats([r[2] for r in rows], length)
-            found = [(a, c, s) for (a, c, _), hit in zip(rows, marks, strict=True) if (s := _spans(hit))]
-            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
-                                               pa.array([f[2] for f in found], kind)], ["anchor", "context", "spans"])
+            found = []
+            for (claims, _), hit in zip(rows, repeats([r[1] for r in rows], length), strict=True):
+                at = 0
+                for c in claims or ():
+                    if s := _spans(hit[at : at + c["windows"]]):
+                        found.append((c["x"], c["y"], s))
+                    at += c["windows"]
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], of)], ["x", "y", "spans"])
 
         shard, rows = None, []
         for batch in batches:
-            for s, *row in zip(*(batch.column(n).to_pylist() for n in ("shard", "anchor", "context", "bytes")), strict=True):
+            for s, *row in zip(*(values(batch.column(n)) for n in ("shard", "claims", "bytes")), strict=True):
                 if s != shard and rows:
                     yield solved(rows)
                     rows = []
@@ -223,11 +270,12 @@ def _by_shard(contexts: DataFrame, total: int, length: int) -> DataFrame:
         if rows:
             yield solved(rows)
 
-    return dealt.select("shard", "anchor", "context", "bytes").mapInArrow(run, "anchor long, context long, spans array<struct<at:int,n:int>>")
+    return dealt.select("shard", "claims", "bytes").mapInArrow(run, "x long, y long, spans array<struct<at:int,n:int>>")
 
 
-def _by_window(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with too many contexts for a shard: windows are counted by hash, in map-side sums."""
+def _window_claims(crowded: DataFrame, keyed: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """For contexts (k1, k2, anchor, context, first, windows): their windows (anchor, context, at, x, y), and claims on the
+    first and the last place of each window hash that occurs twice or more."""
 
     def run(batches):
         import pyarrow as pa
@@ -236,42 +284,55 @@ def _by_window(contexts: DataFrame, length: int) -> DataFrame:
         hold("suffix")
         of = xxhash.xxh3_128_digest
         for batch in batches:
-            for anchor, context, data in zip(*(batch.column(n).to_pylist() for n in ("anchor", "context", "bytes")), strict=True):
+            for *fields, data in zip(*(values(batch.column(n)) for n in ("k1", "k2", "anchor", "context", "start", "bytes")), strict=True):
                 n = len(data) - length + 1
                 digests = np.frombuffer(b"".join(of(data[k : k + length]) for k in range(n)), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, anchor)), pa.array(np.full(n, context)), pa.array(np.arange(n, dtype=np.int32)),
-                                                  pa.array(np.ascontiguousarray(digests[:, 0])), pa.array(np.ascontiguousarray(digests[:, 1]))],
-                                                 ["anchor", "context", "at", "x", "y"])
+                at = np.arange(n, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.full(n, f)) for f in fields[:4]), pa.array(at), pa.array(at + np.int32(fields[4])), pa.array(np.ascontiguousarray(digests[:, 0])),
+                                                  pa.array(np.ascontiguousarray(digests[:, 1]))], ["k1", "k2", "anchor", "context", "at", "first", "x", "y"])
+
+    named = crowded.select(*_KEY, "first", "windows", "anchor", "context", F.col("k1").alias("own1"), F.col("k2").alias("own2"), F.col("first").alias("start"))
+    whole = _fetched(keyed, named, length).select(F.col("own1").alias("k1"), F.col("own2").alias("k2"), "anchor", "context", "start", "bytes")
+    windows = cut(whole.mapInArrow(run, "k1 long, k2 long, anchor long, context long, at int, first int, x long, y long"))
+    place = F.struct("k1", "k2", "first")
+    claims = windows.groupBy("x", "y").agg(F.count("*").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi"), F.lit(1).alias("windows")).filter("n > 1")
+    return windows, claims.select("x", "y", "lo", "hi", "windows")
 
-    windows = contexts.mapInArrow(run, "anchor long, context long, at int, x long, y long")
-    often = windows.groupBy("x", "y").agg(F.count("*").alias("n")).filter("n > 1").select("x", "y")
-    hits = windows.join(often, ["x", "y"], "left_semi")
-    return hits.groupBy("anchor", "context").agg(F.collect_list(F.struct("at", F.lit(1).alias("n"))).alias("spans"))  # of one context
+
+def _proven(claims: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
+    """x, y and spans of the ``claims``: which of their windows are repeated, by suffix arrays over both sides."""
+    places = cut(_stretches(claims))
+    total = places.agg(F.sum(F.col("windows") + length)).first()[0]
+    one = "array<struct<x:bigint,y:bigint,windows:int>>"
+    slim = places.withColumn("claims", F.transform("claims", lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"), c["windows"].alias("windows"))).cast(one))
+    return _solved(1, total or 0, _fetched(keyed, slim, length), length)
 
 
 def repeated(keyed: DataFrame, length: int) -> DataFrame:
-    """id, mark and spans (first window, windows) of all repeated windows, a row for each document that has any."""
+    """k1, k2 and spans (first window, windows) of all repeated windows, a row for each document that has any."""
     common = cut(_anchors(keyed, length).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
     met = cut(_runs(keyed, length).join(common, "anchor", "left_semi"))
-    where = F.min(F.struct("id", "mark", "first", "windows"))
-    distinct = cut(met.groupBy("anchor", "context").agg(F.count("*").alias("n"), where.alias("w")).select("anchor", "context", "n", "w.*"))
+    place = F.struct("k1", "k2", "first")
+    distinct = cut(met.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("windows").alias("windows")))
     several = cut(distinct.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1"))
-    wanted = cut(distinct.join(several, "anchor"))
-    fits = F.col("contexts") <= ANCHOR_CONTEXTS
-    total, crowded = wanted.agg(F.sum(F.when(fits, F.col("windows") + length)), F.count_if(~fits)).first()
-    whole = distinct.filter("n > 1").select("anchor", "context", F.array(F.struct(F.lit(0).alias("at"), F.col("windows").alias("n"))).alias("spans"))
+    wanted = cut(distinct.join(several, "anchor").select("lo.*", "windows", "anchor", "context", (F.col("contexts") <= ANCHOR_CONTEXTS).alias("fits")))
+    total, crowded = wanted.agg(F.sum(F.when(F.col("fits"), F.col("windows") + length)), F.count_if(~F.col("fits"))).first()
+    claims = distinct.filter("n > 1").select(F.col("anchor").alias("x"), F.col("context").alias("y"), "lo", "hi", "windows")
+    verdicts = cut(_proven(claims, keyed, length).toDF("anchor", "context", "spans"))
     once = distinct.filter("n = 1").select("anchor", "context")
     found = []
     if total:
-        found.append(_by_shard(_contexts(keyed, wanted.filter(fits), length), total, length))
+        one = F.array(F.struct(F.col("anchor").alias("x"), F.col("context").alias("y"), "windows"))
+        mixed = wanted.filter("fits").select(*_KEY, "first", "windows", F.col("anchor").alias("of"), one.alias("claims"))
+        found.append(_solved(0, total, _fetched(keyed, mixed, length), length).toDF("anchor", "context", "spans"))
     if crowded:
-        found.append(_by_window(_contexts(keyed, wanted.filter(~fits), length), length))
+        windows, own = _window_claims(wanted.filter("NOT fits").drop("fits"), keyed, length)
+        hits = windows.join(cut(_proven(own, keyed, length)), ["x", "y"])
+        found.append(hits.groupBy("anchor", "context").agg(F.collect_list(F.struct("at", F.lit(1).alias("n"))).alias("spans")))  # of one context
     for f in found:
-        whole = whole.unionByName(f.join(once, ["anchor", "context"], "left_semi"))
-    verdicts = cut(whole)
-    hits = met.join(verdicts, ["anchor", "context"]).select("id", "mark", F.transform("spans", lambda s: F.struct(
-        (F.col("first") + s["at"]).alias("at"), s["n"].alias("n"))).alias("spans"))
-    return hits.groupBy("id", "mark").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # of one document
+        verdicts = verdicts.unionByName(f.join(once, ["anchor", "context"], "left_semi"))
+    hits = met.join(cut(verdicts), ["anchor", "context"]).select(*_KEY, F.transform("spans", lambda s: F.struct((F.col("first") + s["at"]).alias("at"), s["n"].alias("n"))).alias("spans"))
+    return hits.groupBy(*_KEY).agg(F.flatten(F.collect_list("spans")).alias("spans"))  # of one document
 
 
 def _covered(spans: list[dict], length: int) -> list[tuple[int, int]]:
@@ -290,10 +351,6 @@ def _kept(data: bytes, ranges: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _digested(doc: int, data: bytes, ranges: list[tuple[int, int]]) -> tuple:
-    return None if doc == _NO_ID else doc, len(data), sum(b - a for a, b in ranges), len(ranges), hashlib.sha256(_kept(data, ranges)).hexdigest()
-
-
 def digest(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row.
 
@@ -302,32 +359,26 @@ def digest(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
     """
     keyed = _keyed(docs, text)
     lost = cut(repeated(keyed, length))
-    there = _bit_set(lost)
-    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-
-    def first(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        for batch in batches:
-            hit = there(batch.column("slot").to_numpy())
-            rows = [None if h else _digested(doc, data, []) for h, doc, data in zip(hit.tolist(), values(batch.column("id")), values(batch.column("data")), strict=True)]
-            done = [pa.array([r and r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-            body = pc.if_else(pa.array(hit), batch.column("data"), pa.scalar(None, pa.binary()))
-            yield pa.RecordBatch.from_arrays([*done, batch.column("id"), batch.column("mark"), body], [x.split()[0] for x in fields.split(", ")] + ["id", "mark", "data"])
+    there = _filter(lost)
 
-    def second(batches):
+    def run(batches):
         import pyarrow as pa
 
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         for batch in batches:
-            rows = [_digested(doc, data, _covered(spans or [], length)) for doc, data, spans in zip(*(values(batch.column(k)) for k in range(3)), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], [x.split()[0] for x in fields.split(", ")])
-
-    read = keyed.withColumn("slot", _slot()).mapInArrow(first, f"{fields}, id long, mark int, data binary")
-    open_ = read.filter("kept_sha256 IS NULL").select("id", "mark", "data").join(lost, ["id", "mark"], "left").select("id", "data", "spans")
-    return read.filter("kept_sha256 IS NOT NULL").select(*(x.split()[0] for x in fields.split(", "))).unionByName(open_.mapInArrow(second, fields))
+            rows = []
+            for doc, data, spans in zip(*(values(batch.column(k)) for k in range(3)), strict=True):
+                ranges = _covered(spans or [], length)
+                rows.append((doc, len(data), sum(b - a for a, b in ranges), len(ranges), hashlib.sha256(_kept(data, ranges)).hexdigest()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
+
+    hit = F.lit(True) if there is None else there("k1")
+    columns = F.col("doc_id"), F.col("data"), F.col("spans")
+    whole = keyed.filter(~hit).select("doc_id", "data", F.lit(None).cast("array<struct<at:int,n:int>>").alias("spans"))
+    open_ = keyed.filter(hit).join(lost, _KEY, "left").select(*columns)
+    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return whole.mapInArrow(run, fields).unionByName(open_.mapInArrow(run, fields))
 
 
 def remove(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
@@ -337,15 +388,9 @@ def remove(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
     that may lose something are joined to their spans.
     """
     lost = cut(repeated(_keyed(docs, text), length))
-    there = _bit_set(lost)
-    names = [fresh(docs, "_id"), fresh(docs, "_mark"), fresh(docs, "_spans")]
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), F.hash(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-
-    @F.pandas_udf("boolean")
-    def may_lose(slots):
-        import pandas as pd
-
-        return pd.Series(there(slots.to_numpy()))
+    there = _filter(lost)
+    names = [fresh(docs, "_k1"), fresh(docs, "_k2"), fresh(docs, "_spans")]
+    own = _key(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary"))
 
     @F.pandas_udf("string")
     def cut_out(bodies, found):
@@ -353,7 +398,7 @@ def remove(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
 
         return pd.Series([b if s is None or b is None else _kept(b.encode(), _covered(s, length)).decode(errors="ignore") for b, s in zip(bodies, found, strict=True)], dtype=object)
 
-    hit = may_lose(F.pmod(F.xxhash64(*own), F.lit(32 * FILTER_WORDS)))
+    hit = F.lit(True) if there is None else there(own[0])
     joined = docs.filter(hit).join(lost.toDF(*names), (own[0] == F.col(names[0])) & (own[1] == F.col(names[1])), "left")
     fixed = joined.withColumn(text, cut_out(F.col(text), F.col(names[2]))).select(*docs.columns)
     return docs.filter(~hit).unionByName(fixed)

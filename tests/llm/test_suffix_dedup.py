@@ -47,7 +47,7 @@ def hard(rng):
     return [(i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"ANCHOR_CONTEXTS": 3, "SHARD_BYTES": 3000, "FILTER_WORDS": 2, "_GROUP": 2000}])
+@pytest.mark.parametrize("limits", [{}, {"ANCHOR_CONTEXTS": 3, "SHARD_BYTES": 3000, "STRETCH": 500, "_GROUP": 2000}, {"FILTER_MOST": 1}, {"FILTER_BITS": 60_000}])
 def test_against_brute_force(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(suffix_dedup, name, value)
@@ -76,3 +76,30 @@ def test_odd_inputs(spark, odd, docs, rows, empty):
             assert hashlib.sha256(plain[doc_id].encode()).hexdigest() == kept[doc_id]
     nulls = spark.createDataFrame([(None, "q" * 300), (None, "w" * 10), (None, None)], "doc_id long, text string")
     assert sorted(r.n_removed for r in suffix_dedup.digest(nulls).collect()) == [0, 0, 300]
+
+
+def test_rows_without_an_id_are_told_apart(spark):
+    """Thousands of them, some of whose texts have equal 32-bit hashes: only what repeats is removed."""
+    from pyspark.sql import functions as F
+
+    made = spark.range(120_000).select(F.col("id"), F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2(F.concat(F.col("id").cast("string"), F.lit("x")), 512)).alias("text"))
+    clash = made.groupBy(F.hash(F.col("text").cast("binary")).alias("h")).agg(F.collect_list("id").alias("ids")).filter(F.size("ids") > 1).select(F.explode("ids").alias("id"))
+    pairs = [r.text for r in made.join(clash, "id").collect()]
+    assert len(pairs) >= 2
+    rows = [(None, t) for t in pairs] + [(None, pairs[0])]
+    got = suffix_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.n_removed for r in got) == [0] * (len(pairs) - 1) + [256, 256]
+
+
+def test_a_wrong_claim_is_not_believed(spark, monkeypatch):
+    """Contexts whose hashes clash: the suffix array sees that their bytes differ."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(9))
+    same = " ".join(word() for _ in range(12))
+    rows = [(i, " ".join(word() for _ in range(15)) + same + " ".join(word() for _ in range(15))) for i in range(6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = suffix_dedup._runs
+    monkeypatch.setattr(suffix_dedup, "_runs", lambda *args: plain(*args).withColumn("context", F.lit(0).cast("long")))
+    assert all(r.n_removed == 0 for r in suffix_dedup.digest(frame).collect())
