@@ -1,12 +1,15 @@
 """Rule-based document quality with host verdicts.
 
-Every document gets counts over its whole text and a base verdict. Failures are then summed by host (a column of the
-documents), each host's failure rate is shrunk towards the corpus by a beta prior fitted to the hosts by moments, and
-the verdict on the host is joined back: a host whose shrunk rate reaches ``host_limit`` loses all its documents.
+Every document gets counts over its whole text, a verdict by each rule, and a base verdict by the first two of them.
+Failures are then summed by host (a column of the documents) for each rule, each host's failure rate is shrunk towards
+the corpus by a beta prior fitted to the hosts by moments, and the verdict on the host is joined back: a host loses all
+its documents if, for any rule, its rate is beyond the limit by ``HOST_DOUBT`` standard deviations of its posterior. The
+limit is relative to the corpus: ``HOST_TIMES`` its rate, but ``HOST_LEAST`` at least and ``HOST_MOST`` at most.
 
 Defined cases: a null text has no words and so fails; a null host is a host of its own; repeated rows are judged
 separately and alike; an empty table gives an empty result; other columns of the input are not looked at, so their
-names can't clash. A host's verdict needs evidence: with few rows the prior holds it near the corpus's rate.
+names can't clash. A host's verdict needs evidence: with few rows the prior holds it near the corpus's rate, and its
+posterior is wide.
 """
 
 from __future__ import annotations
@@ -20,7 +23,9 @@ from evidora.llm.common import SPACE, cut, fresh, let, words_of
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
-HOST_LIMIT = 0.8
+MAX_SYMBOL_PERCENT = 10
+MAX_DUP_LINE_PERCENT = 30
+HOST_TIMES, HOST_LEAST, HOST_MOST, HOST_DOUBT = 3.0, 0.3, 0.8, 2.0
 BROADCAST_HOSTS = 10_000
 
 
@@ -58,38 +63,66 @@ def measures(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         repeated_words(w).alias("n_repeat_words")))
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    return body.withColumn("_w", counts).select(
+    counted = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
+    return body.withColumn("_w", counts).withColumn("_l", counted).select(
         *keys, "_w.n_words", "_w.word_chars",
         (F.length("_text") - F.length(F.regexp_replace("_text", r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        "_w.n_repeat_words")
+        "_l.n_lines", "_l.n_dup_lines", "_w.n_repeat_words")
 
 
-def base_failed(min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> Column:
-    return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+def rules() -> dict[str, Column]:
+    """The rules, over the columns of ``measures``; a document that fails one of the first two fails itself."""
+    return {
+        "few_words": F.col("n_words") < MIN_WORDS,
+        "repeats": 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"),
+        "symbols": 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("word_chars"),
+        "dup_lines": 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines"),
+    }
 
 
-def host_verdicts(measured: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
-    """One row a host: rows, failures, the failure rate shrunk by the empirical beta prior, and whether it is rejected.
+def base_failed() -> Column:
+    few, repeats, *_ = rules().values()
+    return few | repeats
 
-    The prior has the corpus's failure rate m as its mean. Its weight is fitted by moments to the variance v of the
-    hosts' rates: m(1-m)/v - 1, held between 1 and 1000; it is 1000 where the hosts don't differ.
-    """
-    hosts = measured.groupBy(host).agg(F.count("*").alias("n"), F.count_if("base_failed").alias("f"))
-    m, v = hosts.agg(F.sum("f") / F.sum("n"), F.var_pop(F.col("f") / F.col("n"))).first()  # two numbers
-    weight = max(1.0, min(1000.0, m * (1 - m) / v - 1)) if v else 1000.0
-    rate = (F.col("f") + (m or 0.0) * weight) / (F.col("n") + weight)
-    return hosts.select(host, rate.alias("host_rate"), (rate >= host_limit).alias("host_failed"))
+
+def failed(measured: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, a column for each rule and ``base_failed``."""
+    return measured.select(*keys, *[rule.alias(name) for name, rule in rules().items()], base_failed().alias("base_failed"))
 
 
-def judge(docs: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
+def host_verdicts(judged: DataFrame, host: str = "source") -> DataFrame:
+    """One row a host: rows, ``host_rate`` (the largest share of the limit that a rule's rate reaches) and ``host_failed``.
+
+    ``judged`` has ``host`` and a column for each rule. A rule's prior has the corpus's failure rate m as its mean. Its
+    weight is fitted by moments to the variance v of the hosts' rates: m(1-m)/v - 1, held between 1 and 1000; it is 1000
+    where the hosts don't differ.
+    """
+    names = list(rules())
+    hosts = judged.groupBy(host).agg(F.count("*").alias("n"), *[F.count_if(name).alias(name) for name in names])
+    total = hosts.agg(F.sum("n"), *[x for name in names for x in (F.sum(name), F.var_pop(F.col(name) / F.col("n")))]).first()  # nine numbers
+    lower, failing = [], []
+    for k, name in enumerate(names):
+        m, v = (total[1 + 2 * k] or 0) / (total[0] or 1), total[2 + 2 * k]
+        weight = max(1.0, min(1000.0, m * (1 - m) / v - 1)) if v else 1000.0
+        limit = min(HOST_MOST, max(HOST_LEAST, HOST_TIMES * m))
+        rate = (F.col(name) + m * weight) / (F.col("n") + weight)
+        low = rate - HOST_DOUBT * F.sqrt(rate * (1 - rate) / (F.col("n") + weight + 1))
+        lower.append(rate / limit)
+        failing.append(low >= limit)
+    any_ = failing[0]
+    for f in failing[1:]:
+        any_ = any_ | f
+    return hosts.select(host, "n", F.greatest(*lower).alias("host_rate"), any_.alias("host_failed"))
+
+
+def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     """Measures, ``base_failed``, ``host_rate`` and ``kept`` for every row of ``docs`` (doc_id, text and ``host`` are read).
 
     The measures hold no text, so they are cut to a written table once, then summed by host and joined. The join is an
     ordinary one: small host tables are broadcast by size, and a hot host is split by the adaptive skew join.
     """
     measured = cut(measures(docs, keys=tuple(dict.fromkeys(("doc_id", host)))).withColumn("base_failed", base_failed()))
-    hosts = host_verdicts(measured, host, host_limit).withColumnRenamed(host, "_host")
+    hosts = cut(host_verdicts(failed(measured, host), host)).withColumnRenamed(host, "_host").drop("n")
     joined = measured.join(hosts, F.col(host).eqNullSafe(F.col("_host")), "left")
     return joined.select(*measured.columns, "host_rate", (~F.col("base_failed") & ~F.coalesce(F.col("host_failed"), F.lit(False))).alias("kept"))
 
@@ -97,13 +130,13 @@ def judge(docs: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT)
 def keep(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns.
 
-    The words are counted once for the hosts' rates, of which only (host, base_failed) is written, and once more where
-    the rows are filtered. Rejected hosts are broadcast while they are ``BROADCAST_HOSTS`` or fewer; only beyond that
-    are texts shuffled to meet them.
+    The words are counted once for the hosts' rates, of which only the host and the rules' verdicts are written, and once
+    more where the rows are filtered. Rejected hosts are broadcast while they are ``BROADCAST_HOSTS`` or fewer; only
+    beyond that are texts shuffled to meet them.
     """
-    failed = measures(docs, keys=(host,)).select(host, base_failed().alias("base_failed"))
     other = fresh(docs, "_host")
-    hosts = cut(host_verdicts(cut(failed), host).filter("host_failed").select(F.col(host).alias(other)))
+    judged = cut(failed(measures(docs, keys=(host,)), host))
+    hosts = cut(host_verdicts(judged, host).filter("host_failed").select(F.col(host).alias(other)))
     if hosts.count() <= BROADCAST_HOSTS:
         hosts = F.broadcast(hosts)
     counts = let(words_of(F.col("text")), lambda w: F.struct(F.size(w).alias("n_words"), repeated_words(w).alias("n_repeat_words")))

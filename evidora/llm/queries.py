@@ -69,23 +69,29 @@ SQL: dict[str, str] = {
     "op9_quality_rules": r"""
         WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-        repeated_lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
+        repeated_lines AS (SELECT doc_id, count(*) AS lines, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
         places AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d),
         windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM places),
         often AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
         covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM often) GROUP BY 1),
         measured AS (SELECT d.doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-            CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(repeated_lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+            CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(repeated_lines.lines, 0) AS n_lines, CAST(coalesce(repeated_lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
             FROM d LEFT JOIN repeated_lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
         judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
-        hosts AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM judged GROUP BY 1),
-        prior AS (SELECT sum(f) / CAST(sum(n) AS DOUBLE) AS m, var_pop(f / CAST(n AS DOUBLE)) AS v FROM hosts),
-        verdicts AS (SELECT source, (f + m * k) / (n + k) >= 0.8 AS host_failed FROM hosts, (SELECT m, CASE WHEN v > 0 THEN greatest(1, least(1000, m * (1 - m) / v - 1)) ELSE 1000 END AS k FROM prior))
+        verdict_of AS (SELECT source, unnest([{'rule': 1, 'bad': n_words < 50}, {'rule': 2, 'bad': 100 * n_repeat_words > 50 * n_words}, {'rule': 3, 'bad': 100 * n_symbols > 10 * word_chars}, {'rule': 4, 'bad': 100 * n_dup_lines > 30 * n_lines}], recursive := true) FROM measured),
+        hosts AS (SELECT source, rule, count(*) AS n, count(*) FILTER (WHERE bad) AS f FROM verdict_of GROUP BY 1, 2),
+        corpus AS (SELECT rule, sum(f) / CAST(sum(n) AS DOUBLE) AS m, var_pop(f / CAST(n AS DOUBLE)) AS v FROM hosts GROUP BY 1),
+        prior AS (SELECT rule, m, CASE WHEN v > 0 THEN greatest(1, least(1000, m * (1 - m) / v - 1)) ELSE 1000 END AS k, least(0.8, greatest(0.3, 3.0 * m)) AS host_limit FROM corpus),
+        rates AS (SELECT source, n + k AS weight, (f + m * k) / (n + k) AS rate, host_limit FROM hosts JOIN prior USING (rule)),
+        verdicts AS (SELECT source, bool_or(rate - 2.0 * sqrt(rate * (1 - rate) / (weight + 1)) >= host_limit) AS host_failed FROM rates GROUP BY 1)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT host_failed AS kept
         FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source""",
     "op10_embedding_pq": """
-        WITH RECURSIVE e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
-            WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.93),
+        WITH RECURSIVE usable AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        scaled AS (SELECT vec_id, label, list_transform(e, lambda x: x / list_max(list_transform(e, lambda y: abs(y)))) AS e FROM usable),
+        e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM scaled a JOIN scaled b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= 0.93),
         w(id, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT w.id, e.b FROM w JOIN e ON e.a = w.r),
         c AS (SELECT id, min(r) AS m FROM w GROUP BY 1), n AS (SELECT a, count(*) AS k FROM e GROUP BY 1)
         SELECT vec_id, coalesce(k, 0) AS n_links, m AS component_id, vec_id = m AS kept FROM embeddings JOIN c ON id = vec_id LEFT JOIN n ON a = vec_id""",

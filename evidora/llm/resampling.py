@@ -2,9 +2,10 @@
 
 Two generative models over hashed word and word-pair counts, one of target text (documents labelled good) and one of
 all raw text, give each document the log of its importance: the sum over its n-grams of log target / raw probability.
-The sum grows with the length of the text, so it is divided by the number of n-grams and multiplied by ``SHARPNESS``;
-Gumbel noise hashed from the doc_id is added, and a share of the documents with the largest keys is kept, which is a
-sample without replacement in proportion to the importance. The share is that of good documents among all labels.
+Gumbel noise hashed from doc_id and text is added, and a share of the documents with the largest keys is kept, which is
+a sample without replacement in proportion to the importance. The share is that of good documents among all labels. With
+half of the labels of sf0.1 held out, it keeps 99.2 % of the good and 1.3 % of the bad ones; the mean log ratio times 30,
+used before, kept 99.0 % and 3.0 %.
 
 The raw model counts every document; the target model is fitted on about ``TARGET_DOCS`` labelled documents (picked
 by hash; all if there are fewer). Tasks add up counts in one array of ``BUCKETS`` numbers each. The k-th largest key is
@@ -12,8 +13,9 @@ found by counting keys in ``BINS`` intervals and looking into the one that holds
 ``LAST`` keys ever gather in one place.
 
 Defined cases: a null text counts as empty; a text without n-grams has importance 0, as has every text where there is
-no target; repeated rows have equal keys and are kept or not together; a null doc_id hashes like a value; labels of
-doc_ids that are not there don't matter; an empty table gives an empty result; other columns are not looked at.
+no target; without any label all rows are kept, and with labels of which none is good no row is; equal rows have equal
+keys and are kept or not together; rows without a doc_id have noise of their own by their text; labels of doc_ids that
+are not there don't matter; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +32,6 @@ from evidora.llm.common import cut, hold, sampled, values
 #: Production parameters.
 BUCKETS = 1 << 16
 TARGET_DOCS = 20_000
-SHARPNESS = 30.0
 SMOOTHING = 1.0
 SEED = 11
 BINS = 1024
@@ -94,7 +95,7 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 
 def score(docs: DataFrame, ratio: np.ndarray, text: str = "text") -> DataFrame:
-    """doc_id, n_features and importance (mean log ratio times SHARPNESS) for every row; one pass, no shuffle."""
+    """doc_id, mark (a hash of the text), n_features and importance for every row; one pass, no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
@@ -103,12 +104,13 @@ def score(docs: DataFrame, ratio: np.ndarray, text: str = "text") -> DataFrame:
         hold("resampling", _NUMBERS.clear)
         for batch in batches:
             count, weight = [], []
-            for f in map(features, values(batch.column(1))):
+            for f in map(features, values(batch.column(2))):
                 count.append(len(f))
-                weight.append(SHARPNESS * float(shared.value[f].mean()) if len(f) else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count, pa.int64()), pa.array(weight, pa.float64())], ["doc_id", "n_features", "importance"])
+                weight.append(float(shared.value[f].sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array(weight, pa.float64())], ["doc_id", "mark", "n_features", "importance"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, "doc_id long, n_features long, importance double")
+    mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return docs.select(F.col("doc_id").cast("long"), mark, F.col(text)).mapInArrow(run, "doc_id long, mark long, n_features long, importance double")
 
 
 def gumbel(*cols: Column | str) -> Column:
@@ -144,8 +146,9 @@ def resample(docs: DataFrame, labels: DataFrame, keep: float | None = None, text
     last one kept are kept too.
     """
     if keep is None:
-        keep = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0] or 1.0
+        share = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
+        keep = 1.0 if share is None else share
     scored = score(docs, log_ratio(*models(docs, labels, text)), text)
-    keyed = cut(scored.withColumn("key", F.col("importance") + gumbel(F.col("doc_id"))))
+    keyed = cut(scored.withColumn("key", F.col("importance") + gumbel("doc_id", "mark")).drop("mark"))
     count = round(keep * keyed.count())
     return keyed.withColumn("kept", F.col("key") >= kth_largest(keyed, count) if count else F.lit(False))

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from evidora.llm import queries, resampling
@@ -22,7 +23,7 @@ def test_models_and_scores_against_brute_force(spark, docs, rows):
     ratio = [math.log((want_t[b] + 1) / (want_t + 1).sum()) - math.log((want_r[b] + 1) / (want_r + 1).sum()) for b in range(resampling.BUCKETS)]
     for r in resampling.score(docs, resampling.log_ratio(target, raw)).collect():
         f = found[r.doc_id]
-        assert r.n_features == len(f) and abs(r.importance - (30 * sum(ratio[b] for b in f) / len(f) if f else 0)) < 1e-9
+        assert r.n_features == len(f) and abs(r.importance - sum(ratio[b] for b in f)) < 1e-6
 
 
 def test_kth_largest(spark, monkeypatch):
@@ -41,6 +42,33 @@ def test_gumbel(spark):
     assert abs(mean - 0.5772) < 0.05 and abs(spread - math.pi / 6**0.5) < 0.05
 
 
+def brute_key(importance, doc_id, text):
+    seed = xxhash.xxh64_intdigest((resampling.SEED).to_bytes(4, "little"), 42)
+    mark = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    for part in ([doc_id] if doc_id is not None else []) + [mark]:
+        seed = xxhash.xxh64_intdigest((part % 2**64).to_bytes(8, "little"), seed)
+    return importance - math.log(-math.log(((seed >> 11) + 0.5) / 2**53))
+
+
+def test_kept_against_brute_force(spark, docs, rows):
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(40)], LABELS)
+    text = {r[0]: r[1] for r in rows}
+    for keep in (None, 0.1, 0.5, 1.0):
+        got = resampling.resample(docs, labels, keep).collect()
+        keys = {r.doc_id: brute_key(r.importance, r.doc_id, text[r.doc_id]) for r in got}
+        assert all(abs(keys[r.doc_id] - r.key) < 1e-6 for r in got)
+        last = sorted(keys.values(), reverse=True)[round((0.75 if keep is None else keep) * len(rows)) - 1]
+        assert {r.doc_id for r in got if r.kept} == {i for i, k in keys.items() if k >= last - 1e-9}
+
+
+def test_no_good_label_and_no_id(spark):
+    frame = spark.createDataFrame([(None if i % 2 else i, f"some text {i}") for i in range(10)], "doc_id long, text string")
+    bad = resampling.resample(frame, spark.createDataFrame([(2, 0, 1)], LABELS)).collect()
+    assert len(bad) == 10 and not any(r.kept for r in bad)
+    none = resampling.resample(frame, spark.createDataFrame([], LABELS)).collect()
+    assert all(r.kept for r in none) and len({r.key for r in none}) == 10
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").cache()
