@@ -8,7 +8,9 @@ explains better than one of ordinary identifiers, by ``MIN_RATIO`` nats a charac
 The models are character-pair counts with add-``SMOOTHING`` smoothing, trained on labelled samples: random are seeded
 pseudo-random base64, base62-like and hexadecimal strings in either case; ordinary are identifiers cut from the words of about
 ``SAMPLE_DOCS`` documents (picked by hash; all if there are fewer), joined as snake case and camel case, and runs of one
-character. Sample and models are bounded; scoring covers every run of every text.
+character. Runs of letters as long as ``MIN_RUN`` are what is scanned, so they are not taken for ordinary words. Sample
+and models are bounded; scoring covers every run of every text. tests/llm/test_secret_scan.py measures recall and
+precision on random keys planted in the test documents.
 
 Everything is a column expression. Defined cases: a null text counts as empty; an empty table gives an empty result
 (the ordinary model then knows the runs alone); repeated rows are scanned alike; texts of any length are scanned whole;
@@ -18,6 +20,7 @@ offsets are code points, end exclusive; other columns are not looked at.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,18 +39,16 @@ RUN = "A-Za-z0-9+/_=-"
 MIN_RUN = 20
 MIN_RATIO = 0.7
 SMOOTHING = 0.5
-SAMPLE_DOCS = 500
+SAMPLE_DOCS = 2000
 RANDOM_STRINGS = 2000
 _BLOCK = 256
 
 
-def _before(sizes: Column) -> Column:
-    """For each entry the sum of the entries before it; blocks keep the work near linear for very many entries."""
-    add = lambda a, x: a + x
-    bases = F.transform(F.sequence(F.lit(0), F.floor(F.size(sizes) / _BLOCK).cast("int")),
-                        lambda b: F.aggregate(F.slice(sizes, 1, b * _BLOCK), F.lit(0), add))
-    return let(bases, lambda base: F.transform(sizes, lambda _, i: F.aggregate(
-        F.slice(sizes, i - i % _BLOCK + 1, i % _BLOCK), F.get(base, F.floor(i / _BLOCK).cast("int")), add)))
+def _before(values: Column, add: Callable[[Column, Column], Column] = lambda a, x: a + x) -> Column:
+    """For each entry the sum (or other ``add`` from 0) of the entries before it; blocks keep the work near linear for very many entries."""
+    bases = F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / _BLOCK).cast("int")), lambda b: F.aggregate(F.slice(values, 1, b * _BLOCK), F.lit(0), add))
+    return let(bases, lambda base: F.transform(values, lambda _, i: F.aggregate(
+        F.slice(values, i - i % _BLOCK + 1, i % _BLOCK), F.get(base, F.floor(i / _BLOCK).cast("int")), add)))
 
 
 def _matches(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
@@ -93,7 +94,7 @@ def samples(docs: DataFrame, text: str = "text") -> DataFrame:
         encoded, F.substring(digest, 1, 40), F.upper(F.substring(digest, 41, 40)), F.regexp_replace(encoded, "[+/=]", ""), F.upper(F.substring(F.regexp_replace(encoded, "[+/=]", ""), 1, 40)),
     )).alias("sample"), F.lit(True).alias("random"))
     picked = sampled(docs.select("doc_id", F.col(text).alias("_text")), SAMPLE_DOCS, "doc_id", "_text")
-    words = F.filter(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit("[A-Za-z]+"), 0), lambda w: F.length(w).between(2, 19))
+    words = F.filter(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit("[A-Za-z]+"), 0), lambda w: F.length(w) < MIN_RUN)
     named = picked.select(F.explode(F.array(
         F.array_join(words, "_"), F.array_join(F.transform(words, lambda w: F.initcap(w)), ""), F.array_join(F.transform(words, lambda w: F.lower(w)), "-"),
         F.upper(F.array_join(words, "_")),
@@ -138,7 +139,7 @@ def markov_spans(text: Column, base: Column, model: list[float], min_ratio: floa
 
     def likely(spans: Column) -> Column:
         both = F.arrays_zip(spans.alias("span"), found.alias("run"))
-        free = F.filter(both, lambda x: ~F.exists(base, lambda b: (b["start"] < x["span"]["end"]) & (x["span"]["start"] < b["end"])) & (ratio(x["run"]) >= min_ratio))
+        free = F.filter(both, lambda x: (ratio(x["run"]) >= min_ratio) & ~F.exists(base, lambda b: (b["start"] < x["span"]["end"]) & (x["span"]["start"] < b["end"])))
         return F.transform(free, lambda x: x["span"])
 
     none = F.array().cast("array<struct<start:int,end:int,kind:int>>")
@@ -161,11 +162,10 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
 
     def cleaned(spans: Column) -> Column:
         """Overlapping spans are joined; the text between them is kept."""
-        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
-        step = lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"] + 1).alias("at"),
-            F.when(s["start"] + 1 >= a["at"], F.concat(a["out"], F.substring(whole, a["at"], s["start"] + 1 - a["at"]), F.lit(mark))).otherwise(a["out"]).alias("out"))
-        return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(whole, a["at"], F.length(whole))))
+        ends = F.transform(spans, lambda x: x["end"])
+        between = lambda s, at: F.when(s["start"] >= at, F.concat(F.substring(whole, at + 1, s["start"] - at), F.lit(mark))).otherwise("")
+        parts = let(_before(ends, lambda a, x: F.greatest(a, x)), lambda reach: F.transform(spans, lambda s, i: between(s, F.get(reach, i))))
+        return F.concat(F.array_join(parts, ""), F.substring(whole, F.array_max(ends) + 1, F.length(whole)))
 
     body = F.coalesce(whole, F.lit(""))
     spans = let(F.struct(base_spans(body).alias("b"), body.alias("t")), lambda x: _sorted(F.concat(x["b"], markov_spans(x["t"], x["b"], model))))
