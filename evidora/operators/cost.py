@@ -12,6 +12,7 @@ from evidora.functions.columns import cost_usd, within_budget
 
 #: The ceiling in dollars, the window in days, and dollars a million tokens (input, output) by route.
 CEILING, DAYS, WARN = 70, 30, 0.8
+DISPATCH = 100_000
 RATES = {"batch": ("0.5", "2.5"), "single": ("3.0", "15.0")}
 
 
@@ -79,15 +80,18 @@ def extract(requests: DataFrame, client: Client, route: str, spent, record_usage
     """Dispatches requests once from the driver, after the budget guard; returns ``results``, or None for no requests.
 
     Executors never call out: a task that is tried again would be billed twice. ``requests``: ordinal, custom_id,
-    prompt, max_tokens; they are the bounded content of one dispatch.
+    prompt, max_tokens; a dispatch has ``DISPATCH`` of them at most, more are an error.
     """
-    rows = requests.orderBy("ordinal").collect()
+    rows = requests.orderBy("ordinal").limit(DISPATCH + 1).collect()
+    if len(rows) > DISPATCH:
+        raise ConfigError("too many requests for one dispatch", most=DISPATCH)
     i, o = (float(x) for x in allowed(route, rates))
     if not rows:
         return None
     pending = sum(client.count(r.prompt) * i + r.max_tokens * o for r in rows) / 1e6
-    if not spent() + pending <= ceiling:
-        raise BudgetExceededError("the dispatch would exceed the budget", trailing=spent(), pending=pending, ceiling=ceiling)
+    trailing = spent()
+    if not trailing + pending <= ceiling:
+        raise BudgetExceededError("the dispatch would exceed the budget", trailing=trailing, pending=pending, ceiling=ceiling)
     answers = requests.sparkSession.createDataFrame(client.submit(rows), "custom_id string, arrival long, type string, input_tokens long, output_tokens long")
     found = results(requests.select("ordinal", "custom_id"), answers)
     used = found.agg(F.sum("input_tokens"), F.sum("output_tokens")).first()

@@ -77,7 +77,8 @@ def clusters(vectors: DataFrame, threshold: float, block: str, checkpoint) -> Da
 
 def merged_evidence(members: DataFrame, cluster: str = "cluster", evidence: str = "source_document_ids") -> DataFrame:
     """Per cluster the union of its members' evidence, sorted."""
-    return members.groupBy(cluster).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(evidence)))).alias(evidence))
+    each = members.select(cluster, F.explode(evidence).alias("_one")).distinct()
+    return each.groupBy(cluster).agg(F.sort_array(F.collect_list("_one")).alias(evidence))
 
 
 def source_diversity(evidence: DataFrame, cluster: str = "cluster", source: str = "source") -> DataFrame:
@@ -166,8 +167,10 @@ def export(rows: DataFrame, path: str) -> None:
 
 
 def markdown(rows: DataFrame, limit: int = 500) -> str:
-    """The first ``limit`` rows, ordered by all columns, as a table for reading."""
-    shown = rows.orderBy(*rows.columns).limit(limit).collect()
+    """The first ``limit`` rows, ordered by all columns, as a table for reading; a last line says so if there are more."""
+    found = rows.orderBy(*rows.columns).limit(limit + 1).collect()
+    shown = found[:limit]
     cell = lambda x: "" if x is None else str(x).replace("|", "\\|").replace("\n", " ")
     lines = ["| " + " | ".join(rows.columns) + " |", "|" + "---|" * len(rows.columns)]
-    return "\n".join(lines + ["| " + " | ".join(map(cell, r)) + " |" for r in shown])
+    more = [f"The first {limit} rows; there are more."] if len(found) > limit else []
+    return "\n".join(lines + ["| " + " | ".join(map(cell, r)) + " |" for r in shown] + more)

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 LOOKBACK, LAG = 24 * 3600, 60
 PAGE_HITS, PAGES, FEED_PAGES = 1000, 20, 10
 MALFORMED_RATIO = 0.5
+#: Seconds of a query's hits that are put in order together.
+SPAN = 3600
+#: Settings that are paired on the driver's word that they are few.
+PAIRED = 10_000
 
 
 def window(kind: str, now: int | None = None, cursor: int | None = None, since: int | None = None, until: int | None = None) -> tuple[int, int, bool] | None:
@@ -33,11 +37,21 @@ def in_window(column: Column, bounds: tuple) -> Column:
     return (column >= lower if inclusive else column > lower) & (column <= upper)
 
 
-def paged(hits: DataFrame, query: str, at: str, tie: str, size: int = PAGE_HITS) -> DataFrame:
-    """Hits newest first with ``page`` (from 0) and ``pages`` (of the query)."""
-    newest = F.row_number().over(Window.partitionBy(query).orderBy(F.desc(at), tie))
-    count = F.count("*").over(Window.partitionBy(query))
-    return hits.withColumn("page", F.floor((newest - 1) / size).cast("long")).withColumn("pages", F.ceil(count / size).cast("long"))
+def paged(hits: DataFrame, query: str, at: str, tie: str, size: int = PAGE_HITS, span: int = SPAN) -> DataFrame:
+    """Hits newest first with ``page`` (from 0) and ``pages`` (of the query). ``at`` is a whole number.
+
+    Places are taken in spans of ``span`` of a query's time and shifted by the counts of its later spans, so no task holds
+    a query's hits whole; only the counts of a query meet, a row a span.
+    """
+    rows = hits.withColumn("_span", F.floor(F.col(at) / span))
+    counts = rows.groupBy(query, "_span").agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy(query)
+    later = F.sum("_n").over(whole.orderBy(F.desc("_span")).rowsBetween(Window.unboundedPreceding, -1))
+    shifts = counts.select(F.col(query).alias("_query"), F.col("_span").alias("_of"), F.coalesce(later, F.lit(0)).alias("_later"), F.sum("_n").over(whole).alias("_all"))
+    inner = F.row_number().over(Window.partitionBy(query, "_span").orderBy(F.desc(at), tie))
+    placed = rows.join(shifts, F.col(query).eqNullSafe(F.col("_query")) & F.col("_span").eqNullSafe(F.col("_of"))).withColumn("_place", F.col("_later") + inner - 1)
+    done = placed.withColumn("page", F.floor(F.col("_place") / size).cast("long")).withColumn("pages", F.ceil(F.col("_all") / size).cast("long"))
+    return done.drop("_query", "_span", "_of", "_later", "_all", "_place")
 
 
 def oldest_pages(hits: DataFrame, limit: int = PAGES) -> DataFrame:
@@ -51,10 +65,11 @@ def boundaries(read: DataFrame, query: str, at: str, since: Column, until: Colum
     An uncapped query covers all of the window. A capped one may have been cut inside its newest second, so it covers
     up to the second newest distinct one it has read; where that is not beyond ``since`` it is stalled.
     """
-    distinct = read.groupBy(query, at).agg(F.max("capped").alias("capped"))
-    ranked = distinct.withColumn("_rank", F.dense_rank().over(Window.partitionBy(query).orderBy(F.desc(at))))
-    second = F.max(F.when((F.col("_rank") == 2) & (F.col(at) > since), F.col(at)))
-    per = ranked.groupBy(query).agg(F.max("capped").alias("capped"), second.alias("_second"))
+    newest = read.groupBy(query).agg(F.max("capped").alias("capped"), F.max(at).alias("_first"))
+    older = read.select(F.col(query).alias("_query"), F.col(at).alias("_at")).join(newest.select(query, "_first"), F.col(query).eqNullSafe(F.col("_query")))
+    second = older.filter((F.col("_at") < F.col("_first"))).groupBy("_query").agg(F.max("_at").alias("_second"))
+    joined = newest.join(second, F.col(query).eqNullSafe(F.col("_query")), "left")
+    per = joined.select(query, "capped", F.when(F.col("_second") > since, F.col("_second")).alias("_second"))
     safe = F.coalesce(F.col("_second"), since)
     return per.select(query, "capped", F.when(F.col("capped"), safe).otherwise(until).alias("boundary"), (F.col("capped") & (safe <= since)).alias("stalled"))
 
@@ -86,27 +101,38 @@ def confirmed(outcomes: DataFrame, bounds: DataFrame, at: str, since: Column, gr
     return both.select(*groups, "boundary", F.when(F.col("boundary") > since, F.col("boundary")).alias("cursor"), (F.col("stalled") | held | short).alias("truncated"))
 
 
-def _stopped(rows: DataFrame, groups: list[str], order: list[str], stop: Column, inclusive: bool) -> DataFrame:
-    frame = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    return rows.withColumn("_stopped", F.coalesce(F.max(stop.cast("int")).over(frame), F.lit(0)))
+def _with_stop(rows: DataFrame, groups: list[str], order: list[str], stop: Column) -> tuple[DataFrame, Column]:
+    """``rows`` with ``_stop``, the place (by ``order``) of the first row of each feed where ``stop`` holds, and each row's place.
+
+    The first place is a minimum with map-side parts, one row a feed, which is small enough to be sent to where the rows
+    are; no feed is put in order.
+    """
+    place = F.struct(*order)
+    first = rows.groupBy(*groups).agg(F.min(F.when(stop, place)).alias("_stop"))
+    other = first.select(*[F.col(g).alias(f"_{k}") for k, g in enumerate(groups)], "_stop")
+    same = F.lit(True)
+    for k, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_{k}"))
+    return rows.join(other, same).drop(*[f"_{k}" for k in range(len(groups))]), place
 
 
 def until_mark(rows: DataFrame, groups: list[str], order: list[str], at: str, mark: Column) -> DataFrame:
     """The rows of each feed before the first that is at or before its mark; a feed without a mark is read whole."""
-    stop = F.coalesce(F.col(at) <= mark, F.lit(False))
-    return _stopped(rows, groups, order, stop, True).filter("_stopped = 0").drop("_stopped")
+    known, place = _with_stop(rows, groups, order, F.coalesce(F.col(at) <= mark, F.lit(False)))
+    return known.filter(F.col("_stop").isNull() | (place < F.col("_stop"))).drop("_stop")
 
 
 def backfilled(rows: DataFrame, groups: list[str], order: list[str], at: str, since: Column, until: Column, resume: Column) -> DataFrame:
     """The rows of each feed down to the first before ``since``, without those at or before ``resume`` and those after ``until``."""
-    near = _stopped(rows, groups, order, F.col(at) < since, True).filter("_stopped = 0").drop("_stopped")
+    known, place = _with_stop(rows, groups, order, F.col(at) < since)
+    near = known.filter(F.col("_stop").isNull() | (place < F.col("_stop"))).drop("_stop")
     return near.filter((F.col(at) <= until) & F.coalesce(F.col(at) > resume, F.lit(True)))
 
 
 def newest_seen(rows: DataFrame, groups: list[str], order: list[str], at: str, mark: Column) -> DataFrame:
     """Each feed's new mark: the newest of the rows walked, the one that stopped the walk included. It may lie before the old one."""
-    walked = _stopped(rows, groups, order, F.coalesce(F.col(at) <= mark, F.lit(False)), False).filter("_stopped = 0")
-    return walked.groupBy(*groups).agg(F.max(at).alias("mark"))
+    known, place = _with_stop(rows, groups, order, F.coalesce(F.col(at) <= mark, F.lit(False)))
+    return known.filter(F.col("_stop").isNull() | (place <= F.col("_stop"))).groupBy(*groups).agg(F.max(at).alias("mark"))
 
 
 def passed_window(posts: DataFrame, page: str, at: str, since: Column) -> DataFrame:
@@ -119,8 +145,13 @@ def hit_ceiling(pages: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Every row of one short list of settings with every row of another, in the order of the first (``ordinal``)."""
+    """Every row of one short list of settings with every row of another, in the order of the first (``ordinal``).
+
+    Lists of more than ``PAIRED`` rows are no settings, and an error.
+    """
+    width = right.count()
+    if max(width, left.count()) > PAIRED:
+        raise ValueError(f"more than {PAIRED} settings to pair")
     a = left.withColumn("_i", F.row_number().over(Window.orderBy(*left.columns)) - 1)
     b = right.withColumn("_j", F.row_number().over(Window.orderBy(*right.columns)) - 1)
-    width = b.count()
     return a.crossJoin(b).withColumn("ordinal", (F.col("_i") * width + F.col("_j")).cast("long")).drop("_i", "_j")

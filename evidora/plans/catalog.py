@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from evidora.functions import columns as C
 from evidora.operators import cost, insight, normalize, policy, runs, store, tree, windows
+from evidora.shared import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -190,10 +191,10 @@ def cursor_upsert_latest(spark, sf_dir):
     return store.upserted(e.filter(half), e.filter(~half), ["user_id"], "version").select("user_id", F.col("event_id").alias("cursor"))
 
 
-@query("SELECT user_id AS run_id, event_id AS last_event FROM events WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+@query("SELECT user_id AS run_id, event_type AS source, event_id AS last_event FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
 def brief_superseded_latest(spark, sf_dir):
-    e = _events(spark, sf_dir).filter("source = 'click'")
-    return insight.latest(e, ["user_id"], ["ts", "event_id"]).select(F.col("user_id").alias("run_id"), F.col("event_id").alias("last_event"))
+    latest = insight.latest(_events(spark, sf_dir), ["user_id", "source"], ["ts", "event_id"])
+    return latest.select(F.col("user_id").alias("run_id"), "source", F.col("event_id").alias("last_event"))
 
 
 _LEDGER = "CASE o_orderkey % 3 WHEN 0 THEN 'start' WHEN 1 THEN 'usage' ELSE 'finish' END"
@@ -343,10 +344,10 @@ def job_retry_decision(spark, sf_dir):
 
 
 @query("""SELECT CAST(s.o AS BIGINT) AS ordinal, s.source, CASE WHEN s.source = 'hackernews' THEN 'complete' WHEN s.source = 'reddit' THEN 'skipped' ELSE 'not-attempted' END AS status,
-  CASE WHEN s.source = 'hackernews' THEN (SELECT count(*) FROM events WHERE event_type = 'click') ELSE 0 END AS fetched, CASE WHEN s.source = 'reddit' THEN 'credentials are not configured' END AS reason
+  CASE WHEN s.source = 'hackernews' THEN (SELECT count(*) FROM events) ELSE 0 END AS fetched, CASE WHEN s.source = 'reddit' THEN 'credentials are not configured' END AS reason
   FROM (VALUES (0, 'hackernews'), (1, 'appstore'), (2, 'reddit')) s(o, source)""")
 def skipped_sources_left_join(spark, sf_dir):
-    n = _events(spark, sf_dir).filter("source = 'click'").agg(F.count("*").alias("fetched"))
+    n = _events(spark, sf_dir).agg(F.count("*").alias("fetched"))
     counts = n.select(F.lit("hackernews").alias("source"), F.lit("complete").alias("status"), "fetched", F.col("fetched").alias("inserted"), F.lit(0).alias("duplicates"))
     skipped = spark.createDataFrame([("reddit", "credentials are not configured")], "source string, reason string")
     return runs.every_source(counts, skipped, spark).select("ordinal", "source", "status", "fetched", "reason")
@@ -513,17 +514,7 @@ def prefilter_candidates(spark, sf_dir):
   w AS (SELECT vec_id AS id, vec_id AS r FROM embeddings UNION SELECT w.id, e.b FROM w JOIN e ON e.a = w.r) SELECT id, min(r) AS cluster FROM w GROUP BY 1""")
 def cluster_components(spark, sf_dir):
     e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
-    return insight.clusters(e, 0.4, "label", _written(spark))
-
-
-def _written(spark):
-    """Writes a frame to the shared checkpoint folder; a local one only where the session names none."""
-    import tempfile
-
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evidora-"))
-    return lambda frame: frame.checkpoint()
+    return insight.clusters(e, 0.4, "label", written)
 
 
 @query("SELECT label AS cluster, count(DISTINCT source) AS sources, count(*) AS mentions FROM embeddings JOIN documents ON doc_id = vec_id GROUP BY 1")
@@ -586,16 +577,8 @@ def quarantine_bad_json(spark, sf_dir):
     return insight.quarantine(_events(spark, sf_dir).select("event_id", body.alias("body"))).select("event_id", "quarantined")
 
 
-@query("SELECT o_custkey AS cluster, l_partkey AS document FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_custkey % 10 = 1")
-def traceability_chain(spark, sf_dir):
-    members = _t(spark, sf_dir, "orders").filter("o_custkey % 10 = 1").select(F.col("o_custkey").alias("cluster"), F.col("o_orderkey").alias("point"))
-    points = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("point")).agg(F.collect_list("l_partkey").alias("source_document_ids"))
-    parts = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit("x").alias("source"))
-    return insight.traced(members, points, parts).select("cluster", "document")
-
-
 @query("SELECT o_custkey AS cluster, l_partkey AS document FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey")
-def traceability_chain_whole(spark, sf_dir):
+def traceability_chain(spark, sf_dir):
     """The chain of every cluster."""
     members = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("cluster"), F.col("o_orderkey").alias("point"))
     points = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("point")).agg(F.collect_list("l_partkey").alias("source_document_ids"))
