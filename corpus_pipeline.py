@@ -5,7 +5,8 @@ stage's documents. All but the last return the columns of ``documents``.
 
 1. ``quality``: documents that the rules or their host's verdict reject go.
 2. ``near_duplicates``: of each group of documents linked by a five-word Jaccard similarity of 0.8 or more, the one
-   of the smallest doc_id stays; SimHash within 8 bits over the distinct words gives the first candidates only.
+   of the smallest doc_id stays; SimHash within 8 bits over the distinct words gives the first candidates, a prefix-filter
+   join the rest.
 3. ``repeats``: strings of 200 bytes that occur twice or more are cut out of the texts.
 4. ``secrets``: secrets in the texts are replaced by a mark.
 5. ``packing``: the tokenised texts, packed into sequences of 4096 tokens.
@@ -13,7 +14,6 @@ stage's documents. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from evidora.llm import bpe, packing, quality, secret_scan, simhash, suffix_dedup
 from evidora.llm.queries import vocabulary
+from evidora.shared import folder
 
 SHINGLE, SIMILARITY, DISTANCE = 5, 0.8, 8
 
@@ -57,8 +58,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what is between them is written to the folder in spark.checkpoint.dir."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
+    """All stages over ``documents``; what is between them is written to the shared folder."""
+    base = folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = f"{base}/pipeline-{uuid.uuid4().hex}/{name}"

@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidora.shared import written
+
 #: Characters that separate words, for use inside a Java or Python character class.
 SPACE = r"\x20\x09-\x0D"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder and read back from there.
-
-    The folder is ``spark.checkpoint.dir`` of the session; only where that is unset (tests) a local one is set.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evidora-"))
-    return df.checkpoint(eager=True)
+    """``df`` written once to the shared checkpoint folder (``evidora.shared.folder``) and read back from there."""
+    return written(df)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
