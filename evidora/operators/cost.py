@@ -106,3 +106,18 @@ def history(runs: DataFrame, at: str = "started_at", days: int = DAYS) -> DataFr
     spend = daily.groupBy("day").agg(F.sum("cost").alias("cost_of_day"))
     rolled = spend.withColumn("spend_30d", F.sum("cost_of_day").over(Window.orderBy(F.unix_seconds(F.col("day").cast("timestamp"))).rangeBetween(-(days - 1) * 86400, 0)))
     return daily.join(rolled.select("day", "spend_30d"), "day")
+
+
+def stage_metrics(runs: DataFrame) -> DataFrame:
+    """Per stage: runs, seconds, rows in and out, errors, their rate, and cost. ``runs``: stage, seconds, rows_in, rows_out, errors, cost_usd."""
+    sums = runs.groupBy("stage").agg(F.count("*").alias("runs"), F.sum("seconds").alias("seconds"), F.max("seconds").alias("longest"), F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"),
+                                     F.sum("errors").alias("errors"), F.sum("cost_usd").alias("cost_usd"))
+    return sums.withColumn("error_rate", F.round(F.try_divide("errors", "rows_in"), 6))
+
+
+def projection(runs: DataFrame, ceiling: Column, at: str = "started_at", days: int = DAYS, warn: float = WARN) -> DataFrame:
+    """Per day the spend of the ``days`` days that end with it, the same at the day's own rate, and the verdict on the latter."""
+    daily = history(runs, at, days).groupBy("day").agg(F.sum("cost").alias("cost_of_day"), F.max("spend_30d").alias("spend"))
+    projected = F.col("cost_of_day") * days
+    verdict = F.when(projected > ceiling, "over").when(projected >= ceiling * F.lit(str(warn)).cast("decimal(3,2)"), "near").otherwise("under")
+    return daily.select("day", "spend", projected.alias("projected"), verdict.alias("verdict"))

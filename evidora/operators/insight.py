@@ -5,6 +5,7 @@ Only criteria are given for these; the formulas are this engine's own choice and
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from evidora.functions.columns import cosine
 #: Weights of the composite score and the days in which recency halves.
 WEIGHTS = {"frequency": "0.30", "intensity": "0.25", "recency": "0.20", "source_diversity": "0.15", "solution_gap": "0.10"}
 HALF_LIFE_DAYS = 180
+#: Seeds that a prefilter compares with, at most.
+SEEDS = 1000
 #: What a cluster's solution gap is worth: criticised tools are the best chance.
 GAP = {"none": "0.6", "criticized": "1.0", "approved": "0.2"}
 
@@ -31,6 +34,36 @@ def prefilter(similarity: Column, text: Column, threshold: float, signals: str)
     return F.when((similarity >= threshold) | F.lower(text).rlike(signals), "candidate").otherwise("noise")
 
 
+def seed_similarity(vectors: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``vectors`` (id, vector) with ``similarity``: the largest cosine with any of ``seeds`` (vector), null without a direction.
+
+    The seed set is fixed by hand and small: more than ``SEEDS`` are an error. It travels as a broadcast matrix, and each
+    batch is one product.
+    """
+    rows = [r[0] for r in seeds.select("vector").limit(SEEDS + 1).collect()]
+    if len(rows) > SEEDS:
+        raise ValueError(f"more than {SEEDS} seeds")
+    unit = lambda m: m / np.where((n := np.sqrt((m**2).sum(1, keepdims=True))) > 0, n, np.nan)
+    matrix = vectors.sparkSession.sparkContext.broadcast(unit(np.asarray(rows, np.float64)).T if rows else None)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [None] * batch.num_rows
+            if matrix.value is not None:
+                width = matrix.value.shape[0]
+                some = [(k, v) for k, v in enumerate(batch.column("vector").to_pylist()) if v is not None and len(v) == width and None not in v]
+                if some:
+                    best = np.nanmax(np.nan_to_num(unit(np.asarray([v for _, v in some], np.float64)) @ matrix.value, nan=-2.0), axis=1)
+                    for (k, _), x in zip(some, best.tolist(), strict=True):
+                        found[k] = x if x >= -1.5 else None
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.float64())], ["id", "similarity"])
+
+    kind = vectors.schema["id"].dataType.simpleString()
+    return vectors.select("id", "vector").mapInArrow(run, f"id {kind}, similarity double")
+
+
 def sweep(scored: DataFrame, thresholds: list[float], score: str = "score", label: str = "label") -> DataFrame:
     """Recall and noise rejection at each threshold; one pass, as the thresholds are exploded as a short array."""
     rows = scored.select(F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold"), score, label)
@@ -134,6 +167,44 @@ def traced(members: DataFrame, points: DataFrame, documents: DataFrame) -> DataF
     return each.join(documents.select(F.col("id").alias("document"), "source"), "document")
 
 
+def ranked(scores: DataFrame, by: str = "composite", descending: bool = True, least_mentions: int = 0, sources: list[str] | None = None, limit: int | None = None) -> DataFrame:
+    """The table of opportunities: clusters that pass the filters, with ``place`` by one of the score's terms; ties by cluster.
+
+    ``scores``: cluster, mentions, sources (array) and the terms. ``limit`` is a report's number of rows. Places of the
+    whole table are taken in one window only over what a report shows.
+    """
+    kept = scores.filter(F.col("mentions") >= least_mentions)
+    if sources is not None:
+        kept = kept.filter(F.arrays_overlap("sources", F.array(*[F.lit(x) for x in sources])))
+    order = [F.desc(by) if descending else F.asc(by), F.asc("cluster")]
+    shown = kept.orderBy(*order).limit(limit) if limit is not None else kept
+    return shown.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+def drill_down(table: DataFrame, members: DataFrame, points: DataFrame, documents: DataFrame) -> DataFrame:
+    """The evidence behind the rows of a ranked table: place, cluster, point and document."""
+    own = table.select("cluster", "place")
+    return traced(members.join(own.select("cluster"), "cluster", "left_semi"), points, documents).join(own, "cluster").select("place", "cluster", "point", "document")
+
+
+def gate(before: DataFrame, after: DataFrame, group: str, metric: str, tolerance: float) -> DataFrame:
+    """Per group a metric before and after a change, its difference and ``regressed``: lower by more than ``tolerance``, or gone."""
+    both = before.select(group, F.col(metric).alias("before")).join(after.select(group, F.col(metric).alias("after")), group, "full")
+    change = F.round(F.col("after") - F.col("before"), 6)
+    return both.select(group, "before", "after", change.alias("change"), (F.col("before").isNotNull() & F.coalesce(change < -tolerance, F.lit(True))).alias("regressed"))
+
+
+def briefs(scores: DataFrame, checked: DataFrame, threshold: float) -> DataFrame:
+    """The briefs that are due, one for each cluster whose composite reaches ``threshold``, with ``state``.
+
+    ``checked`` has what ``citations`` gives, by cluster as ``brief``. A brief with a span that is not in its document is
+    withheld, as is one without any citation; it stays in the table with the reason.
+    """
+    due = scores.filter(F.col("composite") >= threshold).join(checked.withColumnRenamed("brief", "cluster"), "cluster", "left")
+    state = F.when(F.col("intact").isNull(), "withheld: no citation").when(~F.col("intact"), "withheld: citation not found").otherwise("published")
+    return due.select("cluster", "composite", F.coalesce("missing", F.lit(0)).cast("long").alias("missing"), state.alias("state"))
+
+
 def embedded(documents: DataFrame, embed, model: str, at: str, text: str = "body") -> DataFrame:
     """Rows for the embeddings table: ``embed`` (a list of texts to a list of vectors) runs in Arrow batches.
 

@@ -18,18 +18,32 @@ USABLE = ("complete", "partial")
 NOT_ATTEMPTED = ("skipped", "not-attempted")
 
 
-def stop_reasons(log: DataFrame, max_pages: int = MAX_PAGES, groups: tuple[str, ...] = ("run", "source")) -> DataFrame:
-    """Per source how its pages ended, from a log of them: page (from 1), given, next (cursors), offered, partial.
+def _read(log: DataFrame, max_pages: int, groups: tuple[str, ...]) -> DataFrame:
+    """The pages of ``log`` down to the one that ends the loop, with ``_why`` it ends there.
 
-    The first page that ends the loop decides: a repeat of the given cursor with a partial outcome stalls, no next
-    cursor exhausts, a repeat makes no progress. A source none of whose pages ends it has met the page limit.
+    A repeat of the given cursor with a partial outcome stalls, no next cursor exhausts, a repeat makes no progress.
     """
     repeated = F.col("next") == F.col("given")
     why = (F.when(repeated & F.col("partial"), "stalled").when(F.col("next").isNull(), "exhausted")
            .when(repeated & (F.col("offered") > 0), "no-progress-with-documents").when(repeated, "no-progress"))
     read = log.filter(F.col("page") <= max_pages).withColumn("_why", why)
     ended = F.min(F.when(F.col("_why").isNotNull(), F.col("page"))).over(Window.partitionBy(*groups))
-    used = read.withColumn("_end", ended).filter(F.col("_end").isNull() | (F.col("page") <= F.col("_end")))
+    return read.withColumn("_end", ended).filter(F.col("_end").isNull() | (F.col("page") <= F.col("_end"))).drop("_end")
+
+
+def counters(log: DataFrame, max_pages: int = MAX_PAGES, groups: tuple[str, ...] = ("run", "source")) -> DataFrame:
+    """Per source the pages read, the rows fetched, and the reasons (``truncated`` of a page) in page order; ``max_pages`` rows each."""
+    used = _read(log, max_pages, groups)
+    reasons = F.sort_array(F.collect_list(F.when(F.col("truncated").isNotNull(), F.struct("page", "truncated"))))
+    return used.groupBy(*groups).agg(F.count("*").alias("pages"), F.sum("offered").alias("fetched"), F.transform(reasons, lambda x: x["truncated"]).alias("truncated_reasons"))
+
+
+def stop_reasons(log: DataFrame, max_pages: int = MAX_PAGES, groups: tuple[str, ...] = ("run", "source")) -> DataFrame:
+    """Per source how its pages ended, from a log of them: page (from 1), given, next (cursors), offered, partial.
+
+    The first page that ends the loop decides (_read). A source none of whose pages ends it has met the page limit.
+    """
+    used = _read(log, max_pages, groups)
     counted = used.groupBy(*groups).agg(
         F.count("*").alias("pages"), F.sum("offered").alias("fetched"), F.max("partial").alias("_partial"), F.max("_why").alias("_why"))
     stop = F.coalesce("_why", F.lit("page-limit"))

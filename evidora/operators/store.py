@@ -36,6 +36,18 @@ def counts(offered: DataFrame, at: str | None = None, key: list[str] = KEY) -> D
     return by_source.withColumn("duplicates", F.col("fetched") - F.col("inserted"))
 
 
+def reported(offered: DataFrame, existing: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """By source what an insert into ``existing`` would report: rows fetched, inserted and duplicate.
+
+    A row is a duplicate if its key is stored already or an earlier row has it. Keys are summed first, with map-side
+    parts; then each meets the stored keys once.
+    """
+    keyed = offered.groupBy(*key).agg(F.count("*").alias("_n"))
+    met = keyed.join(existing.select(*key).distinct().withColumn("_stored", F.lit(True)), key, "left")
+    new = F.when(F.col("_stored"), 0).otherwise(1)
+    return met.groupBy(key[0]).agg(F.sum("_n").alias("fetched"), F.sum(new).alias("inserted"), F.sum(F.when(F.col("_stored"), F.col("_n")).otherwise(F.col("_n") - 1)).alias("duplicates"))
+
+
 def append(offered: DataFrame, path: str, order: list[str], ingested_at) -> int:
     """Inserts the new rows of ``offered`` into the documents table at ``path``; returns how many were inserted.
 

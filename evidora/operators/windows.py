@@ -155,3 +155,15 @@ def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     a = left.withColumn("_i", F.row_number().over(Window.orderBy(*left.columns)) - 1)
     b = right.withColumn("_j", F.row_number().over(Window.orderBy(*right.columns)) - 1)
     return a.crossJoin(b).withColumn("ordinal", (F.col("_i") * width + F.col("_j")).cast("long")).drop("_i", "_j")
+
+
+def next_places(read: DataFrame, pairs_: DataFrame) -> DataFrame:
+    """Where a round over ``pairs_`` (ordinal and what it names) goes on after each page of ``read``.
+
+    ``read`` has at (the pair's ordinal), given and after (places in it) and failed. A failed page is read again, a page
+    with a next place goes on in its pair, else the next pair begins; after the last one the names and place are null.
+    """
+    stays = F.col("failed") | F.col("after").isNotNull()
+    step = read.withColumn("ordinal", F.when(stays, F.col("at")).otherwise(F.col("at") + 1)).withColumn("_place", F.when(F.col("failed"), F.col("given")).otherwise(F.col("after")))
+    joined = step.join(pairs_.withColumn("_known", F.lit(True)), "ordinal", "left")
+    return joined.withColumn("place", F.when(F.col("_known"), F.col("_place"))).drop("_place", "_known", "ordinal")

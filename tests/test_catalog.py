@@ -7,7 +7,7 @@ import math
 import duckdb
 import pytest
 
-from evidora.plans import catalog
+from evidora.plans import captures, catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -36,7 +36,7 @@ def rows(columns, data):
     return sorted((tuple(plain(r[k]) for k in order) for r in data), key=repr)
 
 
-@pytest.mark.parametrize("name", list(catalog.QUERIES))
+@pytest.mark.parametrize("name", list(captures.QUERIES))
 def test_same_as_sql(spark, duck, name):
     frame = catalog.QUERIES[name](spark, SF)
     got = rows(frame.columns, frame.collect())
