@@ -35,6 +35,47 @@ def values(column, step: int = 256) -> Iterator:
         yield from column.slice(k, step).to_pylist()
 
 
+#: Bits of a key filter for each key, at most in all, and those that one task sets.
+FILTER_BITS, FILTER_MOST, FILTER_CHUNK = 16, 1 << 28, 1 << 20
+
+
+def key_filter(wanted: DataFrame, key: str) -> Callable[[Column | str], Column] | None:
+    """A test of a column against the column ``key`` (long, evenly spread) of ``wanted``: true for all that are there, and for few others.
+
+    Rows that fail it need not be shuffled to meet ``wanted``. It holds a broadcast bit set, sized by a count; None where
+    that would be more than ``FILTER_MOST`` bits, and joins have to do without.
+    """
+    keys = cut(wanted.select(F.col(key).alias("key")).filter("key IS NOT NULL").distinct())
+    bits, step = max(FILTER_CHUNK, 1 << (FILTER_BITS * keys.count()).bit_length()), FILTER_CHUNK
+    if bits > FILTER_MOST:
+        return None
+
+    def chunk(table):
+        import numpy as np
+        import pyarrow as pa
+
+        slots = table.column("key").to_numpy() & (bits - 1)
+        own = np.zeros(step, bool)
+        own[slots & (step - 1)] = True
+        return pa.table({"chunk": pa.array([int(slots[0]) // step], pa.int64()), "bits": pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())})
+
+    chunks = keys.groupBy(F.floor(F.col("key").bitwiseAND(F.lit(bits - 1)) / step).alias("at")).applyInArrow(chunk, "chunk long, bits binary")
+    table = bytearray(bits // 8)
+    for at, own in zip(*(c.to_pylist() for c in chunks.toArrow().columns), strict=True):  # FILTER_MOST / 8 bytes at most
+        table[at * step // 8 : (at + 1) * step // 8] = own
+    shared = wanted.sparkSession.sparkContext.broadcast(bytes(table))
+
+    @F.pandas_udf("boolean")
+    def there(keys):
+        import numpy as np
+        import pandas as pd
+
+        slots = keys.fillna(0).to_numpy(np.int64) & (bits - 1)
+        return pd.Series((np.frombuffer(shared.value, np.uint8)[slots >> 3] >> (slots & 7) & 1).astype(bool))
+
+    return there
+
+
 _holder: tuple[str, Callable[[], None]] = ("", lambda: None)
 
 

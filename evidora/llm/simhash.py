@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, fresh, hold
+from evidora.llm.common import cut, fresh, hold, key_filter
 from evidora.llm.common import values as each_value
 from evidora.llm.components import components
 
@@ -30,7 +30,7 @@ SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Fingerprints in a bucket beyond which it is split again, and how often that may happen.
 BUCKET, DEPTH = 8192, 3
 #: The part of the shingle hashes that is counted over all texts before any are compared, and the slices it travels in.
-LOW, SLICE_TOKENS = 0.25, 1 << 20
+LOW, SLICE_TOKENS = 0.375, 1 << 20
 #: Sizes of sets within a factor of this share a class.
 CLASS = 1.05
 _LEAF, _SLICE, _FLUSH = 4, 1 << 19, 1 << 15
@@ -276,7 +276,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFr
             sets = [_set(x, shingle).view(np.int64) for x in each_value(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["body", "set"])
 
-    return _texts(docs, text).dropDuplicates(["body"]).join(wanted, "body", "left_semi").mapInArrow(run, "body long, set array<long>")
+    there, texts = key_filter(wanted, "body"), _texts(docs, text)
+    few = texts if there is None else texts.filter(there("body"))
+    return few.dropDuplicates(["body"]).join(wanted, "body", "left_semi").mapInArrow(run, "body long, set array<long>")
 
 
 def _partnered(docs: DataFrame, tokens: int, shingle: int, similarity: float, text: str) -> DataFrame:
@@ -284,7 +286,7 @@ def _partnered(docs: DataFrame, tokens: int, shingle: int, similarity: float, te
 
     Of the shingles, those in the lower ``LOW`` of the hash range are counted over all texts. A partner has all but
     _spare(n) of a text's n shingles, so a text with more than that many that no other text has is out. Tokens travel
-    packed, by as many slices of the hash range as ``tokens`` (about how many there are) need, and each text's need by
+    packed, as 32 bits of their hashes, by as many slices of the hash range as ``tokens`` (about how many there are) need, and each text's need by
     slices of the bodies. A token that a task meets in several texts is credited to them there and travels once, so a
     passage that very many texts share gathers in no slice.
     """
@@ -319,7 +321,7 @@ def _partnered(docs: DataFrame, tokens: int, shingle: int, similarity: float, te
             common = found[counts > 1]
             keys = np.concatenate([hashes[~several], common])
             values = np.concatenate([bodies[texts[~several]], np.full(len(common), _SHARED)])
-            yield packed(0, keys.view(np.int64), values, keys // np.uint64(int(LOW * 2**64) // slices + 1))
+            yield packed(0, keys.astype(np.uint32), values, keys // np.uint64(int(LOW * 2**64) // slices + 1))  # clashes only let more texts pass
 
         low, own, need, seen, size = [], [], [], set(), 0
         for batch in batches:
@@ -343,7 +345,7 @@ def _partnered(docs: DataFrame, tokens: int, shingle: int, similarity: float, te
         import pyarrow as pa
 
         kind = table.column("slice")[0].as_py() // slices
-        keys, values = (np.frombuffer(b"".join(table.column(k).to_pylist()), np.int64) for k in ("keys", "values"))
+        keys, values = (np.frombuffer(b"".join(table.column(k).to_pylist()), of) for k, of in (("keys", np.int64 if kind else np.uint32), ("values", np.int64)))
         if kind == 2:  # credits
             return pa.table({"body": keys, "n": values})
         order = np.lexsort((values, keys))
@@ -460,9 +462,15 @@ def keep(docs: DataFrame, grouped: DataFrame, text: str = "text") -> DataFrame:
 
     Of a group in which no row has a doc_id, one row stays, if ``grouped`` has ``body`` and ``lead``.
     """
-    other = fresh(docs, "_kept")
-    stays = grouped.filter("doc_id = component_id").select(F.col("doc_id").alias(other)).distinct()
-    kept = docs.join(stays, F.col("doc_id") == F.col(other), "left_semi")
+    other, mark = fresh(docs, "_kept"), fresh(docs, "_mark")
+    own = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    goes = cut(grouped.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(own).alias("stays")).filter("NOT stays").select(F.col("doc_id").alias(other), F.xxhash64("doc_id").alias(mark)))
+    named = docs.filter("doc_id IS NOT NULL")
+    there = key_filter(goes, mark)
+    open_ = named if there is None else named.filter(there(F.xxhash64(F.col("doc_id").cast("long"))))
+    kept = open_.join(goes.drop(mark), F.col("doc_id") == F.col(other), "left_anti")
+    if there is not None:  # most rows need no join
+        kept = kept.unionByName(named.filter(~there(F.xxhash64(F.col("doc_id").cast("long")))))
     if "lead" not in grouped.columns:
         return kept
     whole = F.coalesce(F.col(text), F.lit(""))

@@ -19,9 +19,8 @@ A shard's size is bounded (small shards also keep the arrays in the processor's
 bytes need, a task works through several, a stretch ends at ``STRETCH`` bytes at the latest, and the windows of an anchor
 with more than ``ANCHOR_CONTEXTS`` different contexts (a common line in very many documents) are claims of their own: a
 128-bit hash of each window brings equal ones together, and they are proven as all claims are. Rows are named by 128
-bits hashed from doc_id and text. Documents without anything to fetch are left out of step 4 by a bit set of ``FILTER_BITS``
-bits for each document to fetch, or not at all where that would be more than ``FILTER_MOST`` bits. Nothing about all
-documents goes to the driver but counts and this bit set. Both sides of each join on anchors are written tables, so that
+bits hashed from doc_id and text. Documents without anything to fetch are left out of step 4 by a bit set that is
+sized by their number (common.key_filter). Nothing about all documents goes to the driver but counts and this bit set. Both sides of each join on anchors are written tables, so that
 the adaptive skew join can split a hot one.
 
 Defined cases: a null text counts as empty; equal rows are copies of each other, so all their windows repeat; rows with a
@@ -38,7 +37,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, fresh, hold, values
+from evidora.llm.common import cut, fresh, hold, key_filter, values
 from evidora.llm.suffix_array import repeats
 
 #: Production parameters.
@@ -47,8 +46,6 @@ GRAM = 64
 SHARD_BYTES, TASK_BYTES = 400_000, 8_000_000
 STRETCH = 1 << 16
 ANCHOR_CONTEXTS = 8192
-FILTER_BITS, FILTER_MOST = 16, 1 << 28
-_CHUNK = 1 << 20  # bits of the filter that one task sets
 _GROUP = 1 << 20
 _KEY = ["k1", "k2"]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -164,45 +161,11 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
     return keyed.select(*_KEY, "data").mapInArrow(run, "k1 long, k2 long, anchor long, context long, first int, windows int")
 
 
-def _filter(wanted: DataFrame):
-    """A test of a column of k1 against the keys in ``wanted``: true for all that are there, and for few others.
-
-    It holds a broadcast bit set, sized by a count. None where that would be too large; there the joins do without.
-    """
-    keys = cut(wanted.select("k1").distinct())
-    bits = max(_CHUNK, 1 << (FILTER_BITS * keys.count()).bit_length())
-    if bits > FILTER_MOST:
-        return None
-
-    def chunk(table):
-        import pyarrow as pa
-
-        slots = table.column("k1").to_numpy() & (bits - 1)
-        own = np.zeros(_CHUNK, bool)
-        own[slots & (_CHUNK - 1)] = True
-        return pa.table({"chunk": pa.array([int(slots[0]) // _CHUNK], pa.int64()), "bits": pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())})
-
-    chunks = keys.groupBy(F.floor(F.col("k1").bitwiseAND(F.lit(bits - 1)) / _CHUNK).alias("at")).applyInArrow(chunk, "chunk long, bits binary")
-    table = np.zeros(bits // 8, np.uint8)
-    for at, own in zip(*(c.to_pylist() for c in chunks.toArrow().columns), strict=True):  # FILTER_MOST / 8 bytes at most
-        table[at * _CHUNK // 8 : (at + 1) * _CHUNK // 8] = np.frombuffer(own, np.uint8)
-    shared = wanted.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf("boolean")
-    def there(k1):
-        import pandas as pd
-
-        slots = k1.to_numpy() & (bits - 1)
-        return pd.Series((shared.value[slots >> 3] >> (slots & 7) & 1).astype(bool))
-
-    return there
-
-
 def _fetched(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` (k1, k2, first, windows and other columns) with the bytes that the windows cover instead of the place."""
     other = [c for c in wanted.columns if c not in (*_KEY, "first", "windows")]
     lists = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "windows", *other)).alias("places"))  # of one document
-    there = _filter(wanted)
+    there = key_filter(wanted, "k1")
     texts = keyed.select(*_KEY, "data") if there is None else keyed.select(*_KEY, "data").filter(there("k1"))
     each = texts.dropDuplicates(_KEY).join(lists, _KEY).select("data", F.explode("places").alias("r"))
     return each.select(*[f"r.{c}" for c in other], F.substring("data", F.col("r.first") + 1, F.col("r.windows") + length - 1).alias("bytes"))
@@ -359,7 +322,7 @@ def digest(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
     """
     keyed = _keyed(docs, text)
     lost = cut(repeated(keyed, length))
-    there = _filter(lost)
+    there = key_filter(lost, "k1")
 
     def run(batches):
         import pyarrow as pa
@@ -388,7 +351,7 @@ def remove(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
     that may lose something are joined to their spans.
     """
     lost = cut(repeated(_keyed(docs, text), length))
-    there = _filter(lost)
+    there = key_filter(lost, "k1")
     names = [fresh(docs, "_k1"), fresh(docs, "_k2"), fresh(docs, "_spans")]
     own = _key(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary"))
 

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from evidora.llm import queries, suffix_dedup
+from evidora.llm import common, queries, suffix_dedup
 
 
 def brute(texts, length):
@@ -47,10 +47,10 @@ def hard(rng):
     return [(i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"ANCHOR_CONTEXTS": 3, "SHARD_BYTES": 3000, "STRETCH": 500, "_GROUP": 2000}, {"FILTER_MOST": 1}, {"FILTER_BITS": 60_000}])
+@pytest.mark.parametrize("limits", [{}, {"ANCHOR_CONTEXTS": 3, "SHARD_BYTES": 3000, "STRETCH": 500, "_GROUP": 2000}, {"common.FILTER_MOST": 1}, {"common.FILTER_BITS": 60_000}])
 def test_against_brute_force(spark, monkeypatch, limits):
     for name, value in limits.items():
-        monkeypatch.setattr(suffix_dedup, name, value)
+        monkeypatch.setattr(common if name.startswith("common.") else suffix_dedup, name.removeprefix("common."), value)
     rows = hard(random.Random(9))
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = check(suffix_dedup.digest(frame).collect(), rows)
