@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 from evidora.llm import queries, sharding
 
 
@@ -16,6 +18,39 @@ def test_every_row_once_and_even(spark, rows, sf_dir):
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
 
 
+def unit(*parts):
+    seed = xxhash.xxh64_intdigest(sharding.SEED.to_bytes(4, "little"), 42)
+    for x in parts:
+        if x is not None:
+            seed = xxhash.xxh64_intdigest(x.encode() if isinstance(x, str) else (x % 2**64).to_bytes(8, "little"), seed)
+    return (seed >> 11) / 2**53
+
+
+def brute(data, shards):
+    """(doc_id, crc32) -> (shard, slot) by the whole order: ranks in each source by seeded hash, then fractional ranks."""
+    rows, own = [], defaultdict(list)
+    for doc_id, text, source in data:
+        crc = zlib.crc32((text or "").encode())
+        own["0" if source is None else "1" + source].append((unit(doc_id, crc), doc_id, crc))
+    for stratum, found in own.items():
+        for rank, (key, doc_id, crc) in enumerate(sorted(found), 1):
+            rows.append(((rank - unit(stratum)) / len(found), stratum, key, doc_id, crc))
+    out, total = {}, len(rows)
+    for place, (*_, doc_id, crc) in enumerate(sorted(rows)):
+        shard = place * shards // total
+        out[doc_id, crc] = (shard, place - -(-shard * total // shards))
+    return out
+
+
+def test_against_brute_force(spark, rows, docs, sf_dir, monkeypatch):
+    got = {(r.doc_id, r.text_crc32): (r.shard, r.slot) for r in queries.op6_stratified_sharding(spark, sf_dir).collect()}
+    assert got == brute([(i, t, s) for i, t, _, s, _ in rows], 8)
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 40)  # many buckets, the same order
+    data = [(i, f"text {i % 50}", None if i % 5 == 0 else "hot" if i % 3 == 0 else f"s{i % 11}") for i in range(1500)]
+    found = sharding.shard(spark.createDataFrame(data, "doc_id long, text string, source string"), shards=7).collect()
+    assert {(r.doc_id, r.text_crc32): (r.shard, r.slot) for r in found} == brute(data, 7)
+
+
 def test_mixture(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 50)  # many buckets
     data = [(i, f"t{i}", "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(3000)]
