@@ -55,7 +55,8 @@ def captured(spark: SparkSession, folder: str, per_batch: int = 1) -> DataFrame:
 
 
 def ingest_stream(documents: DataFrame, table: str, checkpoint: str, name: str, ingested_at: str) -> StreamingQuery:
-    """Appends what is there and ends. ``name`` is one a source, so a second query of the source can't run beside it.
+    """Appends what is there and ends. ``name`` is one a source, so a second query of the source can't run beside it in
+    this session; ``lease.Lease`` keeps other processes out.
 
     A batch that is replayed after a failure inserts nothing twice: its keys are there already.
     """

@@ -1,4 +1,5 @@
 import datetime
+import time
 import random
 
 import pytest
@@ -186,6 +187,59 @@ def test_store(spark, tmp_path):
     assert {r.name for r in reachable(spark).collect()} == {t for t, _ in REFERENCES}
 
 
+def test_overlapping_appends_and_a_killed_writer(spark, tmp_path, monkeypatch):
+    import threading
+
+    create_tables(spark, str(tmp_path))
+    path = f"{tmp_path}/documents"
+    offered = [spark.createDataFrame([document(i, f"from {k}") for i in range(k, k + 20)], FIELDS) for k in (0, 10)]
+    counts: list = [None, None]
+    threads = [threading.Thread(target=lambda k=k: counts.__setitem__(k, store.append(offered[k], path, ["source_id"], "2025-01-02 00:00:00"))) for k in (0, 1)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(120)
+    rows = spark.read.parquet(path)
+    assert sum(counts) == 30 == rows.count() == rows.select("source", "source_id").distinct().count()
+    plain = store._moved
+
+    def killed(session, staging, to):  # one file arrives, then the writer dies
+        files = store._files(session, staging)
+        first = next(s.getPath() for s in files.listStatus(store._path(session, staging)) if s.getPath().getName().endswith(".parquet"))
+        files.rename(first, store._path(session, f"{to}/{first.getName()}"))
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(store, "_moved", killed)
+    more = spark.createDataFrame([document(i) for i in range(100, 140)], FIELDS).repartition(4)
+    with pytest.raises(KeyboardInterrupt):
+        store.append(more, path, ["source_id"], "2025-01-03 00:00:00")
+    part = spark.read.parquet(path).count() - 30
+    monkeypatch.setattr(store, "_moved", plain)
+    assert 0 < part <= 40 and store.append(more, path, ["source_id"], "2025-01-03 00:00:00") == 40 - part
+    assert store.append(more, path, ["source_id"], "2025-01-03 00:00:00") == 0
+    assert spark.read.parquet(path).count() == 70 and not [p for p in (tmp_path / "documents").iterdir() if p.name.startswith("_staging") or p.name.endswith(".lease")]
+
+
+def test_leases(spark, tmp_path):
+    from evidora.operators.lease import Lease, LeaseHeldError
+
+    folder = str(tmp_path)
+    one, two = Lease(spark, folder, "hackernews", seconds=0.4, beat_s=0.1), Lease(spark, folder, "hackernews", seconds=0.4)
+    with one:
+        time.sleep(0.8)  # renewed meanwhile
+        assert not two.acquire() and one.held()
+        with pytest.raises(LeaseHeldError):
+            two.__enter__()
+    assert two.acquire() and not one.held()
+    time.sleep(0.8)  # not renewed: another may take over, and the old owner can't release it
+    three = Lease(spark, folder, "hackernews", seconds=0.4)
+    assert three.acquire() and not two.held()
+    two.release()
+    assert three.held()
+    three.release()
+    assert Lease(spark, folder, "hackernews").acquire()
+
+
 def test_streams(spark, tmp_path):
     table, landing = f"{tmp_path}/documents", f"{tmp_path}/landing"
     create_tables(spark, str(tmp_path))
