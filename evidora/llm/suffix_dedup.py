@@ -7,19 +7,19 @@ windows with one anchor in one place; its context is the bytes they cover. Equal
 1. One pass over the texts lists the runs: anchor, place, and a hash of the context. No text leaves the scan.
 2. Anchors that occur once are dropped: their windows can't repeat. This is most of them.
 3. Equal contexts (anchor and context hash, 128 bits) are counted and collapsed to their first and last occurrence. That
-   the two are equal is a claim; claims that are neighbours in both documents are joined to stretches.
-4. Both sides of every stretch, and one context each of the anchors that have several, are fetched from their documents and
-   dealt to shards, stretches by their pair of documents and contexts by their anchor. Each shard builds its suffix
-   array by induced sorting and the permuted common prefixes: a window is repeated where its suffix shares ``length``
-   bytes with a neighbour in the array. So every verdict compares bytes of two places; hashes bring windows together, and
-   hand a verdict on to further copies of the same context.
+   the two are equal is a claim; claims that are neighbours in both documents are joined to stretches. Both sides of
+   every stretch are fetched and compared byte by byte: what is equal is repeated.
+4. One context each of the anchors that have several is fetched from its document and dealt to shards by anchor. Each
+   shard builds its suffix array by induced sorting and the permuted common prefixes: a window is repeated where its
+   suffix shares ``length`` bytes with a neighbour in the array. So every verdict compares bytes of two places; hashes
+   bring windows together, and hand a verdict on to further copies of the same context.
 5. The verdicts go back to the runs, are gathered by document, and the covered bytes are cut out.
 
 A shard's size is bounded (small shards also keep the arrays in the processor's caches): shards are made as many as the
 bytes need, a task works through several, a stretch ends at ``STRETCH`` bytes at the latest, and the windows of an anchor
 with more than ``ANCHOR_CONTEXTS`` different contexts (a common line in very many documents) are claims of their own: a
-128-bit hash of each window brings equal ones together, and they are proven as all claims are. Rows are named by 128
-bits hashed from doc_id and text. Documents without anything to fetch are left out of step 4 by a bit set that is
+128-bit hash of each window brings equal ones together, and they are compared as all claims are. Rows are named by 128
+bits hashed from doc_id and text. Documents without anything to fetch are left out of steps 3 and 4 by a bit set that is
 sized by their number (common.key_filter). Nothing about all documents goes to the driver but counts and this bit set. Both sides of each join on anchors are written tables, so that
 the adaptive skew join can split a hot one.
 
@@ -180,7 +180,7 @@ def _stretches(claims: DataFrame) -> DataFrame:
     """The places to fetch for claims (x, y, lo, hi, windows): both sides of each stretch, one with the list of its claims.
 
     ``lo`` and ``hi`` are structs (k1, k2, first) of two places with the same ``windows`` windows. Columns: k1, k2, first,
-    windows, ``of`` (what is dealt together), claims.
+    windows, s1 and s2 (which name the stretch), claims.
     """
     pair = Window.partitionBy("lo.k1", "lo.k2", "hi.k1", "hi.k2").orderBy("lo.first", "hi.first")
     before = F.lag(F.struct("lo", "hi", "windows")).over(pair)
@@ -190,41 +190,30 @@ def _stretches(claims: DataFrame) -> DataFrame:
     numbered = claims.withColumn("_p", before).withColumn("number", number)
     joined = numbered.groupBy("lo.k1", "lo.k2", F.col("hi.k1").alias("h1"), F.col("hi.k2").alias("h2"), "number").agg(
         F.min("lo.first").alias("first"), F.min("hi.first").alias("_first"), F.sum("windows").cast("int").alias("windows"),
-        F.sort_array(F.collect_list(F.struct(F.col("lo.first").alias("first"), "x", "y", "windows"))).alias("claims"))
-    of = F.xxhash64("k1", "k2", "h1", "h2").alias("of")
-    lo = joined.select("k1", "k2", "first", "windows", of, "claims")
-    hi = joined.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("_first").alias("first"), "windows", of, F.lit(None).alias("claims"))
+        F.transform(F.sort_array(F.collect_list(F.struct(F.col("lo.first").alias("first"), "x", "y", "windows"))), lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"), c["windows"].alias("windows"))).alias("claims"))
+    of = [F.xxhash64(F.lit(seed), "k1", "k2", "h1", "h2", "number").alias(name) for seed, name in enumerate(("s1", "s2"), 1)]
+    lo = joined.select("k1", "k2", "first", "windows", *of, "claims")
+    hi = joined.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("_first").alias("first"), "windows", *of, F.lit(None).alias("claims"))
     return lo.unionByName(hi)
 
 
-def _solved(kind: int, total: int, fetched: DataFrame, length: int) -> DataFrame:
-    """x, y and spans: the repeated windows of claims, found by each shard's suffix array. ``total``: bytes to deal.
-
-    ``fetched`` has of, claims (x, y, windows of those that follow each other in the bytes) and bytes; ``kind`` only tells
-    one deal from another.
-    """
+def _solved(contexts: DataFrame, total: int, length: int) -> DataFrame:
+    """anchor, context and spans: the repeated windows found by each shard's suffix array. ``total``: bytes of ``contexts``."""
     shards, tasks = (max(1, -(-total // size)) for size in (SHARD_BYTES, TASK_BYTES))
-    dealt = fetched.withColumn("shard", F.pmod(F.xxhash64(F.lit(kind), "of"), F.lit(shards))).repartition(tasks, "shard").sortWithinPartitions("shard")
+    dealt = contexts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(tasks, "shard").sortWithinPartitions("shard")
 
     def run(batches):
         import pyarrow as pa
 
         hold("suffix")
-        of = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
 
         def solved(rows):
-            found = []
-            for (claims, _), hit in zip(rows, repeats([r[1] for r in rows], length), strict=True):
-                at = 0
-                for c in claims or ():
-                    if s := _spans(hit[at : at + c["windows"]]):
-                        found.append((c["x"], c["y"], s))
-                    at += c["windows"]
-            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], of)], ["x", "y", "spans"])
+            marks = repeats([r[2] for r in rows], length)
+            return _verdicts(((a, c, s) for (a, c, _), hit in zip(rows, marks, strict=True) if (s := _spans(hit))), ["anchor", "context", "spans"])
 
         shard, rows = None, []
         for batch in batches:
-            for s, *row in zip(*(values(batch.column(n)) for n in ("shard", "claims", "bytes")), strict=True):
+            for s, *row in zip(*(values(batch.column(n)) for n in ("shard", "anchor", "context", "bytes")), strict=True):
                 if s != shard and rows:
                     yield solved(rows)
                     rows = []
@@ -233,7 +222,27 @@ def _solved(kind: int, total: int, fetched: DataFrame, length: int) -> DataFrame
         if rows:
             yield solved(rows)
 
-    return dealt.select("shard", "claims", "bytes").mapInArrow(run, "x long, y long, spans array<struct<at:int,n:int>>")
+    return dealt.select("shard", "anchor", "context", "bytes").mapInArrow(run, "anchor long, context long, spans array<struct<at:int,n:int>>")
+
+
+def _verdicts(found, names: list[str]):
+    """A record batch of two longs and spans."""
+    import pyarrow as pa
+
+    rows = list(found)
+    of = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], of)], names)
+
+
+def _equal(lo: bytes, hi: bytes, length: int) -> np.ndarray | None:
+    """For each window whether its bytes are the same on both sides; None where all are."""
+    if lo == hi:
+        return None
+    n = min(len(lo), len(hi))
+    wrong = np.concatenate([[0], np.cumsum(np.frombuffer(lo[:n], np.uint8) != np.frombuffer(hi[:n], np.uint8))])
+    hit = np.zeros(max(0, len(lo) - length + 1), bool)
+    hit[: max(0, n - length + 1)] = wrong[length:] == wrong[: len(wrong) - length]
+    return hit
 
 
 def _window_claims(crowded: DataFrame, keyed: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
@@ -263,12 +272,27 @@ def _window_claims(crowded: DataFrame, keyed: DataFrame, length: int) -> tuple[D
 
 
 def _proven(claims: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
-    """x, y and spans of the ``claims``: which of their windows are repeated, by suffix arrays over both sides."""
-    places = cut(_stretches(claims))
-    total = places.agg(F.sum(F.col("windows") + length)).first()[0]
-    one = "array<struct<x:bigint,y:bigint,windows:int>>"
-    slim = places.withColumn("claims", F.transform("claims", lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"), c["windows"].alias("windows"))).cast(one))
-    return _solved(1, total or 0, _fetched(keyed, slim, length), length)
+    """x, y and spans of the ``claims``: which of their windows have the same bytes on both sides."""
+    sides = _fetched(keyed, cut(_stretches(claims)), length).repartition("s1", "s2").sortWithinPartitions("s1", "s2", F.col("claims").isNull())
+
+    def run(batches):
+        hold("suffix")
+        first = None
+        for batch in batches:
+            found = []
+            for *own, said, data in zip(*(values(batch.column(n)) for n in ("s1", "s2", "claims", "bytes")), strict=True):
+                if said is not None:
+                    first = own, said, data
+                elif first is not None and first[0] == own:
+                    hit, at = _equal(first[2], data, length), 0
+                    for c in first[1]:
+                        n = c["windows"]
+                        if spans := [{"at": 0, "n": n}] if hit is None else _spans(hit[at : at + n]):
+                            found.append((c["x"], c["y"], spans))
+                        at += n
+            yield _verdicts(found, ["x", "y", "spans"])
+
+    return sides.select("s1", "s2", "claims", "bytes").mapInArrow(run, "x long, y long, spans array<struct<at:int,n:int>>")
 
 
 def repeated(keyed: DataFrame, length: int) -> DataFrame:
@@ -285,9 +309,8 @@ def repeated(keyed: DataFrame, length: int) -> DataFrame:
     once = distinct.filter("n = 1").select("anchor", "context")
     found = []
     if total:
-        one = F.array(F.struct(F.col("anchor").alias("x"), F.col("context").alias("y"), "windows"))
-        mixed = wanted.filter("fits").select(*_KEY, "first", "windows", F.col("anchor").alias("of"), one.alias("claims"))
-        found.append(_solved(0, total, _fetched(keyed, mixed, length), length).toDF("anchor", "context", "spans"))
+        mixed = wanted.filter("fits").select(*_KEY, "first", "windows", "anchor", "context")
+        found.append(_solved(_fetched(keyed, mixed, length), total, length))
     if crowded:
         windows, own = _window_claims(wanted.filter("NOT fits").drop("fits"), keyed, length)
         hits = windows.join(cut(_proven(own, keyed, length)), ["x", "y"])
