@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidora.functions.columns import cosine
+from evidora.operators.vectors import near_edges, nearest
 
 #: Weights of the composite score and the days in which recency halves.
 WEIGHTS = {"frequency": "0.30", "intensity": "0.25", "recency": "0.20", "source_diversity": "0.15", "solution_gap": "0.10"}
@@ -21,12 +21,8 @@ GAP = {"none": "0.6", "criticized": "1.0", "approved": "0.2"}
 
 
 def top_similar(queries: DataFrame, vectors: DataFrame, k: int, block: str) -> DataFrame:
-    """The ``k`` vectors most like each query among those of its ``block``: exact, one join by block, ties by id."""
-    q = queries.select(F.col("id").alias("query"), F.col("vector").alias("_q"), F.col(block))
-    both = q.join(vectors.select("id", F.col("vector").alias("_v"), block), block).filter(F.col("query") != F.col("id"))
-    scored = both.withColumn("similarity", F.round(cosine(F.col("_q"), F.col("_v")), 6)).drop("_q", "_v")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("similarity"), "id"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
+    """The ``k`` vectors most like each query among those of its ``block``: exact, in blocks of matrices, ties by id."""
+    return nearest(queries, vectors, k, block)
 
 
 def prefilter(similarity: Column, text: Column, threshold: float, signals: str) -> Column:
@@ -99,13 +95,17 @@ def smallest_reachable(edges: DataFrame, checkpoint) -> DataFrame:
             return labels
 
 
-def clusters(vectors: DataFrame, threshold: float, block: str, checkpoint) -> DataFrame:
-    """Single-linkage clusters: id and cluster (its smallest id), linked by a cosine of ``threshold`` within a block."""
-    a = vectors.select(F.col("id").alias("a"), F.col("vector").alias("_a"), block)
-    b = vectors.select(F.col("id").alias("b"), F.col("vector").alias("_b"), block)
-    edges = a.join(b, block).filter((F.col("a") < F.col("b")) & (F.round(cosine(F.col("_a"), F.col("_b")), 6) >= threshold)).select("a", "b")
-    labels = smallest_reachable(edges, checkpoint)
-    return vectors.select("id").join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
+def clusters(vectors: DataFrame, threshold: float, block: str, checkpoint, count: int | None = None) -> DataFrame:
+    """Single-linkage clusters: id and cluster (its smallest id), linked by a cosine of ``threshold`` within a block.
+
+    With ``count``, the threshold is lowered by tenths of what is left to -1 until that many clusters or fewer are there.
+    """
+    while True:
+        labels = smallest_reachable(checkpoint(near_edges(vectors, threshold, block)), checkpoint)
+        found = vectors.select("id").join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
+        if count is None or threshold <= -1 or found.select("cluster").distinct().count() <= count:
+            return found
+        threshold = round(threshold - (threshold + 1) / 10 - 0.01, 6)
 
 
 def merged_evidence(members: DataFrame, cluster: str = "cluster", evidence: str = "source_document_ids") -> DataFrame:

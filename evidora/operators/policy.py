@@ -72,3 +72,8 @@ def dropped_ticks(ticks: DataFrame, key: str = "source", at: str = "at", until:
         return frame.assign(dropped=dropped)
 
     return ticks.groupBy(key).applyInPandas(decide, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ticks.schema.fields) + ", dropped boolean")
+
+
+def kept_letters(letters: DataFrame, now, days: int = JOB["dead_letter_days"], at: str = "at") -> DataFrame:
+    """Dead letters that are not older than ``days`` days."""
+    return letters.filter(F.col(at) >= now - F.expr(f"INTERVAL {days * 24} HOURS"))

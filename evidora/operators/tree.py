@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidora.functions.columns import field, kind_of
 from evidora.operators.normalize import comments
+from evidora.shared import written
 
 MAX_DEPTH, MAX_BREADTH, MIN_COMMENTS = 2, 5, 5
 
@@ -21,11 +22,13 @@ def _within_breadth(rows: DataFrame, siblings: list[str], pos: str, mapped: str,
 def walk_edges(nodes: DataFrame, tree: str, node: str, parent: str, pos: str, depth: int = MAX_DEPTH, breadth: int = MAX_BREADTH, mapped: str | None = None) -> DataFrame:
     """Nodes reached from the roots (parent null) of each ``tree``, with ``depth`` and ``path`` (positions, in pre-order).
 
-    The breadth rank doesn't depend on the walk, so it is taken once; each level then is one join on (tree, parent).
+    The breadth rank doesn't depend on the walk, so it is taken once and written; each level then is one join on
+    (tree, parent).
     """
     flag = mapped or "_mapped"
     ranked = nodes if mapped else nodes.withColumn(flag, F.lit(True))
     near = _within_breadth(ranked, [tree, parent], pos, flag, breadth)
+    near = written(near) if depth > 1 else near
     level = near.filter(F.col(parent).isNull()).withColumn("depth", F.lit(1)).withColumn("path", F.array(F.col(pos).cast("long")))
     found = level
     for d in range(2, depth + 1):

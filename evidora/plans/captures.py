@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidora.functions import columns as C
-from evidora.operators import cost, insight, normalize, runs, store, windows
+from evidora.operators import cost, insight, normalize, policy, runs, store, windows
 from evidora.plans import ingest
 from evidora.plans.catalog import _CLASS, _FROM, _SECONDS, _TO, QUERIES, SQL, _events, _item_rows, _page_log, _t, _two_pages, _LOG, _PAGES, _WHY, query
 
@@ -287,3 +287,20 @@ def briefs_due(spark, sf_dir):
     cited = d.filter(cluster % 9 != 0).select(cluster.alias("brief"), F.col("doc_id").alias("document_id"), span.alias("span"))
     checked = insight.citations(cited, d.select(F.col("doc_id").alias("id"), F.col("text").alias("body")))
     return insight.briefs(scores, checked, 8000).withColumn("composite", F.col("composite").cast("decimal(30,2)"))
+
+
+# --- catalogue and jobs ----------------------------------------------------------------------------------------------
+
+@query("""SELECT * FROM (VALUES ('documents', 'created_at'), ('documents', 'ingested_at'), ('source_cursors', 'updated_at'), ('runs', 'started_at')) t(name, "column")""")
+def required_times(spark, sf_dir):
+    """Columns of some tables that end in _at and can't be null."""
+    from evidora.schemas import columns
+
+    some = columns(spark).filter(F.col("name").isin("documents", "source_cursors", "runs") & ~F.col("nullable") & F.col("column").endswith("_at"))
+    return some.select("name", "column")
+
+
+@query("""SELECT event_id FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-02-20 12:00:00' - INTERVAL 720 HOURS""")
+def dead_letters_kept(spark, sf_dir):
+    letters = _events(spark, sf_dir).filter("source = 'error'")
+    return policy.kept_letters(letters, F.expr("TIMESTAMP_NTZ '2024-02-20 12:00:00'"), at="ts").select("event_id")

@@ -82,3 +82,9 @@ def orphans(children: DataFrame, column: str, parents: DataFrame, key: str = "id
     kind = children.schema[column].dataType
     each = children.withColumn("_ref", F.explode(column) if isinstance(kind, T.ArrayType) else F.col(column))
     return each.join(parents.select(F.col(key).alias("_ref")), "_ref", "left_anti").drop("_ref").dropDuplicates()
+
+
+def columns(spark: SparkSession) -> DataFrame:
+    """The catalogue of all tables: name, column, kind and whether it may be null."""
+    rows = [(name, f.name, f.dataType.simpleString(), f.nullable) for name, schema in TABLES.items() for f in schema.fields]
+    return spark.createDataFrame(rows, "name string, column string, kind string, nullable boolean")
