@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidora.llm import bpe, license_scan, packing, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup
+from evidora.llm import bpe, license_scan, packing, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup, whitening
 from evidora.llm.common import table
 
 
@@ -62,7 +62,12 @@ def op10_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.group(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op8_license_scan, op9_quality_rules, op10_embedding_pq)}
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))  # null where it takes more than 63 bits
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op8_license_scan, op9_quality_rules, op10_embedding_pq, op13_whitening)}
 
 #: The queries that SQL can express in full; the others are tested against brute force.
 SQL: dict[str, str] = {
