@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidora.llm import bpe, license_scan, packing, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup, whitening
+from evidora.llm import bpe, conversation_repair, license_scan, packing, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup, whitening
 from evidora.llm.common import table
 
 
@@ -62,12 +62,26 @@ def op10_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.group(table(spark, sf_dir, "embeddings"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with the fixed damage of the contract, by a checksum of conversation and turn; nulls read as one space."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = conversations.select("conv_id", "turn", said("role").alias("role"), said("text").alias("text"), (F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn"))) % 20).alias("_damage"))
+    text = F.when(F.col("_damage") == 1, "").when(F.col("_damage") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    once = rows.filter("_damage <> 0").select("conv_id", "turn", F.when(F.col("_damage") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), "_damage")
+    return once.withColumn("_time", F.explode(F.array_repeat(F.lit(0), F.when(F.col("_damage") == 3, 2).otherwise(1)))).drop("_damage", "_time")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(damaged(conversations), among=conversations)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     white = whitening.whiten(table(spark, sf_dir, "embeddings"))
     return white.withColumn("deviation", F.col("deviation").try_cast("long"))  # null where it takes more than 63 bits
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op8_license_scan, op9_quality_rules, op10_embedding_pq, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op8_license_scan, op9_quality_rules, op10_embedding_pq, op11_conversation_repair, op13_whitening)}
 
 #: The queries that SQL can express in full; the others are tested against brute force.
 SQL: dict[str, str] = {
