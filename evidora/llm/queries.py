@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidora.llm import bpe, conversation_repair, license_scan, packing, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup, whitening
+from evidora.llm import bpe, conversation_repair, license_scan, packing, pii, quality, resampling, secret_scan, sharding, simhash, suffix_dedup, vector_dedup, whitening
 from evidora.llm.common import table
 
 
@@ -76,12 +76,18 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(damaged(conversations), among=conversations)
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]  # noqa: B023  called at once
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     white = whitening.whiten(table(spark, sf_dir, "embeddings"))
     return white.withColumn("deviation", F.col("deviation").try_cast("long"))  # null where it takes more than 63 bits
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op8_license_scan, op9_quality_rules, op10_embedding_pq, op11_conversation_repair, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array, op2_simhash, op3_importance_resampling, op4_best_fit_packing, op5_byte_bpe, op6_stratified_sharding, op7_secret_scan, op8_license_scan, op9_quality_rules, op10_embedding_pq, op11_conversation_repair, op12_pii, op13_whitening)}
 
 #: The queries that SQL can express in full; the others are tested against brute force.
 SQL: dict[str, str] = {
