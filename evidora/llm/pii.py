@@ -10,7 +10,8 @@ by a class, or removes them from ``REMOVE`` on. A pair needs ``MIN_CONTEXTS`` di
 copies of one passage, or one text that repeats it, are no evidence.
 
 Everything is a column expression or a join. Contexts are gathered for entities only that have enough of them, and terms are
-counted over all texts only where some entity has them beside it; the candidates are broadcast while they are
+counted over all texts only where some entity has them beside it and they could disclose enough, by the texts in which
+they stand beside any entity; the candidates are broadcast while they are
 ``BROADCAST_TERMS`` or fewer and joined beyond that. Nothing is sampled or cut.
 
 Defined cases: a null text counts as empty; equal texts count once in the statistics and get the same spans; an entity in
@@ -150,17 +151,22 @@ def disclosures(docs: DataFrame, text: str = "text", least: float = GENERALISE)
     beside = said.join(known.select("entity"), "entity", "left_semi").select("entity", "key", F.xxhash64("context").alias("context"), F.explode(terms_of(F.col("context"))).alias("term"))
     pairs = beside.groupBy("entity", "term").agg(F.count_distinct("key").alias("texts"), F.count_distinct("context").alias("contexts"))
     pairs = cut(pairs.filter(enough("texts")))
+    total, = (keyed.select("key").distinct().agg(F.count("*")).first() if not pairs.isEmpty() else (0,))
+
+    def share(df_term: str) -> Column:
+        content = F.log(F.lit(float(max(1, total))) / F.col("df_entity"))
+        return F.when(content > 0, (content + F.log(F.col("texts") / F.col(df_term))) / content)
+
+    # The texts in which a term stands beside any entity are some of all its texts, so they bound the share from above.
+    seen = said.select("key", F.explode(terms_of(F.col("context"))).alias("term")).distinct().groupBy("term").agg(F.count("*").alias("seen"))
+    pairs = cut(pairs.join(known, "entity").join(seen, "term").filter(share("seen") >= least - 1e-12).drop("seen"))
     wanted = cut(pairs.select("term").distinct())
     count = wanted.count()
-    total, = (keyed.select("key").distinct().agg(F.count("*")).first() if count else (0,))
     words = keyed.select("key", F.explode(terms_of(F.col("_text"))).alias("term"))
     if count <= BROADCAST_TERMS:
         words = words.join(F.broadcast(wanted), "term", "left_semi")
     df = words.distinct().groupBy("term").agg(F.count("*").alias("df_term")) if count else wanted.select("term", F.lit(0).cast("long").alias("df_term"))
-    joined = pairs.join(known, "entity").join(df, "term")
-    content = F.log(F.lit(float(max(1, total))) / F.col("df_entity"))
-    share = F.when(content > 0, (content + F.log(F.col("texts") / F.col("df_term"))) / content)
-    return joined.select("entity", "term", "texts", "contexts", "df_entity", "df_term", share.alias("share")).filter(F.col("share") >= least - 1e-12)
+    return pairs.join(df, "term").select("entity", "term", "texts", "contexts", "df_entity", "df_term", share("df_term").alias("share")).filter(F.col("share") >= least - 1e-12)
 
 
 def disclosing(docs: DataFrame, text: str = "text") -> DataFrame:
