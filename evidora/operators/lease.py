@@ -1,12 +1,13 @@
-"""Exclusive leases held by files, so that they hold across processes: one writer a table, one run a source.
+"""Exclusive leases held by files, so that they hold across processes: one run a source.
 
-The folder has to be on a file system that creates a file for one caller only, as HDFS and local disks do. A lease that is
-not renewed in time has expired and may be taken over; of several who try, one moves the old file away and wins.
+A lease is a row of numbered terms, each a file that only one caller can create (``commits.Files.create_once``). The owner of
+the highest term holds the lease until that term is ended or has not been renewed in time; whoever finds it so tries to
+create the next term. So a lease that another has taken over meanwhile can't be taken from them, and the number of the term is
+a fence: work done under it is void once a higher one is there.
 """
 
 from __future__ import annotations
 
-import os
 import threading
 import time
 import uuid
@@ -14,6 +15,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 from evidora.errors import EvidenceError
+from evidora.operators.commits import Files
 from evidora.operators.policy import JOB
 
 
@@ -24,73 +26,53 @@ class LeaseHeldError(EvidenceError):
 class Lease:
     """A lease on ``name`` in ``folder``; as a context manager it waits ``wait_s`` for it and is renewed until the end.
 
-    ``seconds`` without a renewal end it.
+    ``seconds`` without a renewal end it. ``term`` is its number while it is held.
     """
 
     def __init__(self, spark: SparkSession, folder: str, name: str, seconds: float = JOB["lease_s"], beat_s: float = JOB["heartbeat_s"], wait_s: float = 0.0):
-        self._jvm, self._seconds, self._beat_s, self._wait_s, self._folder, self._name = spark._jvm, seconds, beat_s, wait_s, folder, name
-        self.owner, self._path = uuid.uuid4().hex, self._at(name)
-        self._files = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._files, self._name, self._seconds, self._beat_s, self._wait_s = Files(spark, folder), name, seconds, beat_s, wait_s
+        self.owner, self.term = uuid.uuid4().hex, 0
         self._ended = threading.Event()
 
-    def _at(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/_{name}.lease")
-
-    def _create(self) -> bool:
-        if self._files.getUri().getScheme() == "file":
-            place = self._path.toUri().getPath()
-            os.makedirs(os.path.dirname(place), exist_ok=True)
-            try:
-                with open(place, "x") as f:
-                    f.write(self.owner)
-                return True
-            except FileExistsError:
-                return False
-        try:
-            stream = self._files.create(self._path, False)
-        except Exception:
-            if not self._files.exists(self._path):
-                raise
-            return False
-        try:
-            stream.write(self.owner.encode())
-        finally:
-            stream.close()
-        return True
+    def _file(self, term: int, end: str = "") -> str:
+        return f"_{self._name}.{term:012d}{end}.lease"
+
+    def _terms(self) -> tuple[int, bool, float, list[str]]:
+        """The highest term, whether it was ended, when it was renewed, and the files of terms before it."""
+        own = {n: at for n, at in self._files.names().items() if n.startswith(f"_{self._name}.") and n.endswith(".lease")}
+        terms = [int(n.split(".")[1]) for n in own if not n.endswith(".end.lease")]
+        last = max(terms, default=0)
+        old = [n for n in own if int(n.split(".")[1]) < last]
+        return last, self._file(last, ".end") in own, own.get(self._file(last), 0.0), old
 
     def acquire(self) -> bool:
         """Takes the lease if it is free or has expired."""
-        if self._create():
-            return True
-        try:
-            age = time.time() - self._files.getFileStatus(self._path).getModificationTime() / 1000
-        except Exception:  # released meanwhile
-            return self._create()
-        if age <= self._seconds:
+        last, ended, renewed, old = self._terms()
+        if last and not ended and time.time() - renewed <= self._seconds:
             return False
-        aside = self._at(f"{self._name}-{self.owner}")
-        moved = self._files.rename(self._path, aside)
-        if moved:
-            self._files.delete(aside, False)
-        return bool(moved) and self._create()
-
-    def beat(self) -> None:
-        self._files.setTimes(self._path, int(1000 * time.time()), -1)
+        if not self._files.create_once(self._file(last + 1), self.owner):
+            return False
+        self.term = last + 1
+        for name in old:
+            self._files.delete(name)
+        return True
 
     def held(self) -> bool:
         """Whether this owner holds it still."""
-        try:
-            stream = self._files.open(self._path)
-        except Exception:
+        last, ended, *_ = self._terms()
+        return bool(self.term) and last == self.term and not ended
+
+    def beat(self) -> bool:
+        """Renews the lease; false if it is another's by now, whose term stays as it is."""
+        if not self.held():
             return False
-        try:
-            return bytes(b % 256 for b in iter(stream.read, -1)).decode() == self.owner
-        finally:
-            stream.close()
+        self._files.touch(self._file(self.term))
+        return True
 
     def release(self) -> None:
         if self.held():
-            self._files.delete(self._path, False)
+            self._files.create_once(self._file(self.term, ".end"), self.owner)
+        self.term = 0
 
     def __enter__(self) -> Lease:
         stop = time.monotonic() + self._wait_s
@@ -100,8 +82,8 @@ class Lease:
             time.sleep(min(0.2, self._wait_s))
 
         def renew():
-            while not self._ended.wait(self._beat_s):
-                self.beat()
+            while not self._ended.wait(self._beat_s) and self.beat():
+                pass
 
         self._ended.clear()
         threading.Thread(target=renew, daemon=True).start()

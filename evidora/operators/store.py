@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evidora.operators.lease import Lease, LeaseHeldError
+from evidora.operators.commits import Log
 from evidora.schemas import document_id
 
 KEY = ["source", "source_id"]
-#: Sources by whose bounds a scan of the table is pruned, at most.
-BOUNDS = 100
 
 
 def first_arrivals(offered: DataFrame, order: list[str], key: list[str] = KEY) -> DataFrame:
@@ -53,60 +49,17 @@ def reported(offered: DataFrame, existing: DataFrame, key: list[str] = KEY) -> D
     return met.groupBy(key[0]).agg(F.sum("_n").alias("fetched"), F.sum(new).alias("inserted"), F.sum(F.when(F.col("_stored"), F.col("_n")).otherwise(F.col("_n") - 1)).alias("duplicates"))
 
 
-def _near(offered: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
-    """The rows of ``existing`` that can have a key of ``offered``: by source, between its least and largest id.
-
-    Files and row groups outside these bounds are not read; ids that grow with time make them narrow.
-    """
-    ends = offered.groupBy(key[0]).agg(F.min(key[1]).alias("a"), F.max(key[1]).alias("b")).limit(BOUNDS + 1).collect()  # a row a source
-    if len(ends) > BOUNDS:
-        return existing
-    inside = F.lit(False)
-    for r in ends:
-        inside = inside | ((F.col(key[0]) == r[0]) & F.col(key[1]).between(r.a, r.b))
-    return existing.filter(inside)
-
-
 def append(offered: DataFrame, path: str, order: list[str], ingested_at, wait_s: float = 600.0) -> int:
     """Inserts the new rows of ``offered`` into the documents table at ``path``; returns how many were inserted.
 
-    A lease on the table lets one writer in at a time; others wait for ``wait_s`` seconds, then fail. Rows are written to a
-    staging folder, which readers don't see, and its files are moved into the table one by one. A writer that dies on the
-    way leaves whole rows or none of a file; offered again, the keys that are there insert nothing, the others go in.
+    One commit of the table's log (``operators.commits``): all rows or none, and no key twice, however many writers there are and
+    wherever one of them dies. Files that can't hold an offered key, by their bounds and filters, are not read.
     Nothing is ever updated or deleted here.
     """
-    spark = offered.sparkSession
-    with Lease(spark, path, "append", wait_s=wait_s) as lease:
-        existing = spark.read.parquet(path)
-        fresh = new_rows(offered, _near(offered, existing, KEY), order).withColumn("id", document_id()).withColumn("ingested_at", F.lit(ingested_at).cast("timestamp"))
-        staging = f"{path}/_staging-{uuid.uuid4().hex}"
-        fresh.select(*existing.columns).write.parquet(staging)
-        try:
-            count = spark.read.schema(existing.schema).parquet(staging).count()
-            if not lease.held():
-                raise LeaseHeldError("the lease on the table was lost", path=path)
-            if count:
-                _moved(spark, staging, path)
-        finally:
-            _files(spark, staging).delete(_path(spark, staging), True)
-    return count
-
-
-def _path(spark: SparkSession, name: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(name)
-
-
-def _files(spark: SparkSession, name: str):
-    return _path(spark, name).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _moved(spark: SparkSession, staging: str, path: str) -> None:
-    """Moves the data files of ``staging`` into ``path``; their names are unique."""
-    files = _files(spark, staging)
-    for status in files.listStatus(_path(spark, staging)):
-        own = status.getPath().getName()
-        if own.endswith(".parquet") and not files.rename(status.getPath(), _path(spark, f"{path}/{own}")):
-            raise OSError(f"{own} could not be moved into {path}")
+    def missing(rows: DataFrame, stored: DataFrame) -> DataFrame:
+        return new_rows(rows, stored, order).withColumn("id", document_id()).withColumn("ingested_at", F.lit(ingested_at).cast("timestamp"))
+
+    return Log(offered.sparkSession, path, tuple(KEY)).append(offered, missing, wait_s)
 
 
 def seed(spark: SparkSession, files: list[str], path: str, ingested_at) -> int:
