@@ -1,17 +1,19 @@
 """Near-duplicate embeddings by inverted lists and product-quantised residuals, with an exact rerank.
 
 Vectors are brought to unit length; equal ones are collapsed with their number. Each label has inverted lists of its
-own, as many as its vectors need (``LIST_VECTORS`` a list; ``LISTS`` over all labels, which begins to bind beyond some two
-million vectors). Their centroids, and a k-means in each of ``SUBSPACES`` slices of the residuals for the codes, are
+own, as many as its vectors need (``LIST_VECTORS`` a list, but up to ``FEW_LISTS`` of ``FEW_VECTORS`` or more in a small label;
+``LISTS`` over all labels, which begins to bind beyond some two million vectors: lists grow from there on, links stay). Their centroids, and a k-means in each of ``SUBSPACES`` slices of the residuals for the codes, are
 fitted on about ``SAMPLE`` distinct vectors (picked by hash; all if there are fewer); every vector is indexed.
 
 A vector is in its own list and is a query in the others it probes. For unit vectors a cosine of ``threshold`` is a
 distance t = sqrt(2 - 2 threshold), and a vector that is nearer to centroid b than to the query's own a lies at least
 (d(q,b)^2 - d(q,a)^2) / (2 d(a,b)) away from q; a list is probed where that is a reach of t or less. With a reach of 1
-no pair can be lost. A partner in a random direction of d dimensions moves by about t / sqrt(d) towards any one centroid,
-so the reach is ``SPREAD`` / sqrt(d), 1 at most, and a pair is found if either of the two probes the other's list. tests/llm/test_vector_dedup.py
-measures the recall against brute force: 0.999 or more where vectors have no structure and all partners lie just above
-the threshold.
+no pair can be lost. What reach is enough depends on the data: a partner in a random direction of many dimensions hardly
+moves towards any one centroid, one on a surface of few dimensions may move straight there. So it is measured: about
+``QUERIES`` vectors (picked by hash) are compared with all others of their label, and the reach is the largest that any
+linked pair needs from its better side, a half more (``MARGIN``), ``SPREAD`` / sqrt(d) at least and 1 at most; by label, or
+over all labels where one has too few such pairs (``PAIRS``); 1 where there are too few in all. tests/llm/test_vector_dedup.py measures
+links, components and ``kept`` against brute force without structure, near subspaces of 2 to 8 dimensions and on curves.
 
 In a list, table lookups give the distance from the query to each coded vector; it is dropped where that distance less
 the vector's own coding error exceeds t, which loses none. What is left is compared by cosine in double precision. The
@@ -44,7 +46,8 @@ THRESHOLD = 0.93
 SUBSPACES, CODES = 8, 256
 SAMPLE = 32_768
 LIST_VECTORS, LISTS = 128, 16_384
-SPREAD = 2.0
+FEW_LISTS, FEW_VECTORS = 8, 16
+SPREAD, MARGIN, QUERIES, PAIRS = 2.0, 0.5, 2048, 100
 BLOCK = 4096
 BROADCAST_LISTS = 10_000
 _ROUNDS = 6
@@ -124,6 +127,15 @@ class Index:
             probed.append(lists)
         return np.concatenate(homes), np.concatenate(at), np.concatenate(probed)
 
+    def needs(self, left: np.ndarray, right: np.ndarray, kind: str, radius: float) -> np.ndarray:
+        """The least reach by which one vector of each pair probes the list of the other; 0 in one list."""
+        centres = self.centres[kind]
+        a, b = _nearest(left, centres), _nearest(right, centres)
+        apart = np.sqrt(((centres[a] - centres[b]) ** 2).sum(1))
+        side = lambda x, own, other: ((x - centres[other]) ** 2).sum(1) - ((x - centres[own]) ** 2).sum(1)
+        gap = np.minimum(side(left, a, b), side(right, b, a))
+        return np.where(a == b, 0.0, gap / np.where(apart > 0, 2 * radius * apart, 1.0))
+
     def tables(self, units: np.ndarray, kind: str, of: int) -> list[np.ndarray]:
         """Squared distances from each vector's residual in list ``of`` to every code, by slice."""
         return [_squared(x, b) for x, b in zip(np.split(units - self.centre(kind, of), SUBSPACES, axis=1), self.books, strict=True)]
@@ -140,9 +152,9 @@ def _units(column, width: int) -> np.ndarray:
 
 def _index(vectors: DataFrame, width: int, total: int) -> Index:
     """The index of ``vectors`` (id, kind, n, vector): kinds of so many vectors that they need several lists are fitted."""
-    share = max(LIST_VECTORS, total / LISTS)
-    sizes = vectors.groupBy("kind").agg(F.count("*").alias("of")).filter(F.col("of") > 2 * share)
-    lists = {r.kind: int(-(-r.of // share)) for r in sizes.collect()}  # LISTS / 2 rows at most
+    share, few = max(LIST_VECTORS, total / LISTS), max(min(FEW_VECTORS, LIST_VECTORS), total / LISTS)
+    sizes = vectors.groupBy("kind").agg(F.count("*").alias("of")).filter(F.col("of") > 2 * few)
+    lists = {r.kind: int(-(-max(r.of / share, min(FEW_LISTS, r.of / few)) // 1)) for r in sizes.collect()}  # LISTS / 2 rows at most
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(0), "vector"), 11) / float(1 << 53)
     sample = vectors.filter(unit < SAMPLE / total).select("kind", "vector").toArrow().combine_chunks()
     if not sample.num_rows:
@@ -150,6 +162,53 @@ def _index(vectors: DataFrame, width: int, total: int) -> Index:
     return Index.fit(_units(sample.column("vector").chunk(0), width), np.asarray(sample.column("kind").to_pylist(), object), lists)
 
 
+def _reaches(vectors: DataFrame, index, width: int, total: int, threshold: float, radius: float, least: float) -> dict[str, float]:
+    """The reach for each kind that has several lists, from the linked pairs of a sample of queries with all vectors."""
+    kinds = sorted(index.value.centres)
+    if not kinds:
+        return {}
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit(5), "vector"), 11) / float(1 << 53)
+    chosen = vectors.filter((unit < QUERIES / total) & F.col("kind").isin(kinds)).select("id", "kind", "vector").toArrow().combine_chunks()  # about QUERIES
+    if not chosen.num_rows:
+        return dict.fromkeys(kinds, 1.0)
+    one = lambda name: (c.chunk(0) if hasattr(c := chosen.column(name), "chunk") else c)
+    asked = vectors.sparkSession.sparkContext.broadcast((one("id").to_numpy(), np.asarray(one("kind").to_pylist(), object), _units(one("vector"), width)))
+
+    def measure(batches):
+        import pyarrow as pa
+
+        hold("vectors")
+        ids, of, queries = asked.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, found = batch.column("kind").to_numpy(zero_copy_only=False), ([], [], [])
+            units, names = _units(batch.column("vector"), width), batch.column("id").to_numpy()
+            for kind in np.intersect1d(np.unique(own), np.unique(of)):
+                at, q = np.flatnonzero(own == kind), np.flatnonzero(of == kind)
+                x, y = np.nonzero(units[at] @ queries[q].T >= threshold)
+                x, y = at[x], q[y]
+                fine = names[x] != ids[y]
+                x, y = x[fine], y[fine]
+                if len(x):
+                    step = max(1, _NEAR // width)
+                    need = max(float(index.value.needs(units[x[k : k + step]], queries[y[k : k + step]], kind, radius).max()) for k in range(0, len(x), step))
+                    for column, value in zip(found, (kind, len(x), need), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.string()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())], ["kind", "pairs", "need"])
+
+    seen = vectors.select("id", "kind", "vector").filter(F.col("kind").isin(kinds)).mapInArrow(measure, "kind string, pairs long, need double")
+    by = {r.kind: (r.pairs, r.need) for r in seen.groupBy("kind").agg(F.sum("pairs").alias("pairs"), F.max("need").alias("need")).collect()}  # LISTS / 2 rows at most
+    every = sum(n for n, _ in by.values()), max((x for _, x in by.values()), default=0.0)
+
+    def reach(kind: str) -> float:
+        pairs, need = by.get(kind, (0, 0.0))
+        pairs, need = (pairs, need) if pairs >= PAIRS else every
+        return min(1.0, max(least, need * (1 + MARGIN))) if pairs >= PAIRS else 1.0
+
+    return {kind: reach(kind) for kind in kinds}
+
+
 def _solve(index: Index, kind: str, of: int, width: int, threshold: float, radius: float, ids, copies, units, home, probes, role):
     """Counts by row and labels (each row's smallest linked row) of one block; ``probes``: flat lists and their starts."""
     q, b = np.flatnonzero(role & 2), np.flatnonzero(role & 1)
@@ -187,10 +246,11 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, spread: float = SPRE
     total, width = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
     if not total:
         return spark.createDataFrame([], "id long, n_links long"), spark.createDataFrame([], "a long, b long")
-    reach = min(1.0, spread / width**0.5)
+    least = min(1.0, spread / width**0.5)
     width = -(-width // SUBSPACES) * SUBSPACES
     radius = float(np.sqrt(2 - 2 * threshold)) + 1e-9
     index = spark.sparkContext.broadcast(_index(vectors, width, total))
+    reaches = _reaches(vectors, index, width, total, threshold, radius, least)
 
     def place(batches):
         import pyarrow as pa
@@ -203,7 +263,7 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, spread: float = SPRE
             home, at, probed = np.zeros(len(units), np.int64), [], []
             for kind in np.unique(kinds):
                 own = np.flatnonzero(kinds == kind)
-                home[own], rows, lists = index.value.probes(units[own], kind, radius, reach)
+                home[own], rows, lists = index.value.probes(units[own], kind, radius, reaches.get(kind, 1.0))
                 at.append(own[rows])
                 probed.append(lists)
             at, probed = np.concatenate(at), np.concatenate(probed)

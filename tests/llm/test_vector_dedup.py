@@ -82,6 +82,42 @@ def test_recall_without_structure(spark, monkeypatch, width):
     assert len(probes[1]) < 0.3 * 188 * len(both)  # most lists are left out
 
 
+def surface(rng, n, width, dims, curved):
+    """Vectors near a subspace of ``dims`` dimensions, or on a curved surface of so many."""
+    flat = rng.normal(size=(n, dims))
+    if curved:
+        angles = np.concatenate([f(k * flat) for k in (1, 2, 3) for f in (np.sin, np.cos)], axis=1)
+        flat = angles
+    return flat @ rng.normal(size=(flat.shape[1], width)) + 0.02 * rng.normal(size=(n, width))
+
+
+@pytest.mark.parametrize(("width", "dims", "curved"), [(64, 2, False), (64, 4, False), (256, 4, False), (768, 8, False), (768, 3, True), (256, 2, True)])
+def test_structured_vectors(spark, width, dims, curved):
+    rng = np.random.default_rng(dims + width)
+    n = 2500 if dims <= 3 else 4000
+    x = surface(rng, n, width, dims, curved)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label, np.where(near, label[None, :], n).min(1))
+        if (low == label).all():
+            break
+        label = low
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in vector_dedup.group(frame).collect()}
+    assert near.sum() > 500
+    assert sum(r.n_links for r in got.values()) >= 0.999 * near.sum() and all(got[i].n_links <= near[i].sum() for i in range(n))
+    assert [got[i].component_id for i in range(n)] == label.tolist() and [got[i].kept for i in range(n)] == (label == np.arange(n)).tolist()
+
+
+def test_test_tables_have_several_lists(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    sizes = [r["count"] for r in frame.groupBy("label").count().collect()]
+    assert max(sizes) > 2 * vector_dedup.FEW_VECTORS
+
+
 def test_large_doubles(spark):
     rows = [(1, [1e300, 2e300], 0), (2, [1e300, 2e300], 0), (3, [1e300, 2.0001e300], 0), (4, [-1e300, 0.0], 0), (5, [1e-300, 2e-300], 0)]
     got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.group(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
