@@ -20,12 +20,11 @@ offsets are code points, end exclusive; other columns are not looked at.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import let, sampled
+from evidora.llm.common import before, let, sampled
 
 #: The patterns of the base spans. A match is found first and dropped afterwards where it is too short.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -41,14 +40,6 @@ MIN_RATIO = 0.7
 SMOOTHING = 0.5
 SAMPLE_DOCS = 2000
 RANDOM_STRINGS = 2000
-_BLOCK = 256
-
-
-def _before(values: Column, add: Callable[[Column, Column], Column] = lambda a, x: a + x) -> Column:
-    """For each entry the sum (or other ``add`` from 0) of the entries before it; blocks keep the work near linear for very many entries."""
-    bases = F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / _BLOCK).cast("int")), lambda b: F.aggregate(F.slice(values, 1, b * _BLOCK), F.lit(0), add))
-    return let(bases, lambda base: F.transform(values, lambda _, i: F.aggregate(
-        F.slice(values, i - i % _BLOCK + 1, i % _BLOCK), F.get(base, F.floor(i / _BLOCK).cast("int")), add)))
 
 
 def _matches(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
@@ -58,7 +49,7 @@ def _matches(text: Column, pattern: str, group: int, least: int, kind: int) -> C
 
     def spans(found: Column) -> Column:
         lengths = F.transform(found, lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["whole"]), F.lit(0)))
-        placed = let(_before(lengths), lambda start: F.transform(found, lambda x, i: F.struct(
+        placed = let(before(lengths), lambda start: F.transform(found, lambda x, i: F.struct(
             (F.get(start, i) + F.length(x["gap"])).alias("start"),
             (F.get(start, i) + F.length(x["gap"]) + F.length(x["whole"])).alias("end"),
             F.lit(kind).alias("kind"), F.coalesce(F.length(x["value"]) >= least, F.lit(False)).alias("ok"))))
@@ -164,7 +155,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
         """Overlapping spans are joined; the text between them is kept."""
         ends = F.transform(spans, lambda x: x["end"])
         between = lambda s, at: F.when(s["start"] >= at, F.concat(F.substring(whole, at + 1, s["start"] - at), F.lit(mark))).otherwise("")
-        parts = let(_before(ends, lambda a, x: F.greatest(a, x)), lambda reach: F.transform(spans, lambda s, i: between(s, F.get(reach, i))))
+        parts = let(before(ends, lambda a, x: F.greatest(a, x)), lambda reach: F.transform(spans, lambda s, i: between(s, F.get(reach, i))))
         return F.concat(F.array_join(parts, ""), F.substring(whole, F.array_max(ends) + 1, F.length(whole)))
 
     body = F.coalesce(whole, F.lit(""))

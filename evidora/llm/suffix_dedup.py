@@ -8,8 +8,8 @@ windows with one anchor in one place; its context is the bytes they cover. Equal
 2. Anchors that occur once are dropped: their windows can't repeat. This is most of them.
 3. Equal contexts (anchor and context hash, 128 bits) are counted and collapsed to their first and last occurrence. That
    the two are equal is a claim; claims that are neighbours in both documents are joined to stretches. Both sides of
-   every stretch are fetched and compared byte by byte: what is equal is repeated.
-4. One context each of the anchors that have several is fetched from its document and dealt to shards by anchor. Each
+   every stretch are read and compared byte by byte: what is equal is repeated.
+4. One context each of the anchors that have several is read from its document and dealt to shards by anchor. Each
    shard builds its suffix array by induced sorting and the permuted common prefixes: a window is repeated where its
    suffix shares ``length`` bytes with a neighbour in the array. So every verdict compares bytes of two places; hashes
    bring windows together, and hand a verdict on to further copies of the same context.
@@ -19,7 +19,7 @@ A shard's size is bounded (small shards also keep the arrays in the processor's
 bytes need, a task works through several, a stretch ends at ``STRETCH`` bytes at the latest, and the windows of an anchor
 with more than ``ANCHOR_CONTEXTS`` different contexts (a common line in very many documents) are claims of their own: a
 128-bit hash of each window brings equal ones together, and they are compared as all claims are. Rows are named by 128
-bits hashed from doc_id and text. Documents without anything to fetch are left out of steps 3 and 4 by a bit set that is
+bits hashed from doc_id and text. Documents without anything to read are left out of steps 3 and 4 by a bit set that is
 sized by their number (common.key_filter). Nothing about all documents goes to the driver but counts and this bit set. Both sides of each join on anchors are written tables, so that
 the adaptive skew join can split a hot one.
 
@@ -161,7 +161,7 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
     return keyed.select(*_KEY, "data").mapInArrow(run, "k1 long, k2 long, anchor long, context long, first int, windows int")
 
 
-def _fetched(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def _cut_out(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` (k1, k2, first, windows and other columns) with the bytes that the windows cover instead of the place."""
     other = [c for c in wanted.columns if c not in (*_KEY, "first", "windows")]
     lists = wanted.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "windows", *other)).alias("places"))  # of one document
@@ -177,7 +177,7 @@ def _spans(hit: np.ndarray) -> list[dict]:
 
 
 def _stretches(claims: DataFrame) -> DataFrame:
-    """The places to fetch for claims (x, y, lo, hi, windows): both sides of each stretch, one with the list of its claims.
+    """The places to read for claims (x, y, lo, hi, windows): both sides of each stretch, one with the list of its claims.
 
     ``lo`` and ``hi`` are structs (k1, k2, first) of two places with the same ``windows`` windows. Columns: k1, k2, first,
     windows, s1 and s2 (which name the stretch), claims.
@@ -264,7 +264,7 @@ def _window_claims(crowded: DataFrame, keyed: DataFrame, length: int) -> tuple[D
                                                   pa.array(np.ascontiguousarray(digests[:, 1]))], ["k1", "k2", "anchor", "context", "at", "first", "x", "y"])
 
     named = crowded.select(*_KEY, "first", "windows", "anchor", "context", F.col("k1").alias("own1"), F.col("k2").alias("own2"), F.col("first").alias("start"))
-    whole = _fetched(keyed, named, length).select(F.col("own1").alias("k1"), F.col("own2").alias("k2"), "anchor", "context", "start", "bytes")
+    whole = _cut_out(keyed, named, length).select(F.col("own1").alias("k1"), F.col("own2").alias("k2"), "anchor", "context", "start", "bytes")
     windows = cut(whole.mapInArrow(run, "k1 long, k2 long, anchor long, context long, at int, first int, x long, y long"))
     place = F.struct("k1", "k2", "first")
     claims = windows.groupBy("x", "y").agg(F.count("*").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi"), F.lit(1).alias("windows")).filter("n > 1")
@@ -273,7 +273,7 @@ def _window_claims(crowded: DataFrame, keyed: DataFrame, length: int) -> tuple[D
 
 def _proven(claims: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
     """x, y and spans of the ``claims``: which of their windows have the same bytes on both sides."""
-    sides = _fetched(keyed, cut(_stretches(claims)), length).repartition("s1", "s2").sortWithinPartitions("s1", "s2", F.col("claims").isNull())
+    sides = _cut_out(keyed, cut(_stretches(claims)), length).repartition("s1", "s2").sortWithinPartitions("s1", "s2", F.col("claims").isNull())
 
     def run(batches):
         hold("suffix")
@@ -310,7 +310,7 @@ def repeated(keyed: DataFrame, length: int) -> DataFrame:
     found = []
     if total:
         mixed = wanted.filter("fits").select(*_KEY, "first", "windows", "anchor", "context")
-        found.append(_solved(_fetched(keyed, mixed, length), total, length))
+        found.append(_solved(_cut_out(keyed, mixed, length), total, length))
     if crowded:
         windows, own = _window_claims(wanted.filter("NOT fits").drop("fits"), keyed, length)
         hits = windows.join(cut(_proven(own, keyed, length)), ["x", "y"])
