@@ -9,7 +9,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidora.operators.vectors import near_edges, nearest
+from evidora.errors import ConfigError
+from evidora.operators.vectors import directed, near_edges, nearest, placed, spanning_forest
+from evidora.shared import stored
 
 #: Weights of the composite score and the days in which recency halves.
 WEIGHTS = {"frequency": "0.30", "intensity": "0.25", "recency": "0.20", "source_diversity": "0.15", "solution_gap": "0.10"}
@@ -36,9 +38,9 @@ def seed_similarity(vectors: DataFrame, seeds: DataFrame) -> DataFrame:
     The seed set is fixed by hand and small: more than ``SEEDS`` are an error. It travels as a broadcast matrix, and each
     batch is one product.
     """
-    rows = [r[0] for r in seeds.select("vector").limit(SEEDS + 1).collect()]
-    if len(rows) > SEEDS:
-        raise ValueError(f"more than {SEEDS} seeds")
+    rows = [r[0] for r in seeds.select("vector").filter(directed(F.col("vector").cast("array<double>"))).limit(SEEDS + 1).collect()]
+    if len(rows) > SEEDS or len({len(r) for r in rows}) > 1:
+        raise ConfigError("seeds are too many, or of different length", most=SEEDS)
     unit = lambda m: m / np.where((n := np.sqrt((m**2).sum(1, keepdims=True))) > 0, n, np.nan)
     matrix = vectors.sparkSession.sparkContext.broadcast(unit(np.asarray(rows, np.float64)).T if rows else None)
 
@@ -46,18 +48,15 @@ def seed_similarity(vectors: DataFrame, seeds: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            found = [None] * batch.num_rows
-            if matrix.value is not None:
-                width = matrix.value.shape[0]
-                some = [(k, v) for k, v in enumerate(batch.column("vector").to_pylist()) if v is not None and len(v) == width and None not in v]
-                if some:
-                    best = np.nanmax(np.nan_to_num(unit(np.asarray([v for _, v in some], np.float64)) @ matrix.value, nan=-2.0), axis=1)
-                    for (k, _), x in zip(some, best.tolist(), strict=True):
-                        found[k] = x if x >= -1.5 else None
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.float64())], ["id", "similarity"])
+            if matrix.value is not None and batch.num_rows:
+                flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+                best = np.nanmax(np.nan_to_num(unit(flat) @ matrix.value, nan=-2.0), axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(best, mask=best < -1.5)], ["id", "similarity"])
 
     kind = vectors.schema["id"].dataType.simpleString()
-    return vectors.select("id", "vector").mapInArrow(run, f"id {kind}, similarity double")
+    wide = directed(F.col("vector").cast("array<double>")) & (F.size("vector") == (len(rows[0]) if rows else -1))
+    like = vectors.filter(wide).select("id", "vector").mapInArrow(run, f"id {kind}, similarity double")
+    return like.unionByName(vectors.filter(~wide).select("id", F.lit(None).cast("double").alias("similarity")))
 
 
 def sweep(scored: DataFrame, thresholds: list[float], score: str = "score", label: str = "label") -> DataFrame:
@@ -84,28 +83,37 @@ def smallest_reachable(edges: DataFrame, checkpoint) -> DataFrame:
     ``edges``: a, b. Both directions are made here; rounds grow with the logarithm of the longest chain.
     """
     pair = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = checkpoint(pair.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    least = lambda rows: stored(rows.groupBy("node").agg(F.min("label").alias("label")))
+    state = lambda rows: tuple(rows.agg(F.count("*"), F.sum(F.col("label").cast("decimal(38,0)"))).first())  # noqa: E731  labels only fall
+    labels = least(pair.toDF("node", "label").union(pair.select("a", "a")))
+    now = state(labels)
     while True:
-        near = pair.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.least("label", F.coalesce("near", "label")).alias("label"), F.col("label").alias("old"))
-        jump = step.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        jumped = checkpoint(step.join(jump, F.col("label") == F.col("_n"), "left").select("node", F.least("label", F.coalesce("_l", "label")).alias("label"), "old"))
-        labels = jumped.select("node", "label")
-        if jumped.filter("label <> old").isEmpty():
+        near = pair.join(labels, F.col("b") == F.col("node")).select(F.col("a").alias("node"), "label")
+        step = least(labels.union(near))
+        above = step.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
+        labels = least(step.union(step.join(above, F.col("label") == F.col("_n")).select("node", F.col("_l").alias("label"))))
+        before, now = now, state(labels)
+        if now == before:
             return labels
 
 
 def clusters(vectors: DataFrame, threshold: float, block: str, checkpoint, count: int | None = None) -> DataFrame:
     """Single-linkage clusters: id and cluster (its smallest id), linked by a cosine of ``threshold`` within a block.
 
-    With ``count``, the threshold is lowered by tenths of what is left to -1 until that many clusters or fewer are there.
+    With ``count`` there are exactly so many, whatever the threshold: the spanning forest of greatest similarities is cut at
+    its weakest links, ties in the order of ids. Fewer than blocks (a vector without a direction is one of its own), or
+    more than vectors, is an error.
     """
-    while True:
-        labels = smallest_reachable(checkpoint(near_edges(vectors, threshold, block)), checkpoint)
-        found = vectors.select("id").join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
-        if count is None or threshold <= -1 or found.select("cluster").distinct().count() <= count:
-            return found
-        threshold = round(threshold - (threshold + 1) / 10 - 0.01, 6)
+    if count is None:
+        kept = near_edges(vectors, threshold, block)
+    else:
+        forest = checkpoint(spanning_forest(vectors, block))
+        total, links = vectors.count(), forest.count()
+        if not total - links <= count <= total:
+            raise ConfigError("no such number of clusters", count=count, least=total - links, most=total)
+        kept = placed(forest, [F.desc("similarity"), F.asc("a"), F.asc("b")]).filter(F.col("place") <= total - count)
+    labels = smallest_reachable(checkpoint(kept.select("a", "b")), checkpoint)
+    return vectors.select("id").join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
 
 
 def merged_evidence(members: DataFrame, cluster: str = "cluster", evidence: str = "source_document_ids") -> DataFrame:
@@ -167,18 +175,28 @@ def traced(members: DataFrame, points: DataFrame, documents: DataFrame) -> DataF
     return each.join(documents.select(F.col("id").alias("document"), "source"), "document")
 
 
-def ranked(scores: DataFrame, by: str = "composite", descending: bool = True, least_mentions: int = 0, sources: list[str] | None = None, limit: int | None = None) -> DataFrame:
+def ranked(scores: DataFrame, by: str = "composite", descending: bool = True, least_mentions: int = 0, sources: list[str] | None = None, limit: int | None = None,
+           domains: list[str] | None = None, gaps: list[str] | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
     """The table of opportunities: clusters that pass the filters, with ``place`` by one of the score's terms; ties by cluster.
 
-    ``scores``: cluster, mentions, sources (array) and the terms. ``limit`` is a report's number of rows. Places of the
-    whole table are taken in one window only over what a report shows.
+    ``scores``: cluster, mentions, sources (array) and the terms; where they are asked for, also domain, gap (none,
+    criticized, approved), first_seen and last_seen. A cluster is within dates if it was seen between them (both included). ``limit``
+    is a report's number of rows; a whole table is put in places by ranges, not in one task.
     """
     kept = scores.filter(F.col("mentions") >= least_mentions)
     if sources is not None:
         kept = kept.filter(F.arrays_overlap("sources", F.array(*[F.lit(x) for x in sources])))
+    for column, wanted in (("domain", domains), ("gap", gaps)):
+        if wanted is not None:
+            kept = kept.filter(F.col(column).isin(wanted))
+    if since is not None:
+        kept = kept.filter(F.col("last_seen") >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        kept = kept.filter(F.col("first_seen") <= F.lit(until).cast("timestamp"))
     order = [F.desc(by) if descending else F.asc(by), F.asc("cluster")]
-    shown = kept.orderBy(*order).limit(limit) if limit is not None else kept
-    return shown.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    if limit is None:
+        return placed(kept, order)
+    return kept.orderBy(*order).limit(limit).withColumn("place", F.row_number().over(Window.orderBy(*order)))
 
 
 def drill_down(table: DataFrame, members: DataFrame, points: DataFrame, documents: DataFrame) -> DataFrame:

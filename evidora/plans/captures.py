@@ -27,13 +27,13 @@ def _searched(spark, sf_dir):
     """An incremental read that resumes: the lower bound is exclusive, the upper one a minute before now."""
     e = _events(spark, sf_dir)
     hit = e.select("event_id", F.col("event_id").cast("string").alias("hit_id"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("at"), "source", "user_id")
-    hits = hit.filter("source = 'click'").withColumn("query_idx", F.lit(0)).unionByName(hit.filter("user_id % 3 = 0").withColumn("query_idx", F.lit(1)))
+    hits = hit.filter("source = 'click'").withColumn("query_idx", F.lit(0)).unionByName(hit.filter("user_id % 3 = 0 OR source <> 'click'").withColumn("query_idx", F.lit(1)))
     items = _item_rows(spark, sf_dir).filter("event_id % 29 > 0").select(F.col("event_id").cast("string").alias("hit_id"), "status", "body")
     bounds = windows.window("incremental", now=_TO + windows.LAG, cursor=_FROM)
     return ingest.search(hits.select("query_idx", "hit_id", "at"), items, bounds, _SIZE, _MOST)
 
 
-_READ = f"""h AS (SELECT 0 AS q, event_id, {_SECONDS} AS s FROM events WHERE event_type = 'click' UNION ALL SELECT 1, event_id, {_SECONDS} FROM events WHERE user_id % 3 = 0),
+_READ = f"""h AS (SELECT 0 AS q, event_id, {_SECONDS} AS s FROM events WHERE event_type = 'click' UNION ALL SELECT 1, event_id, {_SECONDS} FROM events WHERE user_id % 3 = 0 OR event_type <> 'click'),
   p AS (SELECT *, (row_number() OVER (PARTITION BY q ORDER BY s DESC, CAST(event_id AS VARCHAR)) - 1) // {_SIZE} AS page, CAST(ceil(count(*) OVER (PARTITION BY q) / {_SIZE}.0) AS BIGINT) AS pages FROM h WHERE s > {_FROM} AND s <= {_TO}),
   r AS (SELECT * FROM p WHERE page >= pages - {_MOST}), once AS (SELECT DISTINCT event_id, s FROM r),
   looked AS (SELECT once.*, user_id, CASE WHEN event_id % 29 = 0 THEN 'transient-failure' ELSE {_CLASS} END AS outcome FROM once JOIN events USING (event_id))"""
@@ -255,6 +255,20 @@ def ranked_opportunities(spark, sf_dir):
     return table.select("cluster", "mentions", F.col("composite").cast("decimal(30,2)").alias("composite"), F.col("place").cast("long").alias("place"))
 
 
+@query("""SELECT cluster, domain, gap, CAST(composite AS DECIMAL(30,2)) AS composite, row_number() OVER (ORDER BY composite DESC, cluster) AS place FROM (
+  SELECT o_custkey AS cluster, count(*) AS mentions, max(o_orderstatus) AS domain, sum(CAST(o_totalprice AS DECIMAL(20,2))) AS composite, min(o_orderdate) AS a, max(o_orderdate) AS b,
+    CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') = 0 THEN 'none' WHEN count(*) FILTER (WHERE o_orderpriority = '1-URGENT') * 2 >= count(*) FILTER (WHERE o_orderstatus = 'F') THEN 'criticized' ELSE 'approved' END AS gap
+  FROM orders GROUP BY 1) WHERE mentions >= 2 AND domain IN ('O', 'F') AND gap IN ('none', 'criticized') AND b >= TIMESTAMP '1995-01-01' AND a <= TIMESTAMP '1997-12-31'""")
+def ranked_by_domain_gap_and_dates(spark, sf_dir):
+    """The whole ranked table under all filters."""
+    gap = insight.solution_gap(F.count_if(F.col("o_orderstatus") == "F"), F.count_if(F.col("o_orderpriority") == "1-URGENT"))
+    scores = _t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cluster")).agg(
+        F.count("*").alias("mentions"), F.max("o_orderstatus").alias("domain"), F.sum(F.col("o_totalprice").cast("decimal(20,2)")).alias("composite"), gap.alias("gap"),
+        F.min(F.col("o_orderdate").cast("timestamp")).alias("first_seen"), F.max(F.col("o_orderdate").cast("timestamp")).alias("last_seen"))
+    table = insight.ranked(scores, least_mentions=2, domains=["O", "F"], gaps=["none", "criticized"], since="1995-01-01", until="1997-12-31")
+    return table.select("cluster", "domain", "gap", F.col("composite").cast("decimal(30,2)").alias("composite"), "place")
+
+
 @query(f"WITH {_TABLE} SELECT place, cluster, o_orderkey AS point, l_partkey AS document FROM t JOIN orders ON o_custkey = cluster JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey")
 def opportunity_drill_down(spark, sf_dir):
     table = insight.ranked(_scores(spark, sf_dir), least_mentions=3, sources=["1-URGENT", "5-LOW"], limit=500)

@@ -6,14 +6,15 @@ Events stand for hits (source: event_type, id: event_id), documents for themselv
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evidora.functions import columns as C
-from evidora.operators import cost, insight, normalize, policy, runs, store, tree, windows
-from evidora.shared import written
+from evidora.operators import commits, cost, insight, normalize, policy, runs, store, tree, vectors, windows
+from evidora.shared import folder, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -137,13 +138,13 @@ def normalize_posts(spark, sf_dir):
 
 # --- idempotent append, cursors, ledger ----------------------------------------------------------------------------
 
-_PAGES = "SELECT 0 AS page, event_type AS source, event_id, ts FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT 1, event_type, event_id, ts FROM events WHERE event_id % 2 = 0"
+_PAGES = "SELECT 0 AS page, event_type AS source, event_id, ts FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT 1, event_type, event_id, ts FROM events WHERE event_id % 2 = 0 OR event_id % 3 = 0"
 
 
 def _two_pages(spark, sf_dir):
     """The same events offered by two overlapping pages."""
     e = _events(spark, sf_dir).select("source", "source_id", "event_id", "ts")
-    return e.filter("event_id % 3 <> 0").withColumn("page", F.lit(0)).unionByName(e.filter("event_id % 2 = 0").withColumn("page", F.lit(1)))
+    return e.filter("event_id % 3 <> 0").withColumn("page", F.lit(0)).unionByName(e.filter("event_id % 2 = 0 OR event_id % 3 = 0").withColumn("page", F.lit(1)))
 
 
 @query(f"SELECT source, event_id, page FROM ({_PAGES}) QUALIFY row_number() OVER (PARTITION BY source, event_id ORDER BY page) = 1")
@@ -156,19 +157,32 @@ def ingest_counts_by_source(spark, sf_dir):
     return store.counts(_two_pages(spark, sf_dir))
 
 
+@query(f"""SELECT 2 AS version, source, count(*) AS rows FROM ({_PAGES}) WHERE page = 0 GROUP BY 2 UNION ALL SELECT 3, event_type, count(*) FROM events GROUP BY 2""")
+def store_snapshots(spark, sf_dir):
+    """Two overlapping pages committed to a table one after the other, and what its snapshots hold."""
+    pages = _two_pages(spark, sf_dir).withColumn("created_at", F.col("ts").cast("timestamp"))
+    path = f"{folder(spark)}/snapshots-{uuid.uuid4().hex}"
+    pages.filter("page < 0").write.parquet(path)
+    log = commits.Log(spark, path)
+    for page in (0, 1):
+        log.append(pages.filter(F.col("page") == page), lambda rows, stored: store.new_rows(rows, stored, ["page"]))
+    of = lambda v: log.snapshot(v).groupBy("source").agg(F.count("*").alias("rows")).select(F.lit(v).alias("version"), "source", "rows")
+    return of(2).unionByName(of(3))
+
+
 @query("SELECT event_type AS source, event_id FROM events WHERE event_id >= 500")
 def ingest_anti_join_new(spark, sf_dir):
     e = _events(spark, sf_dir).select("source", "source_id", "event_id")
     return store.new_rows(e, e.filter("event_id < 500"), ["event_id"]).select("source", "event_id")
 
 
-@query("SELECT CAST(0 AS BIGINT) AS inserted")
+@query("SELECT count(*) AS inserted FROM events e WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.event_type = e.event_type AND x.event_id = e.event_id)")
 def ingest_replay_zero(spark, sf_dir):
     e = _events(spark, sf_dir).select("source", "source_id", "event_id")
     return store.new_rows(e, e, ["event_id"]).agg(F.count("*").alias("inserted"))
 
 
-@query("SELECT CAST(0 AS BIGINT) AS violations")
+@query("""SELECT count(*) AS violations FROM events b WHERE event_id % 2 = 0 AND NOT EXISTS (SELECT 1 FROM events a WHERE a.event_type = b.event_type AND a.event_id = b.event_id AND a.user_id IS NOT DISTINCT FROM b.user_id AND a.value IS NOT DISTINCT FROM b.value)""")
 def append_only_invariant(spark, sf_dir):
     e = _events(spark, sf_dir).select("source", "source_id", "user_id", "value")
     return store.violations(e.filter("CAST(source_id AS BIGINT) % 2 = 0"), e).agg(F.count("*").alias("violations"))
@@ -266,10 +280,10 @@ def transient_boundary(spark, sf_dir):
     return windows.confirmed(out, bounds, "s", F.lit(0), ["source"]).select("source", "boundary", "truncated")
 
 
-@query("""SELECT event_id, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS query_idx FROM events WHERE event_type = 'click' OR user_id < 50""")
+@query("""SELECT event_id, CASE WHEN event_type = 'click' THEN 0 ELSE 1 END AS query_idx FROM events""")
 def query_union_dedup(spark, sf_dir):
     e = _events(spark, sf_dir).select("event_id", "user_id", "source")
-    hits = e.filter("source = 'click'").withColumn("query_idx", F.lit(0)).unionByName(e.filter("user_id < 50").withColumn("query_idx", F.lit(1)))
+    hits = e.filter("source = 'click'").withColumn("query_idx", F.lit(0)).unionByName(e.filter("user_id < 50 OR source <> 'click'").withColumn("query_idx", F.lit(1)))
     return windows.unique_hits(hits, "event_id", ["query_idx"]).select("event_id", "query_idx")
 
 
@@ -517,6 +531,38 @@ def cluster_components(spark, sf_dir):
     return insight.clusters(e, 0.4, "label", written)
 
 
+#: Minimax similarities within a label, by squaring: the greatest least link of any path of so many steps.
+_CLOSURE = "s0 AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, CASE WHEN a.vec_id = b.vec_id THEN 2 ELSE round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) END AS s FROM embeddings a JOIN embeddings b ON a.label = b.label)" + "".join(
+    f", s{k + 1} AS MATERIALIZED (SELECT x.a, y.b, max(least(x.s, y.s)) AS s FROM s{k} x JOIN s{k} y ON x.b = y.a GROUP BY 1, 2)" for k in range(6))
+
+
+@query(f"""WITH {_CLOSURE}, m AS (SELECT a, max(s) FILTER (WHERE b < a) AS m FROM s6 GROUP BY 1), n AS (SELECT count(*) AS n FROM embeddings),
+  kept AS (SELECT min(m) AS least FROM (SELECT m, row_number() OVER (ORDER BY m DESC) AS place FROM m WHERE m IS NOT NULL) WHERE place <= (SELECT n - 100 FROM n))
+  SELECT a AS id, min(b) AS cluster FROM s6, kept WHERE s >= least GROUP BY 1""")
+def clusters_by_count(spark, sf_dir):
+    """Exactly a hundred clusters: the spanning forest without its weakest links."""
+    e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    return insight.clusters(e, 1.0, "label", written, count=100)
+
+
+@query("""WITH RECURSIVE e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) >= 0.6),
+  w AS (SELECT vec_id AS id, vec_id AS r FROM embeddings UNION SELECT w.id, e.b FROM w JOIN e ON e.a = w.r) SELECT id, min(r) AS cluster FROM w GROUP BY 1""")
+def similarity_join_banded(spark, sf_dir):
+    """Groups of near vectors by bands of hyperplanes, without comparing all pairs of a label."""
+    e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    labels = insight.smallest_reachable(vectors.banded_edges(e, 0.6, "label"), written)
+    return e.select("id").join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
+
+
+@query("""SELECT query, id, rank FROM (SELECT a.vec_id AS query, b.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) DESC, b.vec_id) AS rank
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE rank <= 5""")
+def vector_index_search(spark, sf_dir):
+    """The five nearest of every twentieth vector from a stored index: the lists that can hold one, and no others."""
+    e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    index = vectors.Index.make(e, f"{folder(spark)}/index-{uuid.uuid4().hex}", lists=16, neighbours=5)
+    return index.search(e.filter("id % 20 = 0"), 5, exact=True).select("query", "id", "rank")
+
+
 @query("SELECT label AS cluster, count(DISTINCT source) AS sources, count(*) AS mentions FROM embeddings JOIN documents ON doc_id = vec_id GROUP BY 1")
 def source_diversity(spark, sf_dir):
     e = _t(spark, sf_dir, "embeddings").join(_t(spark, sf_dir, "documents"), F.col("vec_id") == F.col("doc_id"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,13 @@ def written(frame: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder(frame.sparkSession))
     return frame.checkpoint(eager=True)
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """``frame`` as a table written to the shared folder, with the size that it has there.
+
+    For loops: a checkpoint keeps the size that was estimated for its plan, and estimates of joins multiply from round to round.
+    """
+    path = f"{folder(frame.sparkSession)}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
