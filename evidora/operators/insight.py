@@ -18,6 +18,8 @@ WEIGHTS = {"frequency": "0.30", "intensity": "0.25", "recency": "0.20", "source_
 HALF_LIFE_DAYS = 180
 #: Seeds that a prefilter compares with, at most.
 SEEDS = 1000
+#: Quoted spans of one document that are looked for together.
+SPANS = 10_000
 #: What a cluster's solution gap is worth: criticised tools are the best chance.
 GAP = {"none": "0.6", "criticized": "1.0", "approved": "0.2"}
 
@@ -59,6 +61,28 @@ def seed_similarity(vectors: DataFrame, seeds: DataFrame) -> DataFrame:
     return like.unionByName(vectors.filter(~wide).select("id", F.lit(None).cast("double").alias("similarity")))
 
 
+def lexical_scores(documents: DataFrame, seeds: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """id and ``score``: the largest BM25 score of a document (id, body) for any of ``seeds`` (id, body), 0 where none of their words is in it.
+
+    Words are runs of letters and digits in lower case; a seed's distinct words are its terms. The inverse frequency of a
+    term in n of N documents is ln(1 + (N - n + 0.5) / (n + 0.5)). Only postings of the seeds' terms are kept, which are few: more
+    than ``SEEDS`` seeds are an error. Documents are counted by id, which is unique.
+    """
+    if seeds.limit(SEEDS + 1).count() > SEEDS:
+        raise ConfigError("seeds are too many", most=SEEDS)
+    words = lambda body: F.regexp_extract_all(F.lower(F.coalesce(body, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    said = documents.select("id", words(F.col("body")).alias("w")).select("id", "w", F.size("w").alias("length"))
+    asked = stored(seeds.select(F.col("id").alias("seed"), F.explode(F.array_distinct(words(F.col("body")))).alias("term")))
+    terms = F.broadcast(asked.select("term").distinct())
+    total, mean = said.agg(F.count("*"), F.avg("length")).first()
+    postings = stored(said.select("id", "length", F.explode("w").alias("term")).join(terms, "term", "left_semi").groupBy("id", "term").agg(F.count("*").alias("tf"), F.max("length").alias("length")))
+    rarity = postings.groupBy("term").agg(F.log1p((F.lit(float(total)) - F.count("*") + 0.5) / (F.count("*") + 0.5)).alias("idf"))
+    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(float(mean or 1))))
+    each = postings.join(F.broadcast(rarity), "term").select("id", "term", weight.alias("weight"))
+    best = each.join(F.broadcast(asked), "term").groupBy("id", "seed").agg(F.sum("weight").alias("score")).groupBy("id").agg(F.max("score").alias("_score"))
+    return documents.select("id").join(best, "id", "left").select("id", F.coalesce("_score", F.lit(0.0)).alias("score"))
+
+
 def sweep(scored: DataFrame, thresholds: list[float], score: str = "score", label: str = "label") -> DataFrame:
     """Recall and noise rejection at each threshold; one pass, as the thresholds are exploded as a short array."""
     rows = scored.select(F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold"), score, label)
@@ -156,11 +180,47 @@ def ndcg(ranked: DataFrame, group: str, rank: str = "rank", gain: str = "gain")
     return sums.select(group, F.round(F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg")).otherwise(0.0), 6).alias("ndcg"))
 
 
+def quoted(spans: DataFrame, documents: DataFrame) -> DataFrame:
+    """Which distinct ``spans`` (document_id, span) stand word for word in their document: document_id and span, those found.
+
+    All spans of a document are looked for in one pass over its body, by an automaton of them, so time doesn't grow with
+    their number. More than ``SPANS`` of one document are dealt to several rows. An empty span stands in any body; a null one,
+    or one of an unknown document, in none.
+    """
+    each = spans.select("document_id", "span").filter("span IS NOT NULL AND document_id IS NOT NULL").distinct()
+    sizes = each.groupBy("document_id").agg(F.ceil(F.count("*") / SPANS).alias("_parts"))
+    dealt = each.join(sizes, "document_id").groupBy("document_id", F.pmod(F.xxhash64("span"), F.col("_parts")).alias("_part")).agg(F.collect_list("span").alias("spans"))
+    bodies = dealt.join(documents.select(F.col("id").alias("document_id"), "body").filter("body IS NOT NULL"), "document_id")
+    kind = spans.schema["document_id"].dataType.simpleString()
+
+    def run(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        for batch in batches:
+            rows, found = [], []
+            for k in range(batch.num_rows):
+                wanted, body = batch.column(1)[k].as_py(), batch.column(2)[k].as_py()
+                automaton = ahocorasick.Automaton()
+                for span in filter(None, wanted):
+                    automaton.add_word(span, span)
+                there = {""} & set(wanted)
+                if len(automaton):
+                    automaton.make_automaton()
+                    there |= {span for _, span in automaton.iter(body)}
+                rows += [k] * len(there)
+                found += sorted(there)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.string())], ["document_id", "span"])
+
+    return bodies.select("document_id", "spans", "body").mapInArrow(run, f"document_id {kind}, span string").distinct()
+
+
 def citations(spans: DataFrame, documents: DataFrame) -> DataFrame:
     """Per brief whether every quoted span stands word for word in its document; ``spans``: brief, document_id, span."""
-    joined = spans.join(documents.select(F.col("id").alias("document_id"), "body"), "document_id", "left")
-    found = F.coalesce(F.contains("body", "span"), F.lit(False))
-    return joined.groupBy("brief").agg(F.bool_and(found).alias("intact"), F.count_if(~found).alias("missing"))
+    found = quoted(spans, documents).select(F.col("document_id").alias("_document"), F.col("span").alias("_span"), F.lit(True).alias("_found"))
+    joined = spans.join(found, (F.col("document_id") == F.col("_document")) & (F.col("span") == F.col("_span")), "left")
+    there = F.coalesce("_found", F.lit(False))
+    return joined.groupBy("brief").agg(F.bool_and(there).alias("intact"), F.count_if(~there).alias("missing"))
 
 
 def latest(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -224,7 +284,9 @@ def briefs(scores: DataFrame, checked: DataFrame, threshold: float) -> DataFrame
 
 
 def embedded(documents: DataFrame, embed, model: str, at: str, text: str = "body") -> DataFrame:
-    """Rows for the embeddings table: ``embed`` (a list of texts to a list of vectors) runs in Arrow batches.
+    """Rows for the embeddings table: ``embed`` (a list of texts to a list of vectors) is a model that runs in the task itself, in Arrow batches.
+
+    It is no client of a service: a task that is tried again would call, and pay, twice. Services go through ``cost.extract``.
 
     It is to be given the documents that have no vector yet (store.missing_embeddings), so a second run adds none.
     """

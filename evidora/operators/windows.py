@@ -65,11 +65,11 @@ def boundaries(read: DataFrame, query: str, at: str, since: Column, until: Colum
     An uncapped query covers all of the window. A capped one may have been cut inside its newest second, so it covers
     up to the second newest distinct one it has read; where that is not beyond ``since`` it is stalled.
     """
-    newest = read.groupBy(query).agg(F.max("capped").alias("capped"), F.max(at).alias("_first"))
-    older = read.select(F.col(query).alias("_query"), F.col(at).alias("_at")).join(newest.select(query, "_first"), F.col(query).eqNullSafe(F.col("_query")))
-    second = older.filter((F.col("_at") < F.col("_first"))).groupBy("_query").agg(F.max("_at").alias("_second"))
-    joined = newest.join(second, F.col(query).eqNullSafe(F.col("_query")), "left")
-    per = joined.select(query, "capped", F.when(F.col("_second") > since, F.col("_second")).alias("_second"))
+    seconds = read.groupBy(query, at).agg(F.max("capped").alias("capped"))
+    place = F.row_number().over(Window.partitionBy(query).orderBy(F.desc_nulls_last(at)))
+    two = seconds.withColumn("_n", place).filter("_n <= 2")  # Spark takes two a partition before it shuffles
+    per = two.groupBy(query).agg(F.max("capped").alias("capped"), F.max(F.when(F.col("_n") == 2, F.col(at))).alias("_second"))
+    per = per.select(query, "capped", F.when(F.col("_second") > since, F.col("_second")).alias("_second"))
     safe = F.coalesce(F.col("_second"), since)
     return per.select(query, "capped", F.when(F.col("capped"), safe).otherwise(until).alias("boundary"), (F.col("capped") & (safe <= since)).alias("stalled"))
 

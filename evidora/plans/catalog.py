@@ -519,6 +519,18 @@ def prefilter_threshold_sweep(spark, sf_dir):
     return insight.sweep(d.select(F.col("quality").alias("label"), (F.least("n_chars", F.lit(5000)) / 5000.0).alias("score")), [0.1, 0.25, 0.5, 0.75])
 
 
+@query(r"""WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+  n AS (SELECT count(*) AS total, avg(len(w)) AS mean FROM d), s AS (SELECT DISTINCT item_id AS seed, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS term FROM benchmark),
+  p AS (SELECT id, term, count(*) AS tf, max(l) AS l FROM (SELECT id, len(w) AS l, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM s) GROUP BY 1, 2), r AS (SELECT term, ln(1 + (total - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS idf FROM p, n GROUP BY term, total),
+  b AS (SELECT id, max(score) AS score FROM (SELECT id, seed, sum(idf * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * l / mean))) AS score FROM p JOIN r USING (term) JOIN s USING (term), n GROUP BY 1, 2) GROUP BY 1)
+  SELECT id, round(coalesce(score, 0), 4) AS score FROM d LEFT JOIN b USING (id)""")
+def lexical_prefilter(spark, sf_dir):
+    """BM25 of every document against the benchmark's passages as seeds."""
+    d = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    seeds = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("body"))
+    return insight.lexical_scores(d, seeds).select("id", F.round("score", 4).alias("score"))
+
+
 @query("""SELECT doc_id, CASE WHEN n_chars >= 3000 OR regexp_matches(lower(text), 'token|license') THEN 'candidate' ELSE 'noise' END AS verdict FROM documents""")
 def prefilter_candidates(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", insight.prefilter(F.col("n_chars"), F.col("text"), 3000, "token|license").alias("verdict"))
