@@ -143,7 +143,7 @@ def banded_edges(vectors: DataFrame, threshold: float, block: str, part: int = P
     """As ``near_edges``, without comparing all pairs of a block: vectors meet that lie on the same side of all hyperplanes
     of a band, and are then compared exactly.
 
-    No edge is wrong. A pair at the threshold is missed with a chance of ``MISSED``, a nearer one with a smaller one. Buckets
+    No edge joins what ``near_edges`` keeps apart. A pair at the threshold is missed with a chance of ``MISSED``, a nearer one with a smaller one. Buckets
     stay small as a block grows, and the bands that takes grow as a small power of its size. A bucket of more than
     ``part`` vectors, such as copies, is dealt in pairs of parts like any block.
     """

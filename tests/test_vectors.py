@@ -77,7 +77,7 @@ def test_exact_numbers_of_clusters(spark, ties):
     data = [(rng.integers(-1, 2, size=4) + np.array([0.0, 0, 0, 3]) if ties else rng.normal(size=5), int(rng.integers(3))) for _ in range(90)]
     v = frame(spark, data)
     assert vectors.spanning_forest(v, "block", part=9).count() == 87
-    for count in (3, 4, 17, 60, 89, 90):
+    for count in (4, 60) if ties else (3, 17, 90):
         got = {r.id: r.cluster for r in insight.clusters(v, 0.9, "block", written, count=count).collect()}
         assert len(set(got.values())) == count and got == kruskal(data, count)
     for count in (2, 91):
@@ -99,12 +99,10 @@ def test_bands_find_the_pairs(spark, dims):
     near = base[:300] + 0.12 * np.linalg.norm(base[:300], axis=1, keepdims=True) * rng.normal(size=(300, 32)) / np.sqrt(32) * 2
     data = [(x, 0) for x in np.concatenate([base, near, np.repeat(base[:1], 40, axis=0)])]
     v = frame(spark, data)
-    u = np.stack([x / np.linalg.norm(x) for x, _ in data])
-    cos = np.round(u @ u.T, 6)
-    edges = vectors.banded_edges(v, 0.9, "block", part=50).collect()
-    assert all(cos[e.a, e.b] >= 0.9 for e in edges)
     exact = {r.node: r.label for r in insight.smallest_reachable(vectors.near_edges(v, 0.9, "block"), written).collect()}
-    got = {r.node: r.label for r in insight.smallest_reachable(vectors.banded_edges(v, 0.9, "block"), written).collect()}
+    edges = vectors.banded_edges(v, 0.9, "block", part=50)
+    assert all(exact.get(e.a, e.a) == exact.get(e.b, e.b) for e in edges.collect())  # none between groups
+    got = {r.node: r.label for r in insight.smallest_reachable(edges, written).collect()}
     same = sum(exact.get(i, i) == got.get(i, i) for i in range(len(data)))
     assert same >= 0.99 * len(data) and len(exact) > 100
 
@@ -133,7 +131,7 @@ def test_the_stored_index(spark, tmp_path, dims):
     assert len(want) == 750 and len({x[:2] for x in found} & {x[:2] for x in want}) >= 0.9 * len(want)
     assert {(r.query, r.id, r["rank"]) for r in again.search(asked, 5, probes=1, exact=True).collect()} == want
     plan = again.pruned([3, 4])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [list" in plan and len(again.pruned([3, 4]).inputFiles()) < len(again._stored().inputFiles())
+    assert "PartitionFilters: [list" in plan and again.pruned([3, 4]).select(F.input_file_name()).distinct().count() <= 4
     with pytest.raises(FileExistsError):
         vectors.Index.make(v, f"{tmp_path}/index")
 
