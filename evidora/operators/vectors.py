@@ -275,7 +275,7 @@ class Index:
     def __init__(self, spark: SparkSession, path: str):
         self._spark, self._path = spark, path
         self.meta = json.loads(Files(spark, path).read("index.json"))
-        self._centres = spark.sparkContext.broadcast(np.asarray(self.meta["centres"], np.float64).reshape(-1, self.meta["width"]))
+        self._centres = spark.sparkContext.broadcast(np.asarray(self.meta["centres"], np.float64).reshape(len(self.meta["centres"]), self.meta["width"] or 1))
 
     @property
     def probes(self) -> int:
