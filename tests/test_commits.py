@@ -187,6 +187,38 @@ def test_filters_reach_the_data_source(spark, path):
         spark.conf.unset("spark.sql.python.filterPushdown.enabled")
 
 
+def test_commits_as_a_stream(spark, path, tmp_path, monkeypatch):
+    for k in range(3):
+        put(offered(spark, 100 * k, 100 * k + 100), path)
+    spark.dataSource.register(StoredDocuments)
+    batches: list = []
+
+    def run():
+        def seen(batch, number):
+            batches.append((number, batch.rdd.getNumPartitions(), keys(batch)))
+        load = spark.readStream.format("evidora_store").option("path", path).load()
+        query = load.writeStream.foreachBatch(seen).option("checkpointLocation", f"{tmp_path}/check").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    run()
+    assert max(n for _, n, _ in batches) >= 3 and sorted(sum((k for *_, k in batches), [])) == [("reddit", k) for k in range(300)]
+    batches.clear()
+    run()  # another start: nothing twice
+    assert not any(k for *_, k in batches)
+    put(offered(spark, 250, 350), path)
+    with monkeypatch.context() as m:  # a commit whose files are not in place waits
+        m.setattr(commits.Log, "_place", lambda *_: None)
+        put(offered(spark, 400, 410), path)
+    run()
+    assert sorted(sum((k for *_, k in batches), [])) == [("reddit", k) for k in range(300, 350)]
+    commits.Log(spark, path).latest()
+    run()
+    assert sorted(sum((k for *_, k in batches), [])) == [("reddit", k) for k in [*range(300, 350), *range(400, 410)]]
+
+
 def test_create_once_elsewhere(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(commits.Files, "local", lambda self: False)
     files = commits.Files(spark, str(tmp_path))
