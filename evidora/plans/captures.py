@@ -258,14 +258,14 @@ def ranked_opportunities(spark, sf_dir):
 @query("""SELECT cluster, domain, gap, CAST(composite AS DECIMAL(30,2)) AS composite, row_number() OVER (ORDER BY composite DESC, cluster) AS place FROM (
   SELECT o_custkey AS cluster, count(*) AS mentions, max(o_orderstatus) AS domain, sum(CAST(o_totalprice AS DECIMAL(20,2))) AS composite, min(o_orderdate) AS a, max(o_orderdate) AS b,
     CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'F') = 0 THEN 'none' WHEN count(*) FILTER (WHERE o_orderpriority = '1-URGENT') * 2 >= count(*) FILTER (WHERE o_orderstatus = 'F') THEN 'criticized' ELSE 'approved' END AS gap
-  FROM orders GROUP BY 1) WHERE mentions >= 2 AND domain IN ('O', 'F') AND gap IN ('none', 'criticized') AND b >= TIMESTAMP '1995-01-01' AND a <= TIMESTAMP '1997-12-31'""")
+  FROM orders GROUP BY 1) WHERE mentions >= 2 AND domain IN ('O', 'P') AND gap IN ('approved', 'criticized') AND b >= TIMESTAMP '1995-01-01' AND a <= TIMESTAMP '1997-12-31'""")
 def ranked_by_domain_gap_and_dates(spark, sf_dir):
     """The whole ranked table under all filters."""
     gap = insight.solution_gap(F.count_if(F.col("o_orderstatus") == "F"), F.count_if(F.col("o_orderpriority") == "1-URGENT"))
     scores = _t(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cluster")).agg(
         F.count("*").alias("mentions"), F.max("o_orderstatus").alias("domain"), F.sum(F.col("o_totalprice").cast("decimal(20,2)")).alias("composite"), gap.alias("gap"),
         F.min(F.col("o_orderdate").cast("timestamp")).alias("first_seen"), F.max(F.col("o_orderdate").cast("timestamp")).alias("last_seen"))
-    table = insight.ranked(scores, least_mentions=2, domains=["O", "F"], gaps=["none", "criticized"], since="1995-01-01", until="1997-12-31")
+    table = insight.ranked(scores, least_mentions=2, domains=["O", "P"], gaps=["approved", "criticized"], since="1995-01-01", until="1997-12-31")
     return table.select("cluster", "domain", "gap", F.col("composite").cast("decimal(30,2)").alias("composite"), "place")
 
 
