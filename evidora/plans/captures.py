@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidora.functions import columns as C
-from evidora.operators import cost, insight, normalize, policy, runs, store, windows
+from evidora.operators import cost, insight, normalize, policy, runs, sketches, store, windows
 from evidora.plans import ingest
 from evidora.plans.catalog import _CLASS, _FROM, _SECONDS, _TO, QUERIES, SQL, _events, _item_rows, _page_log, _t, _two_pages, _LOG, _PAGES, _WHY, query
 
@@ -318,3 +318,20 @@ def required_times(spark, sf_dir):
 def dead_letters_kept(spark, sf_dir):
     letters = _events(spark, sf_dir).filter("source = 'error'")
     return policy.kept_letters(letters, F.expr("TIMESTAMP_NTZ '2024-02-20 12:00:00'"), at="ts").select("event_id")
+
+
+# --- clusters that take in runs by merging sketches -------------------------------------------------------------------
+
+def _at_rank(rank: float) -> str:
+    return f"list_sort(list(CAST(l_quantity AS DOUBLE)))[CAST(ceil({rank} * count(l_quantity)) AS INTEGER)]"
+
+
+@query(f"""SELECT CAST(l_suppkey AS BIGINT) AS cluster, year(max(l_shipdate)) AS run, count(*) AS mentions, count(DISTINCT l_orderkey) AS documents, count(DISTINCT l_returnflag) AS sources,
+  {_at_rank(0.5)} AS median, {_at_rank(0.9)} AS high FROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY l_suppkey""")
+def cluster_statistics_merged(spark, sf_dir):
+    """Suppliers as clusters, years as runs: the first years make the state, later ones are taken in, the last one twice."""
+    evidence = _t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("long").alias("cluster"), F.year("l_shipdate").alias("run"), "l_orderkey", "l_returnflag", "l_quantity")
+    made = written(sketches.sketched(evidence, "cluster", "run", "l_orderkey", "l_returnflag", "l_quantity"))
+    early, late = made.filter("run < 1995"), made.filter("run >= 1995")
+    state = sketches.taken_in(sketches.over_runs(early), late)
+    return sketches.statistics(sketches.taken_in(state, late))
