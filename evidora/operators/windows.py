@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidora.functions import columns as C
+
 #: Seconds read back at first, seconds of index lag kept off, hits a page, pages a query, pages of a feed.
 LOOKBACK, LAG = 24 * 3600, 60
 PAGE_HITS, PAGES, FEED_PAGES = 1000, 20, 10
@@ -167,3 +169,24 @@ def next_places(read: DataFrame, pairs_: DataFrame) -> DataFrame:
     step = read.withColumn("ordinal", F.when(stays, F.col("at")).otherwise(F.col("at") + 1)).withColumn("_place", F.when(F.col("failed"), F.col("given")).otherwise(F.col("after")))
     joined = step.join(pairs_.withColumn("_known", F.lit(True)), "ordinal", "left")
     return joined.withColumn("place", F.when(F.col("_known"), F.col("_place"))).drop("_place", "_known", "ordinal")
+
+
+def backfill_positions(cursors: DataFrame, cursor: str, places: DataFrame) -> DataFrame:
+    """Where a backfill over ``places`` (ordinal, name) begins for each cursor: ``outcome``, ``ordinal`` and ``after``.
+
+    start (no cursor) and restart (a name that is not there any more) begin at the first place; a cursor that is no object,
+    has a listing, no name or a position of another type is malformed, and has no place. Names that are there twice are
+    the first of them.
+    """
+    state = F.try_parse_json(cursor)
+    held = cursors.withColumn("_state", state)
+    at = F.col("_state")
+    keys = F.map_keys(F.from_json(F.when(F.schema_of_variant(at).startswith("OBJECT"), F.col(cursor)), "map<string,variant>"))
+    name, after = C.string_at(at, "$.subreddit"), C.string_at(at, "$.after")
+    good = F.coalesce(name.isNotNull() & ~F.array_contains(keys, "listing") & C.kind_of(at, "$.after").isin("STRING", "VOID"), F.lit(False))
+    told = held.withColumn("_good", good).withColumn("_name", F.when(good, name)).withColumn("_after", F.when(good, after))
+    known = places.groupBy(F.col("name").alias("_name")).agg(F.min("ordinal").cast("long").alias("_known"))
+    met = told.join(known, "_name", "left")
+    outcome = F.when(F.col(cursor).isNull(), "start").when(~F.col("_good"), "malformed").when(F.col("_known").isNull(), "restart").otherwise("resume")
+    placed = met.withColumn("outcome", outcome).withColumn("ordinal", F.when(F.col("outcome") == "resume", F.col("_known")).when(F.col("outcome") != "malformed", F.lit(0)))
+    return placed.withColumn("after", F.when(F.col("outcome") == "resume", F.col("_after"))).drop("_state", "_good", "_name", "_after", "_known")

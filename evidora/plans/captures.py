@@ -15,6 +15,7 @@ from evidora.functions import columns as C
 from evidora.operators import cost, insight, normalize, policy, runs, sketches, store, windows
 from evidora.plans import ingest
 from evidora.plans.catalog import _CLASS, _FROM, _SECONDS, _TO, QUERIES, SQL, _events, _item_rows, _page_log, _t, _two_pages, _LOG, _PAGES, _WHY, query
+from evidora.shared import written
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -335,3 +336,77 @@ def cluster_statistics_merged(spark, sf_dir):
     early, late = made.filter("run < 1995"), made.filter("run >= 1995")
     state = sketches.taken_in(sketches.over_runs(early), late)
     return sketches.statistics(sketches.taken_in(state, late))
+
+
+# --- positions, headroom, projected cost, references -----------------------------------------------------------------
+
+@query("""WITH p AS (SELECT event_type AS name, row_number() OVER (ORDER BY event_type) - 1 AS ordinal FROM (SELECT DISTINCT event_type FROM events)),
+  c AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'start' WHEN event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 THEN 'malformed' WHEN event_id % 7 = 0 THEN 'restart' ELSE 'resume' END AS outcome, event_type AS name,
+    CASE WHEN event_id % 3 > 0 THEN 't' || event_id END AS after FROM events)
+  SELECT event_id, outcome, CASE outcome WHEN 'resume' THEN ordinal WHEN 'malformed' THEN NULL ELSE 0 END AS ordinal, CASE WHEN outcome = 'resume' THEN after END AS after FROM c JOIN p USING (name)""")
+def backfill_resume(spark, sf_dir):
+    """Event types as communities; cursors of one with a listing, without a position, unreadable, of an unknown one, or none."""
+    e, i = _events(spark, sf_dir), F.col("event_id")
+    places = windows.pairs(e.select(F.col("source").alias("name")).distinct(), spark.range(1).select(F.lit("backfill").alias("mode")))
+    after = F.when(i % 3 > 0, F.concat(F.lit('"t'), i.cast("string"), F.lit('"'))).otherwise("null")
+    name = F.when(i % 7 == 0, F.concat(F.lit("gone-"), "source")).otherwise(F.col("source"))
+    whole = F.format_string('{"subreddit":"%s","after":%s}', name, after)
+    cursor = (F.when(i % 11 == 0, None).when(i % 13 == 0, F.format_string('{"subreddit":"%s","listing":"new","after":%s}', name, after))
+              .when(i % 17 == 0, F.format_string('{"subreddit":"%s"}', name)).when(i % 19 == 0, F.lit("{no cursor")).otherwise(whole))
+    return windows.backfill_positions(e.select("event_id", cursor.alias("cursor")), "cursor", places).select("event_id", "outcome", F.col("ordinal").cast("long").alias("ordinal"), "after")
+
+
+@query("""SELECT conv_id AS page, arg_max(length(text), turn) FILTER (WHERE turn % 3 <> 2 AND text IS NOT NULL) AS headroom FROM conversations GROUP BY 1""")
+def last_headroom(spark, sf_dir):
+    """Of each page the headroom that its last thread told; every third one tells none."""
+    c = _t(spark, sf_dir, "conversations")
+    return insight.last_known(c.select(F.col("conv_id").alias("page"), "turn", F.when(F.col("turn") % 3 != 2, F.length("text")).cast("long").alias("headroom")), "page", "turn", "headroom")
+
+
+@query("""SELECT round(avg(n_chars / 4.0) * 30000 * 0.02 / 1e6, 4) AS projected_usd FROM documents""")
+def embedding_month_cost(spark, sf_dir):
+    d = _t(spark, sf_dir, "documents").select((F.col("n_chars") / 4.0).alias("tokens"))
+    return insight.cost_projection(d, 30_000, "0.02")
+
+
+#: child table, its column, parent table, its key.
+_REFERENCES = [("nation", "n_regionkey", "region", "r_regionkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("orders", "o_custkey", "customer", "c_custkey"),
+               ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("labels", "doc_id", "documents", "doc_id")]
+_HELD = " UNION ALL ".join(f"SELECT '{c}' AS child, '{k}' AS col, '{p}' AS parent, (SELECT count(*) FROM {c}) AS n, (SELECT count(*) FROM {c} x WHERE NOT EXISTS (SELECT 1 FROM {p} y WHERE y.{key} = x.{k})) AS orphans" for c, k, p, key in _REFERENCES)
+
+
+def _references(spark, sf_dir):
+    def edge(child, column, parent, key):
+        own, other = _t(spark, sf_dir, child).select(F.col(column).alias("_k")), _t(spark, sf_dir, parent).select(F.col(key).alias("_p")).distinct()
+        met = own.groupBy("_k").agg(F.count("*").alias("_n")).join(other, F.col("_k") == F.col("_p"), "left")
+        sums = met.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("_p").isNull(), F.col("_n"))), F.lit(0)).alias("orphans"))
+        return sums.select(F.lit(child).alias("child"), F.lit(column).alias("col"), F.lit(parent).alias("parent"), "n", "orphans")
+
+    return reduce(DataFrame.unionByName, [edge(*r) for r in _REFERENCES])
+
+
+@query(_HELD)
+def reference_orphans(spark, sf_dir):
+    """For each reference between tables its rows and those that point to nothing, nulls among them."""
+    return _references(spark, sf_dir)
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT child, parent FROM ({_HELD}) WHERE orphans = 0), w(name, root) AS (SELECT child, parent FROM e UNION SELECT e.child, w.root FROM w JOIN e ON e.parent = w.name) SELECT name, root FROM w""")
+def references_reach(spark, sf_dir):
+    """Which tables lead to which by references that hold in the data."""
+    from evidora.schemas import closure
+
+    return closure(spark, written(_references(spark, sf_dir).filter("orphans = 0").select("child", "parent").distinct()))
+
+
+def _null_counts() -> str:
+    tables = {"documents": ["doc_id", "text", "lang", "source", "n_chars"], "events": ["event_id", "ts", "user_id", "event_type", "value", "props"], "conversations": ["conv_id", "turn", "role", "text"], "labels": ["doc_id", "quality", "toxic"]}
+    return " UNION ALL ".join(f"SELECT '{t}' AS name, '{c}' AS col, count(*) AS n, count(*) - count({c}) AS missing FROM {t}" for t, cs in tables.items() for c in cs)
+
+
+@query(f"SELECT name, col, missing FROM ({_null_counts()}) WHERE missing = 0")
+def columns_without_null(spark, sf_dir):
+    """The columns of the text tables that could be declared not null: one pass a table."""
+    from evidora.schemas import null_counts
+
+    return null_counts({t: _t(spark, sf_dir, t) for t in ("documents", "events", "conversations", "labels")}).filter("missing = 0").select("name", "col", "missing")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,3 +90,21 @@ def columns(spark: SparkSession) -> DataFrame:
     """The catalogue of all tables: name, column, kind and whether it may be null."""
     rows = [(name, f.name, f.dataType.simpleString(), f.nullable) for name, schema in TABLES.items() for f in schema.fields]
     return spark.createDataFrame(rows, "name string, column string, kind string, nullable boolean")
+
+
+def closure(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """Each table (``name``) with each other one (``root``) that it leads to by ``edges`` (child, parent), in any number of steps; cycles are an error of the recursion limit."""
+    return spark.sql("""
+        WITH RECURSIVE walk(name, root) AS (
+          SELECT child, parent FROM {edges}
+          UNION ALL SELECT e.child, walk.root FROM walk JOIN {edges} e ON e.parent = walk.name)
+        SELECT DISTINCT name, root FROM walk""", edges=edges)
+
+
+def null_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """For each table and column (``name``, ``col``) how many rows it is null in, by one pass a table."""
+    def counted(name: str, table: DataFrame) -> DataFrame:
+        each = [F.struct(F.lit(name).alias("name"), F.lit(c).alias("col"), F.count_if(F.col(c).isNull()).alias("missing")) for c in table.columns]
+        return table.agg(F.array(*each).alias("_all")).select(F.inline("_all"))
+
+    return reduce(DataFrame.unionByName, [counted(*t) for t in tables.items()])

@@ -60,3 +60,27 @@ def next_position(communities: list[str], at: int, given: str | None, after: str
     else:
         return None
     return json.dumps({"subreddit": pair[0], "listing": pair[1], "after": place}, separators=(",", ":"))
+
+
+def read_backfill(cursor: str | None, communities: list[str]) -> tuple[int, str | None]:
+    """(number of the community, position in it) of a backfill, whose cursor has no listing; one that has is another's, and an error."""
+    if cursor is None:
+        return 0, None
+    try:
+        state = json.loads(cursor)
+    except ValueError as error:
+        raise ConfigError("unreadable backfill cursor", cursor=cursor) from error
+    good = isinstance(state, dict) and isinstance(state.get("subreddit"), str) and "listing" not in state and "after" in state
+    if not good or not (state["after"] is None or isinstance(state["after"], str)):
+        raise ConfigError("unreadable backfill cursor", cursor=cursor)
+    if state["subreddit"] not in communities:
+        logging.getLogger(__name__).warning("backfill cursor of an unknown community; starting the range anew")
+        return 0, None
+    return communities.index(state["subreddit"]), state["after"]
+
+
+def next_backfill(communities: list[str], at: int, after: str | None) -> str | None:
+    """The cursor after a page of a backfill: the rest of the community, the next one, or none after the last."""
+    if after is None:
+        at += 1
+    return json.dumps({"subreddit": communities[at], "after": after}, separators=(",", ":")) if at < len(communities) else None
