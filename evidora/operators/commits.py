@@ -156,7 +156,9 @@ def touches(file: dict, sources: Iterable[str] | None = None, since: int | None
 class Log:
     """The commit log of the table at ``path``, whose rows have ``schema``; ``key`` names the two columns of its key."""
 
-    def __init__(self, spark: SparkSession, path: str, key: tuple[str, str] = ("source", "source_id"), time_column: str = "created_at"):
+    def __init__(self, spark: SparkSession, path: str, key: tuple[str, str] = ("source", "source_id"), time_column: str = "created_at", schema: StructType | None = None):
+        if schema is not None:
+            self._schema = schema  # one that has gained columns since files were written
         self.spark, self.path, self._key, self._time = spark, path, key, time_column
         self.files = Files(spark, path)
         self._known: dict[int, dict] = {}
