@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidora.errors import ConfigError
-from evidora.operators.vectors import directed, near_edges, nearest, placed, spanning_forest
-from evidora.shared import stored
+from evidora.operators.vectors import directed, near_edges, nearest, placed, spanning_forest, unit_rows
+from evidora.shared import stored, written
 
 #: Weights of the composite score and the days in which recency halves.
 WEIGHTS = {"frequency": "0.30", "intensity": "0.25", "recency": "0.20", "source_diversity": "0.15", "solution_gap": "0.10"}
 HALF_LIFE_DAYS = 180
-#: Seeds that a prefilter compares with, at most.
-SEEDS = 1000
+#: Seeds that a lexical prefilter compares with, at most; vectors and seeds of a part where vectors are compared.
+SEEDS, SEED_PART = 1000, 8192
 #: Quoted spans of one document that are looked for together.
 SPANS = 10_000
 #: What a cluster's solution gap is worth: criticised tools are the best chance.
@@ -34,31 +34,35 @@ def prefilter(similarity: Column, text: Column, threshold: float, signals: str)
     return F.when((similarity >= threshold) | F.lower(text).rlike(signals), "candidate").otherwise("noise")
 
 
-def seed_similarity(vectors: DataFrame, seeds: DataFrame) -> DataFrame:
+def seed_similarity(vectors: DataFrame, seeds: DataFrame, part: int = SEED_PART) -> DataFrame:
     """``vectors`` (id, vector) with ``similarity``: the largest cosine with any of ``seeds`` (vector), null without a direction.
 
-    The seed set is fixed by hand and small: more than ``SEEDS`` are an error. It travels as a broadcast matrix, and each
-    batch is one product.
+    Seeds may be many, as a share of all vectors is: both sides are dealt in parts of about ``part``, each pair of parts is one task's product of
+    matrices, and a vector's best is the greatest of its parts. Seeds of different length are an error.
     """
-    rows = [r[0] for r in seeds.select("vector").filter(directed(F.col("vector").cast("array<double>"))).limit(SEEDS + 1).collect()]
-    if len(rows) > SEEDS or len({len(r) for r in rows}) > 1:
-        raise ConfigError("seeds are too many, or of different length", most=SEEDS)
-    unit = lambda m: m / np.where((n := np.sqrt((m**2).sum(1, keepdims=True))) > 0, n, np.nan)
-    matrix = vectors.sparkSession.sparkContext.broadcast(unit(np.asarray(rows, np.float64)).T if rows else None)
-
-    def run(batches):
+    fine = seeds.select("vector").filter(directed(F.col("vector").cast("array<double>"))).distinct()
+    widths = [r[0] for r in fine.select(F.size("vector")).distinct().limit(2).collect()]
+    if len(widths) > 1:
+        raise ConfigError("seeds are of different length")
+    held = written(vectors.select("id", "vector").withColumn("_row", F.monotonically_increasing_id()))  # ids may repeat
+    own, other = (max(1, -(-rows.count() // part)) for rows in (held, fine))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    wide = directed(F.col("vector").cast("array<double>")) & (F.size("vector") == (widths[0] if widths else -1))
+    asked = held.filter(wide).select("_row", F.col("vector").alias("asked"), F.pmod(F.xxhash64("_row"), F.lit(own)).cast("int").alias("_a"), every(other).alias("_b"))
+    dealt = fine.select("vector", every(own).alias("_x"), F.pmod(F.xxhash64("vector"), F.lit(other)).cast("int").alias("_y"))
+
+    def compare(v, s):
         import pyarrow as pa
 
-        for batch in batches:
-            if matrix.value is not None and batch.num_rows:
-                flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
-                best = np.nanmax(np.nan_to_num(unit(flat) @ matrix.value, nan=-2.0), axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(best, mask=best < -1.5)], ["id", "similarity"])
-
-    kind = vectors.schema["id"].dataType.simpleString()
-    wide = directed(F.col("vector").cast("array<double>")) & (F.size("vector") == (len(rows[0]) if rows else -1))
-    like = vectors.filter(wide).select("id", "vector").mapInArrow(run, f"id {kind}, similarity double")
-    return like.unionByName(vectors.filter(~wide).select("id", F.lit(None).cast("double").alias("similarity")))
+        rows, best = np.zeros(0, np.int64), np.zeros(0)
+        if v.num_rows and s.num_rows:
+            like, rows, best = unit_rows(s.column("vector")).T, v.column("_row").to_numpy(), np.empty(v.num_rows)
+            for start in range(0, v.num_rows, 512):
+                best[start : start + 512] = (unit_rows(v.column("asked").slice(start, 512)) @ like).max(1)
+        return pa.table({"_row": pa.array(rows), "similarity": pa.array(best)})
+
+    found = asked.groupBy("_a", "_b").cogroup(dealt.groupBy("_x", "_y")).applyInArrow(compare, "_row long, similarity double")
+    return held.select("id", "_row").join(found.groupBy("_row").agg(F.max("similarity").alias("similarity")), "_row", "left").select("id", "similarity")
 
 
 def lexical_scores(documents: DataFrame, seeds: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:

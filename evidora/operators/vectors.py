@@ -46,7 +46,7 @@ def _parted(held: DataFrame, part: int) -> DataFrame:
     return held.join(sizes, "_group").withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
 
 
-def _units(column) -> np.ndarray:
+def unit_rows(column) -> np.ndarray:
     """The vectors of an Arrow column, all of one length, as unit rows."""
     rows = column.combine_chunks() if hasattr(column, "combine_chunks") else column
     rows = rows.chunk(0) if hasattr(rows, "chunk") else rows
@@ -73,10 +73,10 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, block: str, part: in
 
         out = [[], [], []]
         if q.num_rows and v.num_rows:
-            ids, units = _ids(v.column("vid")), _units(v.column("vector"))
+            ids, units = _ids(v.column("vid")), unit_rows(v.column("vector"))
             for start in range(0, q.num_rows, 1024):
                 own = q.slice(start, 1024)
-                found = np.round(_units(own.column("asked")) @ units.T, 6)
+                found = np.round(unit_rows(own.column("asked")) @ units.T, 6)
                 for query, row in zip(_ids(own.column("query")).tolist(), found, strict=True):
                     places = [i for i in np.lexsort((ids, -row))[: k + 1] if ids[i] != query][:k]
                     out[0] += [query] * len(places)
@@ -106,7 +106,7 @@ def _linked(held: DataFrame, threshold: float, part: int) -> DataFrame:
     def compare(rows):
         import pyarrow as pa
 
-        ids, units = _ids(rows.column("id")), _units(rows.column("vector"))
+        ids, units = _ids(rows.column("id")), unit_rows(rows.column("vector"))
         root = np.arange(len(ids))
         for start in range(0, len(ids), 1024):
             x, y = np.nonzero(np.round(units[start : start + 1024] @ units.T, 6) >= threshold)
@@ -162,7 +162,7 @@ def banded_edges(vectors: DataFrame, threshold: float, block: str, part: int = P
                 own = batch.take(pa.array(np.flatnonzero(lengths == length)))
                 if length not in planes:
                     planes[length] = np.random.default_rng(length).normal(size=(length, bits * bands))
-                sides = (_units(own.column("vector")) @ planes[length] > 0).reshape(own.num_rows, bands, bits) @ weights
+                sides = (unit_rows(own.column("vector")) @ planes[length] > 0).reshape(own.num_rows, bands, bits) @ weights
                 names = np.repeat(np.asarray(own.column("_group").to_pylist(), object), bands)
                 keys = [f"{g}:{k % bands}:{s}" for k, (g, s) in enumerate(zip(names, sides.ravel().tolist(), strict=True))]
                 taken = own.select(["id", "vector"]).take(pa.array(np.repeat(np.arange(own.num_rows), bands)))
@@ -210,7 +210,7 @@ def spanning_forest(vectors: DataFrame, block: str, part: int = PART) -> DataFra
     def compare(rows):
         import pyarrow as pa
 
-        a, b, s = _tree(_ids(rows.column("id")), _units(rows.column("vector")))
+        a, b, s = _tree(_ids(rows.column("id")), unit_rows(rows.column("vector")))
         return pa.table({"a": pa.array(a), "b": pa.array(b), "similarity": pa.array(s)})
 
     edges = stored(_pairs_of_parts(held, part).groupBy("_group", "_lo", "_hi").applyInArrow(compare, "a long, b long, similarity double").distinct())
@@ -296,7 +296,7 @@ class Index:
         rows = rows.filter(F.size("vector") == width)
         unit = lambda seed: F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 11) / float(1 << 53)
         sample = rows.filter(unit(0) < SAMPLE / max(1, total)).select("vector").toArrow().column(0)
-        centres = _fit(_units(sample), min(LISTS, lists or max(1, total // LIST))) if len(sample) else np.zeros((0, width))
+        centres = _fit(unit_rows(sample), min(LISTS, lists or max(1, total // LIST))) if len(sample) else np.zeros((0, width))
         files = Files(spark, path)
         meta = {"width": width, "centres": centres.tolist(), "probes": 1}
         if not files.create_once("index.json", json.dumps(meta)):
@@ -341,7 +341,7 @@ class Index:
             for batch in batches:
                 if not batch.num_rows or not len(centres.value):
                     continue
-                like = np.clip(_units(batch.column("vector")) @ centres.value.T, -1, 1)
+                like = np.clip(unit_rows(batch.column("vector")) @ centres.value.T, -1, 1)
                 near = np.argsort(-like, axis=1, kind="stable")[:, :probes]
                 taken = batch.select(list(carry)).take(pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1])))
                 away = np.arccos(np.take_along_axis(like, near, 1))

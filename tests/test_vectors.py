@@ -52,6 +52,21 @@ def test_vectors_without_direction_and_of_other_length(spark):
     assert len(like) == len(rows) and abs(like[3] - 1) < 1e-9 and all(like[i] is None for i in range(900, 907)) and like[907] is not None
 
 
+def test_many_seeds_are_compared_in_parts(spark):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(1300, 6))
+    v = spark.createDataFrame([(i // 2, x.tolist()) for i, x in enumerate(data)] + [(9000, [0.0] * 6), (9001, None)], "id long, vector array<float>").repartition(3)
+    unit = data.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = sorted((i // 2, round(float(x), 6)) for i, x in enumerate((unit @ unit[200:].T).max(1)))
+    got = insight.seed_similarity(v, v.filter("id >= 100"), part=300).collect()  # 1100 seeds, ids that repeat
+    assert sorted((r.id, round(r.similarity, 6)) for r in got if r.similarity is not None) == want
+    assert sorted(r.id for r in got if r.similarity is None) == [9000, 9001]
+    assert all(r.similarity is None for r in insight.seed_similarity(v, v.filter("id >= 9000")).collect())
+    with pytest.raises(ConfigError):
+        insight.seed_similarity(v, v.filter("id > 640").union(spark.createDataFrame([(1, [1.0])], "id long, vector array<float>")))
+
+
 def kruskal(data, count):
     """Cluster labels when the greatest similarities of each block are joined, ties by ids, until ``count`` clusters are left."""
     unit = [x / np.linalg.norm(x) for x, _ in data]
