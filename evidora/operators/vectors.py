@@ -24,8 +24,9 @@ PART = 2048
 SAMPLE, LIST, LISTS, ROUNDS = 20_000, 256, 4096, 6
 #: Queries by which an index counts its probes, and the share of their true neighbours that these must find.
 QUERIES, RECALL = 500, 0.97
-#: The share of pairs at the threshold that bands may miss, and the vectors that a band's bucket is to hold on average.
-MISSED, BUCKET = 0.005, 32
+#: The share of pairs at the threshold that bands may miss, the vectors that a band's bucket is to hold on average, copies of vectors
+#: that a worker makes at once and that a task makes.
+MISSED, BUCKET, COPIES, TASK_COPIES = 0.005, 256, 8192, 500_000
 
 
 def directed(vector: Column) -> Column:
@@ -35,8 +36,9 @@ def directed(vector: Column) -> Column:
 
 
 def _comparable(vectors: DataFrame, block: str) -> DataFrame:
-    """id, vector (doubles) and _group (length and block) of the vectors that can be compared with others."""
-    rows = vectors.select("id", F.col("vector").cast("array<double>").alias("vector"), F.col(block).cast("string").alias("_of"))
+    """id, vector (doubles, floats where they were) and _group (length and block) of the vectors that can be compared with others."""
+    kind = "array<float>" if vectors.schema["vector"].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select("id", F.col("vector").cast(kind).alias("vector"), F.col(block).cast("string").alias("_of"))
     return rows.filter(directed(F.col("vector")) & F.col("_of").isNotNull()).select("id", "vector", F.concat_ws(":", F.size("vector").cast("string"), "_of").alias("_group"))
 
 
@@ -94,14 +96,18 @@ def _ranked(some: DataFrame, k: int) -> DataFrame:
     return some.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def _met(parted: DataFrame, *keys: str) -> DataFrame:
+    """Every pair of parts of a group (``keys``): _lo and _hi with the vectors of both."""
+    met = parted.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return met.select(*keys, F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), F.col("id").cast("long").alias("id"), "vector")
+
+
 def _pairs_of_parts(held: DataFrame, part: int) -> DataFrame:
-    """Every pair of parts of a group: _group, _lo and _hi with the vectors of both."""
-    met = _parted(held, part).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    return met.select("_group", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), F.col("id").cast("long").alias("id"), "vector")
+    return _met(_parted(held, part), "_group")
 
 
-def _linked(held: DataFrame, threshold: float, part: int) -> DataFrame:
-    """Edges (a, b) that span what cosines of ``threshold`` (six places) connect within the groups of ``held``."""
+def _linked(met: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) that span what cosines of ``threshold`` (six places) connect within the groups of ``met``, by all columns but id and vector."""
 
     def compare(rows):
         import pyarrow as pa
@@ -120,7 +126,7 @@ def _linked(held: DataFrame, threshold: float, part: int) -> DataFrame:
         linked = np.flatnonzero(root != np.arange(len(ids)))
         return pa.table({"a": pa.array(ids[linked]), "b": pa.array(ids[root[linked]])})
 
-    return _pairs_of_parts(held, part).groupBy("_group", "_lo", "_hi").applyInArrow(compare, "a long, b long").distinct()
+    return met.groupBy(*[c for c in met.columns if c not in ("id", "vector")]).applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_edges(vectors: DataFrame, threshold: float, block: str, part: int = PART) -> DataFrame:
@@ -128,7 +134,7 @@ def near_edges(vectors: DataFrame, threshold: float, block: str, part: int = PAR
 
     Every pair of parts is compared in one task, which returns edges that span its components.
     """
-    return _linked(_comparable(vectors, block), threshold, part)
+    return _linked(_pairs_of_parts(_comparable(vectors, block), part), threshold)
 
 
 def bands_for(threshold: float, size: int) -> tuple[int, int]:
@@ -148,29 +154,44 @@ def banded_edges(vectors: DataFrame, threshold: float, block: str, part: int = P
     ``part`` vectors, such as copies, is dealt in pairs of parts like any block.
     """
     held = written(_comparable(vectors, block))
-    size = held.groupBy("_group").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    bits, bands = bands_for(threshold, size)
+    size, total = held.groupBy("_group").agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    bits, bands = bands_for(threshold, size or 0)
+    dealt = held.select(F.col("id").cast("long").alias("id"), "vector", "_group").repartition(max(1, math.ceil((total or 0) * bands / TASK_COPIES)), "id")
 
-    def sign(batches):
+    def signed(batches):
+        """The rows of some batches, few enough at a time that all bands make ``COPIES``, with a number for each band and its side."""
         import pyarrow as pa
 
         planes: dict[int, np.ndarray] = {}
-        weights = 1 << np.arange(bits, dtype=np.int64)
+        weights, first, step = 1 << np.arange(bits, dtype=np.int64), np.arange(bands, dtype=np.int64) << bits, max(1, COPIES // bands)
         for batch in batches:
             lengths = np.diff(batch.column("vector").offsets.to_numpy())
             for length in np.unique(lengths).tolist():
-                own = batch.take(pa.array(np.flatnonzero(lengths == length)))
+                places = np.flatnonzero(lengths == length)
                 if length not in planes:
                     planes[length] = np.random.default_rng(length).normal(size=(length, bits * bands))
-                sides = (unit_rows(own.column("vector")) @ planes[length] > 0).reshape(own.num_rows, bands, bits) @ weights
-                names = np.repeat(np.asarray(own.column("_group").to_pylist(), object), bands)
-                keys = [f"{g}:{k % bands}:{s}" for k, (g, s) in enumerate(zip(names, sides.ravel().tolist(), strict=True))]
-                taken = own.select(["id", "vector"]).take(pa.array(np.repeat(np.arange(own.num_rows), bands)))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(keys)], ["id", "vector", "_group"])
-
-    small = held.select(F.col("id").cast("long").alias("id"), "vector", "_group").mapInArrow(sign, "id long, vector array<double>, _group string")
-    several = small.groupBy("_group").agg(F.count("*").alias("n")).filter("n > 1").select("_group")
-    return _linked(small.join(several, "_group", "left_semi"), threshold, part)
+                for start in range(0, len(places), step):
+                    own = batch.take(pa.array(places[start : start + step]))
+                    yield own, (unit_rows(own.column("vector")) @ planes[length] > 0).reshape(own.num_rows, bands, bits) @ weights + first
+
+    def sign(batches):
+        import pyarrow as pa
+
+        for own, sides in signed(batches):
+            copies = own.take(pa.array(np.repeat(np.arange(own.num_rows), bands)))
+            yield pa.RecordBatch.from_arrays([*copies.columns, pa.array(sides.ravel())], ["id", "vector", "_group", "_side"])
+
+    def name(batches):
+        import pyarrow as pa
+
+        for own, sides in signed(batches):
+            yield pa.RecordBatch.from_arrays([own.column("_group").take(pa.array(np.repeat(np.arange(own.num_rows), bands))), pa.array(sides.ravel())], ["_group", "_side"])
+
+    counts = dealt.mapInArrow(name, "_group string, _side long").groupBy("_group", "_side").agg(F.ceil(F.count("*") / part).cast("int").alias("_parts"))
+    crowded = stored(counts.filter("_parts > 1"))
+    small = dealt.mapInArrow(sign, f"id long, vector {held.schema['vector'].dataType.simpleString()}, _group string, _side long")
+    parted = small.join(crowded, ["_group", "_side"], "left").withColumn("_parts", F.coalesce("_parts", F.lit(1))).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
+    return _linked(_met(parted, "_group", "_side"), threshold)
 
 
 def _tree(ids: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

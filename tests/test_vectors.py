@@ -122,6 +122,23 @@ def test_bands_find_the_pairs(spark, dims):
     assert same >= 0.99 * len(data) and len(exact) > 100
 
 
+def test_a_worker_makes_few_copies_for_bands_at_once(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "written", lambda rows: rows)
+    made = []
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, run, schema, _was=kind.mapInArrow: (made.append(run), _was(self, run, schema))[1])
+    rng = np.random.default_rng(4)
+    v = frame(spark, [(x, 0) for x in rng.normal(size=(3000, 8))])
+    vectors.banded_edges(v, 0.6, "block").collect()
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"id": list(range(3000)), "vector": rng.normal(size=(3000, 8)).tolist(), "_group": ["8:0"] * 3000})
+    bands = vectors.bands_for(0.6, 3000)[1]
+    for run in made:
+        sizes = [b.num_rows for b in run(iter([batch]))]
+        assert sum(sizes) == 3000 * bands and max(sizes) <= vectors.COPIES < 3000 * bands
+
+
 def test_work_of_bands_grows_slower_than_pairs():
     def work(n, threshold=0.9):
         bits, bands = vectors.bands_for(threshold, n)
