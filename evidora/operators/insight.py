@@ -69,22 +69,65 @@ def lexical_scores(documents: DataFrame, seeds: DataFrame, k1: float = 1.2, b: f
     """id and ``score``: the largest BM25 score of a document (id, body) for any of ``seeds`` (id, body), 0 where none of their words is in it.
 
     Words are runs of letters and digits in lower case; a seed's distinct words are its terms. The inverse frequency of a
-    term in n of N documents is ln(1 + (N - n + 0.5) / (n + 0.5)). Only postings of the seeds' terms are kept, which are few: more
-    than ``SEEDS`` seeds are an error. Documents are counted by id, which is unique.
+    term in n of N documents is ln(1 + (N - n + 0.5) / (n + 0.5)). Two passes, one for frequencies and lengths and one for scores;
+    no document or posting is shuffled. The terms of the seeds are broadcast, so more than ``SEEDS`` seeds are an error.
     """
     if seeds.limit(SEEDS + 1).count() > SEEDS:
         raise ConfigError("seeds are too many", most=SEEDS)
     words = lambda body: F.regexp_extract_all(F.lower(F.coalesce(body, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    said = documents.select("id", words(F.col("body")).alias("w")).select("id", "w", F.size("w").alias("length"))
-    asked = stored(seeds.select(F.col("id").alias("seed"), F.explode(F.array_distinct(words(F.col("body")))).alias("term")))
-    terms = F.broadcast(asked.select("term").distinct())
-    total, mean = said.agg(F.count("*"), F.avg("length")).first()
-    postings = stored(said.select("id", "length", F.explode("w").alias("term")).join(terms, "term", "left_semi").groupBy("id", "term").agg(F.count("*").alias("tf"), F.max("length").alias("length")))
-    rarity = postings.groupBy("term").agg(F.log1p((F.lit(float(total)) - F.count("*") + 0.5) / (F.count("*") + 0.5)).alias("idf"))
-    weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(float(mean or 1))))
-    each = postings.join(F.broadcast(rarity), "term").select("id", "term", weight.alias("weight"))
-    best = each.join(F.broadcast(asked), "term").groupBy("id", "seed").agg(F.sum("weight").alias("score")).groupBy("id").agg(F.max("score").alias("_score"))
-    return documents.select("id").join(best, "id", "left").select("id", F.coalesce("_score", F.lit(0.0)).alias("score"))
+    said = documents.select("id", words(F.col("body")).alias("w"))
+    asked = seeds.select(F.col("id").alias("seed"), F.explode(words(F.col("body"))).alias("term")).distinct().collect()  # of ``SEEDS`` texts at most
+    terms, own = sorted({r.term for r in asked}), dict.fromkeys(r.seed for r in asked)
+    at, row = {t: k for k, t in enumerate(terms)}, {s: k for k, s in enumerate(own)}
+    context = documents.sparkSession.sparkContext
+    shared = context.broadcast((terms, np.asarray([(at[r.term], row[r.seed]) for r in asked], np.int64).reshape(-1, 2), len(own)))
+
+    def postings(texts):
+        """Document, term and count of every term that a document has, ordered, and the documents' numbers of words."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lengths, flat = pc.list_value_length(texts).to_numpy(zero_copy_only=False).astype(np.int64), texts.flatten()
+        known = pc.fill_null(pc.index_in(flat, value_set=pa.array(shared.value[0], flat.type)), -1).to_numpy().astype(np.int64)
+        there, most = known >= 0, max(1, len(shared.value[0]))
+        found, tf = np.unique((np.repeat(np.arange(len(lengths)), lengths) * most + known)[there], return_counts=True)
+        return found // most, found % most, tf, lengths
+
+    def count(batches):
+        import pyarrow as pa
+
+        seen, total = np.zeros(len(shared.value[0]) + 2, np.int64), len(shared.value[0])
+        for batch in batches:
+            _, term, _, lengths = postings(batch.column(0))
+            seen += np.bincount(term, minlength=total + 2)
+            seen[total:] += len(lengths), lengths.sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total + 2)), pa.array(seen)], ["term", "n"])
+
+    sums = np.zeros(len(terms) + 2)
+    for r in said.select("w").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # a row a term
+        sums[r.term] = r.n
+    df, total = sums[:-2], sums[-2]
+    idf, mean = np.log1p((total - df + 0.5) / (df + 0.5)), sums[-1] / max(1.0, total) or 1.0
+
+    def score(batches):
+        import pyarrow as pa
+
+        names, pairs, n = shared.value
+        has = np.zeros((len(names), n))
+        has[pairs[:, 0], pairs[:, 1]] = 1
+        step = max(1, min(512, (1 << 21) // max(1, len(names), n)))  # documents of a product: 16 MB
+        for batch in batches:
+            best = np.zeros(batch.num_rows)
+            doc, term, tf, lengths = postings(batch.column(1))
+            weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[doc] / mean))
+            for start in range(0, batch.num_rows if pairs.size else 0, step):
+                a, z = np.searchsorted(doc, (start, start + step))
+                some = np.zeros((min(step, batch.num_rows - start), len(names)))
+                some[doc[a:z] - start, term[a:z]] = weight[a:z]
+                best[start : start + step] = (some @ has).max(1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best)], ["id", "score"])
+
+    return said.mapInArrow(score, f"id {documents.schema['id'].dataType.simpleString()}, score double")
 
 
 def sweep(scored: DataFrame, thresholds: list[float], score: str = "score", label: str = "label") -> DataFrame:

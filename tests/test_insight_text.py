@@ -54,3 +54,11 @@ def test_bm25_same_as_brute_force(spark):
 
     got = {r.id: r.score for r in insight.lexical_scores(spark.createDataFrame(docs, "id long, body string"), spark.createDataFrame(seeds, "id long, body string")).collect()}
     assert got.keys() == own.keys() and all(abs(got[i] - max(score(c, s) for _, s in seeds)) < 1e-9 for i, c in own.items())
+
+
+def test_bm25_shuffles_no_document(spark):
+    d = spark.range(300).select("id", F.concat(F.lit("w"), (F.col("id") % 7).cast("string"), F.lit(" red")).alias("body"))
+    scored = insight.lexical_scores(d, d.filter("id < 5"))
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert scored.filter("score > 0").count() == 300
+    assert {r.score for r in insight.lexical_scores(d, d.filter("false")).collect()} == {0.0} and insight.lexical_scores(d.filter("false"), d).collect() == []
