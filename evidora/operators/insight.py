@@ -151,7 +151,7 @@ def quarantine(answers: DataFrame, body: str = "body", required: tuple[str, ...]
 def smallest_reachable(edges: DataFrame, checkpoint) -> DataFrame:
     """node and label (the smallest node reachable) by min-label steps with pointer jumping; ``checkpoint`` writes a frame.
 
-    ``edges``: a, b. Both directions are made here; rounds grow with the logarithm of the longest chain.
+    ``edges``: a, b. Both directions are made here; rounds grow with the logarithm of the longest chain. No label passes through the driver.
     """
     pair = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     least = lambda rows: stored(rows.groupBy("node").agg(F.min("label").alias("label")))
@@ -159,10 +159,10 @@ def smallest_reachable(edges: DataFrame, checkpoint) -> DataFrame:
     labels = least(pair.toDF("node", "label").union(pair.select("a", "a")))
     now = state(labels)
     while True:
-        near = pair.join(labels, F.col("b") == F.col("node")).select(F.col("a").alias("node"), "label")
+        near = pair.join(labels.hint("merge"), F.col("b") == F.col("node")).select(F.col("a").alias("node"), "label")
         step = least(labels.union(near))
         above = step.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        labels = least(step.union(step.join(above, F.col("label") == F.col("_n")).select("node", F.col("_l").alias("label"))))
+        labels = least(step.union(step.join(above.hint("merge"), F.col("label") == F.col("_n")).select("node", F.col("_l").alias("label"))))
         before, now = now, state(labels)
         if now == before:
             return labels
@@ -184,7 +184,7 @@ def clusters(vectors: DataFrame, threshold: float, block: str, checkpoint, count
             raise ConfigError("no such number of clusters", count=count, least=total - links, most=total)
         kept = placed(forest, [F.desc("similarity"), F.asc("a"), F.asc("b")]).filter(F.col("place") <= total - count)
     labels = smallest_reachable(checkpoint(kept.select("a", "b")), checkpoint)
-    return vectors.select("id").join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
+    return vectors.select("id").join(labels.hint("merge"), F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
 
 
 def merged_evidence(members: DataFrame, cluster: str = "cluster", evidence: str = "source_document_ids") -> DataFrame:

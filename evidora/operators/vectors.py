@@ -224,7 +224,8 @@ def spanning_forest(vectors: DataFrame, block: str, part: int = PART) -> DataFra
 
     An edge that isn't in the tree of some of a block's vectors isn't in that of all, so each pair of parts returns its own
     tree only, and Borůvka rounds over these edges give the forest: every component takes its best edge out, with ties
-    in one fixed order (similarity, a, b), until none has any. Ids are unique.
+    in one fixed order (similarity, a, b), until none has any. Ids are unique. Joins shuffle both sides: a broadcast one passes
+    through the driver, which in all rounds is much.
     """
     held = _comparable(vectors, block)
 
@@ -247,15 +248,15 @@ def spanning_forest(vectors: DataFrame, block: str, part: int = PART) -> DataFra
         forest = own if forest is None else forest.union(own)
         # chosen edges make trees with one pair that chose each other; its smaller end is the root
         back = best.select(F.col("c").alias("_c"), F.col("to").alias("_back"))
-        hooks = best.join(back, F.col("to") == F.col("_c")).select("c", F.when((F.col("_back") == F.col("c")) & (F.col("c") < F.col("to")), F.col("c")).otherwise(F.col("to")).alias("up"))
+        hooks = best.join(back.hint("merge"), F.col("to") == F.col("_c")).select("c", F.when((F.col("_back") == F.col("c")) & (F.col("c") < F.col("to")), F.col("c")).otherwise(F.col("to")).alias("up"))
         hooks = stored(hooks)
         while True:
             above = hooks.select(F.col("c").alias("_c"), F.col("up").alias("_up"))
-            jumped = stored(hooks.join(above, F.col("up") == F.col("_c")).select("c", F.col("_up").alias("up"), (F.col("_up") != F.col("up")).alias("moved")))
+            jumped = stored(hooks.join(above.hint("merge"), F.col("up") == F.col("_c")).select("c", F.col("_up").alias("up"), (F.col("_up") != F.col("up")).alias("moved")))
             hooks = jumped.select("c", "up")
             if jumped.filter("moved").isEmpty():
                 break
-        of = lambda name: hooks.select(F.col("c").alias(name), F.col("up").alias(f"n{name}"))
+        of = lambda name: hooks.select(F.col("c").alias(name), F.col("up").alias(f"n{name}")).hint("merge")
         open_ = stored(open_.join(of("ca"), "ca").join(of("cb"), "cb").filter("nca <> ncb").select("a", "b", "similarity", F.col("nca").alias("ca"), F.col("ncb").alias("cb")))
 
 

@@ -563,7 +563,7 @@ def similarity_join_banded(spark, sf_dir):
     """Groups of near vectors by bands of hyperplanes, without comparing all pairs of a label."""
     e = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
     labels = insight.smallest_reachable(vectors.banded_edges(e, 0.6, "label"), written)
-    return e.select("id").join(labels, F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
+    return e.select("id").join(labels.hint("merge"), F.col("id") == F.col("node"), "left").select("id", F.coalesce("label", "id").alias("cluster"))
 
 
 @query("""SELECT query, id, rank FROM (SELECT a.vec_id AS query, b.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) DESC, b.vec_id) AS rank

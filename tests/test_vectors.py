@@ -139,6 +139,16 @@ def test_a_worker_makes_few_copies_for_bands_at_once(spark, monkeypatch):
         assert sum(sizes) == 3000 * bands and max(sizes) <= vectors.COPIES < 3000 * bands
 
 
+def test_clusters_pass_no_table_through_the_driver(spark):
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    v = frame(spark, [(x, 0) for x in np.random.default_rng(5).normal(size=(40, 4))])
+    assert insight.clusters(v, 0.9, "block", written, count=7).select("cluster").distinct().count() == 7
+    plans = store.executionsList()
+    new = [plans.apply(k).physicalPlanDescription() for k in range(plans.size())][-(store.executionsCount() - before) :]
+    assert len(new) > 10 and not any("BroadcastExchange" in x for x in new if "FlatMapGroupsInArrow" not in x)  # those with a row a block may
+
+
 def test_work_of_bands_grows_slower_than_pairs():
     def work(n, threshold=0.9):
         bits, bands = vectors.bands_for(threshold, n)
