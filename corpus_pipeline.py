@@ -24,6 +24,8 @@ from evidora.llm.queries import vocabulary
 from evidora.shared import folder
 
 SHINGLE, SIMILARITY, DISTANCE = 5, 0.8, 8
+#: Parts in a worker's cache when packing: fewer than alone, since executors are full of what earlier stages have touched.
+PARTS = 100_000
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, bpe.read_file(vocabulary("word_bpe_49k.json")).decode())
+    return packing.pack(docs, bpe.read_file(vocabulary("word_bpe_49k.json")).decode(), parts=PARTS)
 
 
 STAGES = [("quality", quality_rules), ("near_duplicates", near_duplicates), ("repeats", repeats), ("secrets", secrets), ("packing", packed)]

@@ -94,13 +94,40 @@ _holder: tuple[str, Callable[[], None]] = ("", lambda: None)
 
 
 def hold(owner: str, clear: Callable[[], None] = lambda: None) -> None:
-    """A Python worker keeps the caches of one operator: those of the one before are cleared when another begins."""
+    """A Python worker keeps the caches of one operator: those of the one before are cleared, and their memory given back, when another begins."""
     global _holder
-    if _holder[0] != owner:
+    if _holder[0] not in ("", owner):
         _holder[1]()
+        release()
     _holder = (owner, clear)
 
 
+def release() -> None:
+    """Gives free memory back to the system, which the allocators of a Python worker keep otherwise."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def spared(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` (for ``mapInArrow``) that gives free memory back at the end of its task: workers wait idle, beside those of the next stage."""
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return inner
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

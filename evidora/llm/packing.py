@@ -40,6 +40,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces of one length that a ranking task takes, on average.
 GROUP_PIECES = 4096
+#: Parts of texts that a generation of a worker's cache holds.
+PARTS = 600_000
 
 
 #: The normaliser and the splitter for which texts may be taken apart.
@@ -59,7 +61,7 @@ class Encoder:
     no more than that. ``apart`` is False for definitions with another normaliser, splitter or post-processor.
     """
 
-    def __init__(self, definition: str, most: int = 600_000):
+    def __init__(self, definition: str, most: int = PARTS):
         from tokenizers import Tokenizer
 
         rules = json.loads(definition)
@@ -116,11 +118,11 @@ class Encoder:
 
 
 @lru_cache(2)
-def _encoder(definition: str) -> Encoder:
-    return Encoder(definition)
+def _encoder(definition: str, most: int) -> Encoder:
+    return Encoder(definition, most)
 
 
-def cut_pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", parts: int = PARTS) -> DataFrame:
     """doc_id, row (its number), piece, start, length and ids_crc32: every document's ids, cut only where it is too long."""
     shared = docs.sparkSession.sparkContext.broadcast(definition)  # the size of the vocabulary file
     end = np.asarray([end_id], "<u4").tobytes()
@@ -129,7 +131,7 @@ def cut_pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_i
         import pyarrow as pa
 
         hold("packing", _encoder.cache_clear)
-        encode = _encoder(shared.value)
+        encode = _encoder(shared.value, parts)
         for batch in batches:
             out: list[list[int]] = [[], [], [], [], []]
             for doc, body in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
@@ -218,9 +220,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Iterator[Step]:
             left, rank = left - used * each, rank + used * each
 
 
-def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id and offset for every piece of every row."""
-    pieces = cut(cut_pieces(docs, definition, capacity, end_id, text))
+def pack(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", parts: int = PARTS) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id and offset for every piece of every row; ``parts`` bounds a worker's cache, not the result."""
+    pieces = cut(cut_pieces(docs, definition, capacity, end_id, text, parts))
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # ``capacity`` rows at most
     # ranks: a length is dealt to as many groups as its pieces need; the constant below has a number for each length
     groups = F.split(F.lit(",".join(str(-(-histogram.get(n, 0) // GROUP_PIECES) or 1) for n in range(capacity + 1))), ",").cast("array<int>")

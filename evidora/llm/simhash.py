@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, fresh, hold, key_filter
+from evidora.llm.common import cut, fresh, hold, key_filter, spared
 from evidora.llm.common import values as each_value
 from evidora.llm.components import components
 
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", di
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(done).view(np.int64)), pa.array(counts, pa.int64())], ["doc_id", "body", "fp", "count"])
 
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(whole, F.length(whole)), whole).mapInArrow(run, "doc_id long, body long, fp long, count long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(whole, F.length(whole)), whole).mapInArrow(spared(run), "doc_id long, body long, fp long, count long")
 
 
 def _join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -230,7 +230,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
         if len(held[0]):
             yield flushed(*held)
 
-    return dealt.select(*keys, "fp").mapInArrow(run, "a long, b long")
+    return dealt.select(*keys, "fp").mapInArrow(spared(run), "a long, b long")
 
 
 def _named(distinct: DataFrame, edges: DataFrame, key: str) -> DataFrame:
@@ -278,7 +278,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFr
 
     there, texts = key_filter(wanted, "body"), _texts(docs, text)
     few = texts if there is None else texts.filter(there("body"))
-    return few.dropDuplicates(["body"]).join(wanted, "body", "left_semi").mapInArrow(run, "body long, set array<long>")
+    return few.dropDuplicates(["body"]).join(wanted, "body", "left_semi").mapInArrow(spared(run), "body long, set array<long>")
 
 
 def _partnered(docs: DataFrame, tokens: int, shingle: int, similarity: float, text: str) -> DataFrame:
@@ -360,7 +360,7 @@ def _partnered(docs: DataFrame, tokens: int, shingle: int, similarity: float, te
         bodies, n = np.unique(values[np.repeat(shared, sizes) & (values != _SHARED)], return_counts=True)
         return pa.table({"body": bodies, "n": n.astype(np.int64)})
 
-    packed = _texts(docs, text).mapInArrow(pack, "slice long, keys binary, values binary")
+    packed = _texts(docs, text).mapInArrow(spared(pack), "slice long, keys binary, values binary")
     counted = packed.groupBy("slice").applyInArrow(count, "body long, n long")
     return counted.groupBy("body").agg(F.sum("n").alias("n")).filter("n >= 0").select("body")
 

@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidora.llm.common import cut, fresh, hold, key_filter, values
+from evidora.llm.common import cut, fresh, hold, key_filter, spared, values
 from evidora.llm.suffix_array import repeats
 
 #: Production parameters.
@@ -136,7 +136,7 @@ def _anchors(keyed: DataFrame, length: int) -> DataFrame:
             for *_, group in _grouped(values(batch.column(0)), length):
                 yield pa.RecordBatch.from_arrays([pa.array(runs(group, length)[1].view(np.int64))], ["anchor"])
 
-    return keyed.select("data").mapInArrow(run, "anchor long")
+    return keyed.select("data").mapInArrow(spared(run), "anchor long")
 
 
 def _runs(keyed: DataFrame, length: int) -> DataFrame:
@@ -158,7 +158,7 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
                     pa.array(np.asarray(context, np.uint64).view(np.int64)), pa.array((first - starts[text] + offsets[text]).astype(np.int32)), pa.array(count.astype(np.int32)),
                 ], [*_KEY, "anchor", "context", "first", "windows"])
 
-    return keyed.select(*_KEY, "data").mapInArrow(run, "k1 long, k2 long, anchor long, context long, first int, windows int")
+    return keyed.select(*_KEY, "data").mapInArrow(spared(run), "k1 long, k2 long, anchor long, context long, first int, windows int")
 
 
 def _cut_out(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -222,7 +222,7 @@ def _solved(contexts: DataFrame, total: int, length: int) -> DataFrame:
         if rows:
             yield solved(rows)
 
-    return dealt.select("shard", "anchor", "context", "bytes").mapInArrow(run, "anchor long, context long, spans array<struct<at:int,n:int>>")
+    return dealt.select("shard", "anchor", "context", "bytes").mapInArrow(spared(run), "anchor long, context long, spans array<struct<at:int,n:int>>")
 
 
 def _verdicts(found, names: list[str]):
@@ -265,7 +265,7 @@ def _window_claims(crowded: DataFrame, keyed: DataFrame, length: int) -> tuple[D
 
     named = crowded.select(*_KEY, "first", "windows", "anchor", "context", F.col("k1").alias("own1"), F.col("k2").alias("own2"), F.col("first").alias("start"))
     whole = _cut_out(keyed, named, length).select(F.col("own1").alias("k1"), F.col("own2").alias("k2"), "anchor", "context", "start", "bytes")
-    windows = cut(whole.mapInArrow(run, "k1 long, k2 long, anchor long, context long, at int, first int, x long, y long"))
+    windows = cut(whole.mapInArrow(spared(run), "k1 long, k2 long, anchor long, context long, at int, first int, x long, y long"))
     place = F.struct("k1", "k2", "first")
     claims = windows.groupBy("x", "y").agg(F.count("*").alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi"), F.lit(1).alias("windows")).filter("n > 1")
     return windows, claims.select("x", "y", "lo", "hi", "windows")
@@ -292,7 +292,7 @@ def _proven(claims: DataFrame, keyed: DataFrame, length: int) -> DataFrame:
                         at += n
             yield _verdicts(found, ["x", "y", "spans"])
 
-    return sides.select("s1", "s2", "claims", "bytes").mapInArrow(run, "x long, y long, spans array<struct<at:int,n:int>>")
+    return sides.select("s1", "s2", "claims", "bytes").mapInArrow(spared(run), "x long, y long, spans array<struct<at:int,n:int>>")
 
 
 def repeated(keyed: DataFrame, length: int) -> DataFrame:
@@ -364,7 +364,7 @@ def digest(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFra
     whole = keyed.filter(~hit).select("doc_id", "data", F.lit(None).cast("array<struct<at:int,n:int>>").alias("spans"))
     open_ = keyed.filter(hit).join(lost, _KEY, "left").select(*columns)
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return whole.mapInArrow(run, fields).unionByName(open_.mapInArrow(run, fields))
+    return whole.mapInArrow(spared(run), fields).unionByName(open_.mapInArrow(spared(run), fields))
 
 
 def remove(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:

@@ -121,3 +121,17 @@ def test_hot_length_in_many_groups(spark, monkeypatch):
     monkeypatch.setattr(packing, "GROUP_PIECES", 7)
     rows = [(i, "same text" if i % 3 else f"text {i} " * (i % 40)) for i in range(300)]
     check(packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), open(PATH).read()).collect(), rows)
+
+
+def test_a_worker_gives_memory_back_when_another_operator_begins(monkeypatch):
+    from evidora.llm import common
+
+    done = []
+    monkeypatch.setattr(common, "_holder", ("", lambda: None))
+    monkeypatch.setattr(common, "release", lambda: done.append("released"))
+    common.hold("a", lambda: done.append("cleared"))
+    common.hold("a", lambda: done.append("cleared"))
+    assert done == []
+    common.hold("b")
+    assert done == ["cleared", "released"]
+    assert list(common.spared(lambda batches: (x + 1 for x in batches))(iter([1, 2]))) == [2, 3] and done[2:] == ["released"]
